@@ -65,3 +65,23 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_money(fc + tc + ec + F.coalesce(cc, F.lit(0))))
         .alias("total_amount"),
     )
+
+
+def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """265 zones in five boroughs, with zone names that repeat."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    zone = F.col("LocationID")
+    service = F.when(zone % 3 == 0, "Yellow Zone").when(zone % 3 == 1, "Boro Zone").otherwise("Airports")
+    return (
+        spark.range(1, 266)
+        .select(F.col("id").cast("int").alias("LocationID"))
+        .join(F.broadcast(nation), zone % 25 == F.col("n_nationkey"))
+        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            "LocationID",
+            F.col("r_name").alias("Borough"),
+            F.concat_ws(" ", "n_name", F.floor(zone / 50).cast("string")).alias("Zone"),
+            service.alias("service_zone"),
+        )
+    )
