@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.sources.lake import STRAY_FILES, lake_files
+from farebox.sources.lake import STRAY_FILES
 
 RAW = "raw"
 CLEANED = "processed/trips_cleaned"
@@ -17,29 +17,29 @@ INSIGHT_FOLDER = "insights"
 LOOKUP_FOLDER = "insights/lookups"
 
 
-def _insight_folders(spark: SparkSession, root: str) -> list[str]:
-    """Folders under ``insights`` that hold data files; one row per table, so few."""
+def _folders_holding(spark: SparkSession, base: str, pattern: str) -> set[str]:
+    """Table folders below ``base`` with files of that name; one row per table, so few."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(f"{root}/{INSIGHT_FOLDER}")
+        .option("pathGlobFilter", pattern)
+        .load(base)
     )
-    folder = F.regexp_replace("path", r"(/[^/]+=[^/]*)*/[^/]+$", "")
-    return sorted(row.folder for row in files.select(folder.alias("folder")).distinct().collect())
+    folder = F.regexp_replace("path", r"(/[^/]+=[^/]*)*/[^/]+$", "").alias("folder")
+    return {row.folder for row in files.select(folder).distinct().collect()}
 
 
 def lake_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Table name to folder, for the raw, cleaned, insight and lookup tables."""
     root = root.rstrip("/")
-    folders = [f"{root}/{RAW}", f"{root}/{CLEANED}", *_insight_folders(spark, root)]
+    insights = sorted(_folders_holding(spark, f"{root}/{INSIGHT_FOLDER}", "*.parquet"))
+    folders = [f"{root}/{RAW}", f"{root}/{CLEANED}", *insights]
     return {folder.rsplit("/", 1)[-1]: folder for folder in folders}
 
 
-def _create(spark: SparkSession, table: str, path: str) -> None:
+def _create(spark: SparkSession, table: str, path: str, stray: bool) -> None:
     # A catalog that lists partitions itself does not apply the name filter, so
     # with stray files about, Spark is left to discover the partitions.
-    stray = lake_files(spark, path, STRAY_FILES).limit(1).count() > 0
     listed = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(listed)
     spark.conf.set(listed, str(not stray).lower())
@@ -48,29 +48,42 @@ def _create(spark: SparkSession, table: str, path: str) -> None:
             f"CREATE TABLE {table} USING parquet "
             f"OPTIONS (pathGlobFilter '*.parquet') LOCATION '{path}'"
         )
-        if not stray and any(c.isPartition for c in spark.catalog.listColumns(table)):
-            spark.catalog.recoverPartitions(table)
     finally:
         spark.conf.set(listed, before)
+    _recover(spark, table)
 
 
-def _refresh(spark: SparkSession, table: str, path: str) -> None:
+def _described(spark: SparkSession, table: str, entry: str) -> str | None:
+    found = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == entry).head()
+    return found["data_type"] if found else None
+
+
+def _recover(spark: SparkSession, table: str) -> None:
+    """Tell the catalog of new partitions, where it is the one to list them."""
+    if _described(spark, table, "Partition Provider") == "Catalog":
+        spark.catalog.recoverPartitions(table)
+
+
+def _refresh(spark: SparkSession, table: str, path: str, stray: bool) -> None:
     """Bring a table's schema and partitions up to date with its folder."""
     known = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
     found = spark.read.option("pathGlobFilter", "*.parquet").parquet(path).schema.fields
     if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in found):
         # Only the entry is remade; the table is external and its files stay.
         spark.sql(f"DROP TABLE {table}")
-        _create(spark, table, path)
+        _create(spark, table, path, stray)
         return
     new = [f for f in found if f.name.lower() not in known]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     spark.catalog.refreshTable(table)
-    tracked = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Partition Provider'")
-    if tracked.count() and any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
+    _recover(spark, table)
+
+
+def _same(path: str, folders: set[str]) -> bool:
+    """Whether the folder is among those Spark listed, which name a scheme as well."""
+    return any(folder == path or folder.split(":", 1)[-1] == path for folder in folders)
 
 
 def register_lake(spark: SparkSession, root: str, database: str | None = None) -> dict[str, str]:
@@ -81,13 +94,14 @@ def register_lake(spark: SparkSession, root: str, database: str | None = None) -
     files are gone. Without, they become temporary views.
     """
     tables = lake_tables(spark, root)
+    stray = _folders_holding(spark, root, STRAY_FILES) if database else set()
     for name, path in tables.items():
         if database is None:
             spark.read.option("pathGlobFilter", "*.parquet").parquet(path).createOrReplaceTempView(name)
         elif spark.catalog.tableExists(f"{database}.{name}"):
-            _refresh(spark, f"{database}.{name}", path)
+            _refresh(spark, f"{database}.{name}", path, _same(path, stray))
         else:
-            _create(spark, f"{database}.{name}", path)
+            _create(spark, f"{database}.{name}", path, _same(path, stray))
     return tables
 
 
@@ -98,11 +112,6 @@ def _layer(name: str, path: str) -> str:
     return next((layer for layer in ("processed", "insights", "raw") if layer in place), "other")
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()
-    return described["data_type"] if described else ""
-
-
 def table_audit(
     spark: SparkSession,
     expected: Iterable[str],
@@ -115,9 +124,9 @@ def table_audit(
     rows, counts = [], []
     for name in expected:
         present = spark.catalog.tableExists(prefix + name)
-        path = (locations or {}).get(name) or (_location(spark, prefix + name) if present else "")
+        path = (locations or {}).get(name) or (_described(spark, prefix + name, "Location") if present else "")
         columns = ", ".join(spark.table(prefix + name).columns) if present else None
-        rows.append((name, present, _layer(name, path) if present else None, columns))
+        rows.append((name, present, _layer(name, path or "") if present else None, columns))
         if present:
             counted = spark.table(prefix + name).agg(F.count("*").alias("row_count"))
             counts.append(counted.select(F.lit(name).alias("table_name"), "row_count"))

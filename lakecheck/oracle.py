@@ -233,18 +233,18 @@ STEP_STAGES = {
 
 # --- insight tables ---
 
-MEANS = """round(avg(trip_distance), 6) AS avg_distance, round(avg(fare_amount), 6) AS avg_fare,
-    round(avg(total_amount), 6) AS avg_total"""
+MEANS = """round(avg(trip_distance) + 1e-9, 6) AS avg_distance, round(avg(fare_amount) + 1e-9, 6) AS avg_fare,
+    round(avg(total_amount) + 1e-9, 6) AS avg_total"""
 TAKINGS = """count(*) AS trip_count, round(sum(fare_amount), 2) AS total_fare,
-    round(avg(fare_amount), 6) AS avg_fare, round(sum(total_amount), 2) AS total_revenue,
-    round(avg(total_amount), 6) AS avg_total"""
+    round(avg(fare_amount) + 1e-9, 6) AS avg_fare, round(sum(total_amount), 2) AS total_revenue,
+    round(avg(total_amount) + 1e-9, 6) AS avg_total"""
 TAKINGS_TIPS = TAKINGS + """, round(sum(tip_amount), 2) AS total_tip,
-    round(avg(tip_amount), 6) AS avg_tip"""
+    round(avg(tip_amount) + 1e-9, 6) AS avg_tip"""
 REVENUE = "round(sum(total_amount), 2) AS total_revenue"
-MINUTES = "round(avg(trip_duration_minutes), 6) AS avg_duration_minutes"
-DISTANCE = "round(avg(trip_distance), 6) AS avg_distance"
+MINUTES = "round(avg(trip_duration_minutes) + 1e-9, 6) AS avg_duration_minutes"
+DISTANCE = "round(avg(trip_distance) + 1e-9, 6) AS avg_distance"
 TIPS = """count(*) AS trip_count, round(sum(tip_amount), 2) AS total_tips,
-    round(avg(tip_amount), 6) AS avg_tip, round(avg(tip_percentage), 6) AS avg_tip_percentage"""
+    round(avg(tip_amount) + 1e-9, 6) AS avg_tip, round(avg(tip_percentage) + 1e-9, 6) AS avg_tip_percentage"""
 
 INSIGHT_SQL = {
     "trip_volume_by_hour": f"SELECT pickup_hour, count(*) AS trip_count, {MEANS} FROM cleaned GROUP BY 1",
@@ -253,7 +253,7 @@ INSIGHT_SQL = {
     "trip_duration_by_hour": f"SELECT pickup_hour, count(*) AS trip_count, {MINUTES}, {DISTANCE} FROM cleaned GROUP BY 1",
     "trip_duration_by_zone": f"SELECT pulocationid, count(*) AS trip_count, {MINUTES}, {DISTANCE} FROM cleaned GROUP BY 1",
     "trip_speed_by_hour": f"""SELECT pickup_hour, count(*) AS trip_count,
-        round(avg(trip_speed_mph), 6) AS avg_speed_mph, {DISTANCE}
+        round(avg(trip_speed_mph) + 1e-9, 6) AS avg_speed_mph, {DISTANCE}
         FROM cleaned WHERE trip_speed_mph IS NOT NULL GROUP BY 1""",
     "monthly_trends": f"SELECT pickup_month, count(*) AS trip_count, {MEANS}, {REVENUE} FROM cleaned GROUP BY 1",
     "trips_by_length_category": f"""SELECT trip_length_category, count(*) AS trip_count, {MEANS}, {MINUTES}
@@ -273,7 +273,7 @@ INSIGHT_SQL = {
     "congestion_fee_analysis": f"""SELECT congestion_surcharge, {TAKINGS},
         round(sum(congestion_surcharge), 2) AS total_congestion_fee FROM cleaned GROUP BY 1""",
     "revenue_by_vendor": f"SELECT vendorid, {TAKINGS} FROM cleaned GROUP BY 1",
-    "tip_analysis": f"""SELECT payment_type, {TIPS}, round(avg(total_amount), 6) AS avg_total
+    "tip_analysis": f"""SELECT payment_type, {TIPS}, round(avg(total_amount) + 1e-9, 6) AS avg_total
         FROM cleaned GROUP BY 1""",
     "tip_by_time": f"SELECT pickup_hour, {TIPS} FROM cleaned GROUP BY 1",
 }
@@ -439,14 +439,14 @@ def _sql_questions() -> dict[str, str]:
         ),
         "sql_fare_by_payment_type": over(
             "cleaned",
-            """SELECT payment_type, round(avg(fare_amount), 6) AS avg_fare,
-               round(avg(tip_amount), 6) AS avg_tip, count(*) AS trip_count
+            """SELECT payment_type, round(avg(fare_amount) + 1e-9, 6) AS avg_fare,
+               round(avg(tip_amount) + 1e-9, 6) AS avg_tip, count(*) AS trip_count
                FROM cleaned WHERE payment_type IS NOT NULL GROUP BY 1""",
         ),
         "sql_popular_pickup_zones": over(
             "cleaned",
-            """SELECT pulocationid, count(*) AS pickup_count, round(avg(fare_amount), 6) AS avg_fare,
-               round(avg(trip_distance), 6) AS avg_distance FROM cleaned
+            """SELECT pulocationid, count(*) AS pickup_count, round(avg(fare_amount) + 1e-9, 6) AS avg_fare,
+               round(avg(trip_distance) + 1e-9, 6) AS avg_distance FROM cleaned
                WHERE pulocationid IS NOT NULL GROUP BY 1 ORDER BY pickup_count DESC, 1 LIMIT 10""",
         ),
         "sql_row_count": over("cleaned", "SELECT count(*) AS row_count FROM cleaned"),
@@ -464,7 +464,7 @@ def _sql_questions() -> dict[str, str]:
         "sql_congestion_revenue": payment("total_revenue, avg_fare"),
         "sql_volume_by_hour": over(
             "cleaned",
-            """SELECT pickup_hour, count(*) AS trip_count, round(avg(fare_amount), 6) AS avg_fare
+            """SELECT pickup_hour, count(*) AS trip_count, round(avg(fare_amount) + 1e-9, 6) AS avg_fare
                FROM cleaned GROUP BY 1""",
         ),
         "sql_payment_usage": payment("trip_count, total_revenue"),
@@ -478,7 +478,7 @@ def _sql_questions() -> dict[str, str]:
         ),
         "sql_month_fare_by_payment_name": over(
             "cleaned",
-            f"""SELECT payment_type_name, round(avg(fare_amount), 6) AS avg_fare FROM cleaned
+            f"""SELECT payment_type_name, round(avg(fare_amount) + 1e-9, 6) AS avg_fare FROM cleaned
                 JOIN payments ON payment_type = payment_type_id WHERE {january} GROUP BY 1""",
         ),
         "sql_month_top_zones": over(
@@ -517,7 +517,7 @@ def _decode_sql() -> dict[str, str]:
     )
     views = " UNION ALL ".join(
         f"""SELECT '{view}' AS view_name, CAST({key} AS VARCHAR) AS view_key, count(*) AS trip_count,
-            round(avg(fare_amount), 6) AS avg_fare FROM cleaned GROUP BY {key}"""
+            round(avg(fare_amount) + 1e-9, 6) AS avg_fare FROM cleaned GROUP BY {key}"""
         for view, key in (
             ("view_fare_by_payment_type", "payment_type"),
             ("view_popular_pickup_zones", "pulocationid"),
@@ -546,16 +546,16 @@ def _decode_sql() -> dict[str, str]:
         "key_metrics": over(
             "cleaned",
             """SELECT count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-               round(avg(fare_amount), 6) AS avg_fare,
-               round(count(*) / count(DISTINCT date_trunc('hour', pickup_ts)), 6) AS trips_per_hour,
-               round(count(*) / count(DISTINCT pickup_date), 6) AS trips_per_day FROM cleaned""",
+               round(avg(fare_amount) + 1e-9, 6) AS avg_fare,
+               round(count(*) / count(DISTINCT date_trunc('hour', pickup_ts)) + 1e-9, 6) AS trips_per_hour,
+               round(count(*) / count(DISTINCT pickup_date) + 1e-9, 6) AS trips_per_day FROM cleaned""",
         ),
         "views": over("cleaned", views),
         "run_sql": over(
             "cleaned",
             """SELECT "Zone" AS zone_name, pickup_location_id, dropoff_location_id, trip_count
                FROM pairs JOIN zones ON pickup_location_id = "LocationID"
-               WHERE lower("Zone") LIKE '%an%' AND lower("Borough") NOT LIKE 'europe'
+               WHERE lower("Zone") LIKE '%nation_1%' AND lower("Borough") NOT LIKE 'europe'
                ORDER BY trip_count DESC, pickup_location_id, dropoff_location_id NULLS FIRST LIMIT 100""",
             pairs,
         ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache, partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.operators import cleaning as cl
@@ -25,6 +25,11 @@ SUMS = ("total_",)
 MEANS = ("avg_", "trips_per_")
 
 
+def mean_shown(name: str) -> Column:
+    """Six decimals. A mean of cents can lie halfway; the nudge rounds it up everywhere."""
+    return F.round(F.col(name) + 1e-9, 6).alias(name)
+
+
 def presentable(df: DataFrame) -> DataFrame:
     """Round aggregates and write times as text, for comparison across engines."""
     shown = {}
@@ -34,7 +39,7 @@ def presentable(df: DataFrame) -> DataFrame:
         elif kind == "double" and name.startswith(SUMS) and name != "total_amount":
             shown[name] = F.round(name, 2)
         elif kind == "double" and name.startswith(MEANS):
-            shown[name] = F.round(name, 6)
+            shown[name] = mean_shown(name)
     return df.withColumns(shown) if shown else df
 
 
@@ -360,7 +365,7 @@ def _decode_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "zone",
                 "borough",
                 F.col(INSIGHTS[name].counted).alias("trip_count"),
-                F.round("avg_distance", 6).alias("avg_distance"),
+                mean_shown("avg_distance"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -381,7 +386,7 @@ def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = create_views({name: insight(trips, name) for name, _ in VIEWS.values()})
     parts = [
         f"SELECT '{name}' AS view_name, CAST({view.columns[0]} AS STRING) AS view_key, "
-        f"{view.columns[1]} AS trip_count, round(avg_fare, 6) AS avg_fare FROM {name}"
+        f"{view.columns[1]} AS trip_count, round(avg_fare + 1e-9, 6) AS avg_fare FROM {name}"
         for name, view in created.items()
     ]
     return spark.sql(" UNION ALL ".join(parts))
@@ -395,7 +400,7 @@ def _run_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         """SELECT Zone AS zone_name, pickup_location_id, dropoff_location_id, trip_count
            FROM zone_pair_analysis JOIN taxi_zone_lookup ON pickup_location_id = LocationID
-           WHERE Zone ILIKE '%an%' AND Borough NOT ILIKE 'europe'
+           WHERE Zone ILIKE '%nation_1%' AND Borough NOT ILIKE 'europe'
            ORDER BY trip_count DESC, pickup_location_id, dropoff_location_id""",
     )
 
