@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,11 @@ def build_session(
     return spark
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="farebox-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name for intermediate tables, on storage all executors share.
 
@@ -81,6 +87,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-        shared = tempfile.mkdtemp(prefix="farebox-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,0 +1,195 @@
+import os
+from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from farebox.operators.cleaning import clean_trips
+from farebox.plans.batch import build_lake
+from farebox.plans.insights import INSIGHTS
+from farebox.session import shuffle_partitions_for, work_folder
+from farebox.sources import catalog, lake, lookups
+from lakecheck.registry import lookup_frames, raw_lake
+from trip_rows import frame, trip
+
+
+@pytest.fixture(scope="module")
+def built(spark, sf_dir):
+    return build_lake(spark, raw_lake(spark, sf_dir), lookup_frames(spark, sf_dir))
+
+
+def test_partitions_come_back_as_ints_and_last(spark, built):
+    trips = lake.scan_cleaned(spark, built.tables["trips_cleaned"])
+    assert trips.dtypes[-2:] == [("pickup_year", "int"), ("pickup_month", "int")]
+    assert trips.count() == 3886
+
+
+def test_the_batch_writes_every_table_and_its_funnel_agrees(spark, built):
+    lookups_there = {"payment_type_lookup", "vendor_lookup", "taxi_zone_lookup"}
+    assert set(built.tables) == {"trips_cleaned", *INSIGHTS, *lookups_there}
+    assert built.funnel.collect()[-1].rows_left == 3886
+
+
+def test_failed_cleaning_stops_the_batch(spark, sf_dir, tmp_path):
+    frame(spark, trip()).drop("fare_amount").write.parquet(f"{tmp_path}/raw/year=2025/month=01")
+    with pytest.raises(ValueError, match="fare_amount"):
+        build_lake(spark, str(tmp_path), lookup_frames(spark, sf_dir))
+    assert os.listdir(tmp_path / "insights") == ["lookups"]
+
+
+def test_a_month_is_replaced_alone(spark, built, tmp_path):
+    trips = lake.scan_cleaned(spark, built.tables["trips_cleaned"])
+    path = str(tmp_path / "cleaned")
+    lake.write_cleaned(trips, path)
+    month = trips.where("pickup_year = 2024 AND pickup_month = 3")
+    lake.write_cleaned(month.limit(1), path, only_given_months=True)
+    after = lake.scan_cleaned(spark, path)
+    assert after.where("pickup_year = 2024 AND pickup_month = 3").count() == 1
+    assert after.count() == trips.count() - month.count() + 1
+
+
+def test_a_month_is_few_files(spark, built):
+    folders = list(Path(built.tables["trips_cleaned"]).glob("pickup_year=*/pickup_month=*"))
+    files = [list(folder.glob("*.parquet")) for folder in folders]
+    assert len(folders) > 70
+    assert max(map(len, files)) <= 2
+
+
+def test_overwrite_replaces_and_append_adds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    lake.write_table(spark.range(3), path)
+    lake.write_table(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+    lake.write_table(spark.range(2), path, mode="append")
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_inventory_agrees_with_the_file_system(spark, built):
+    base = f"{built.root}/raw"
+    on_disk = {}
+    for file in Path(base).glob("year=*/month=*/*.parquet"):
+        year, month = (int(part.split("=")[1]) for part in file.parts[-3:-1])
+        count, size = on_disk.get((year, month), (0, 0))
+        on_disk[year, month] = (count + 1, size + file.stat().st_size)
+    found = {
+        (r.year, r.month): (r.file_count, r.total_bytes)
+        for r in lake.lake_inventory(spark, base).collect()
+    }
+    assert found == on_disk
+    cleaned = lake.lake_inventory(spark, built.tables["trips_cleaned"], ("pickup_year",))
+    assert cleaned.count() == len({r[0] for r in on_disk if r[0] < 2026})
+
+
+def test_lookups_survive_csv_and_parquet(spark, sf_dir, tmp_path):
+    frames = lookup_frames(spark, sf_dir)
+    files = {}
+    for name, df in frames.items():
+        files[name] = str(tmp_path / f"{name}.csv")
+        lake.write_table(df.coalesce(1), files[name], "csv", options={"header": "true"})
+    paths = lookups.publish_lookup_files(spark, files, str(tmp_path / "out"))
+    for name, df in frames.items():
+        back = spark.read.parquet(paths[name])
+        assert back.dtypes == df.dtypes
+        assert back.exceptAll(df).count() == 0 and back.count() == df.count()
+
+
+def test_quoted_lookup_files(spark, tmp_path):
+    file = tmp_path / "zones.csv"
+    file.write_text('"LocationID","Borough","Zone","service_zone"\n7,"Queens","A, B","Boro Zone"\n8,"N/A","N/A","N/A"\n')
+    rows = lookups.scan_lookup_csv(spark, str(file), "taxi_zone_lookup").collect()
+    assert [tuple(r) for r in rows] == [(7, "Queens", "A, B", "Boro Zone"), (8, "N/A", "N/A", "N/A")]
+
+
+def in_database(spark, name, tmp_path):
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/db'")
+    return name
+
+
+def test_registering_twice_is_harmless_and_sees_new_columns_and_months(spark, tmp_path):
+    root = str(tmp_path)
+    cleaned = clean_trips(frame(spark, trip()))
+    frame(spark, trip()).write.parquet(f"{root}/raw/year=2025/month=01")
+    lake.write_cleaned(cleaned, f"{root}/processed/trips_cleaned")
+    lake.write_table(spark.range(2), f"{root}/insights/small")
+    db = in_database(spark, "twice", tmp_path)
+    assert set(catalog.register_lake(spark, root, db)) == {"raw", "trips_cleaned", "small"}
+    assert spark.table(f"{db}.raw").count() == 1
+
+    frame(spark, trip()).write.parquet(f"{root}/raw/year=2025/month=02")
+    lake.write_table(spark.range(3).withColumn("more", F.lit("x")), f"{root}/insights/small")
+    catalog.register_lake(spark, root, db)
+    assert spark.table(f"{db}.raw").count() == 2
+    assert spark.table(f"{db}.small").columns == ["id", "more"]
+    assert spark.table(f"{db}.small").count() == 3
+
+    lake.write_table(spark.range(1).select(F.col("id").cast("string")), f"{root}/insights/small")
+    catalog.register_lake(spark, root, db)
+    assert spark.table(f"{db}.small").dtypes == [("id", "string")]
+
+
+def test_stray_files_are_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    frame(spark, trip()).write.parquet(f"{root}/raw/year=2025/month=01")
+    path = f"{root}/processed/trips_cleaned"
+    lake.write_cleaned(clean_trips(frame(spark, trip())), path)
+    Path(f"{path}/pickup_year=2025/pickup_month=1/part.tmp").write_text("unfinished")
+    lake.write_table(spark.range(2), f"{root}/insights/small")
+    assert lake.scan_cleaned(spark, path).count() == 1
+    db = in_database(spark, "stray", tmp_path)
+    for _ in range(2):
+        catalog.register_lake(spark, root, db)
+        assert spark.table(f"{db}.trips_cleaned").count() == 1
+    catalog.register_lake(spark, root)
+    assert spark.table("trips_cleaned").count() == 1
+
+
+def test_registered_tables_prune_partitions(spark, built, tmp_path):
+    db = in_database(spark, "pruned", tmp_path)
+    catalog.register_lake(spark, built.root, db)
+    month = spark.sql(f"SELECT count(*) FROM {db}.trips_cleaned WHERE pickup_year = '2025' AND pickup_month = '1'")
+    whole = lake.scan_cleaned(spark, built.tables["trips_cleaned"])
+    assert month.head()[0] == whole.where("pickup_year = 2025 AND pickup_month = 1").count() > 0
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan
+
+
+def test_audit(spark, built, tmp_path):
+    db = in_database(spark, "audited", tmp_path)
+    locations = catalog.register_lake(spark, built.root, db)
+    wanted = ["raw", "trips_cleaned", "monthly_trends", "vendor_lookup", "nowhere"]
+    for audit in (
+        catalog.table_audit(spark, wanted, db),
+        catalog.table_audit(spark, wanted, db, locations),
+    ):
+        found = {r.table_name: (r.present, r.layer, r.row_count) for r in audit.collect()}
+        assert found == {
+            "raw": (True, "raw", 6116),
+            "trips_cleaned": (True, "processed", 3886),
+            "monthly_trends": (True, "insights", 12),
+            "vendor_lookup": (True, "lookup", 4),
+            "nowhere": (False, None, None),
+        }
+    none = catalog.table_audit(spark, ["nowhere"], db).head()
+    assert (none.present, none.row_count) == (False, None)
+
+
+def session_with(folder, master):
+    context = SimpleNamespace(master=master, applicationId="app-1")
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+
+def test_work_folders_are_new_and_where_the_session_says():
+    shared = session_with("/shared/place/", "spark://host")
+    first, second = work_folder(shared, "x"), work_folder(shared, "x")
+    assert first.startswith("/shared/place/x-") and first != second
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(session_with(None, "spark://host"), "x")
+    alone = session_with(None, "local[2]")
+    assert Path(work_folder(alone, "x")).parent == Path(work_folder(alone, "y")).parent
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions_for(10, cores=8) == 8
+    assert shuffle_partitions_for(100 * 1024**3) == 2400
+    assert shuffle_partitions_for(100 * 1024**4) == 100_000
