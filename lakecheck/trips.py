@@ -12,58 +12,47 @@ from pyspark.sql import functions as F
 CENTS = 100
 
 
-def _money(cents):
-    return cents.cast("double") / 100
+# What the cleaning tests look at is made by the generator, once per row: a plain
+# projection would be copied into the filter wherever it is used.
+SEED = """struct(
+    timestamp_seconds(start_second) AS tpep_pickup_datetime,
+    if(h % 307 <> 0, timestamp_seconds(start_second + lasts), NULL) AS tpep_dropoff_datetime,
+    if(h % 89 = 0, -500, floor(l_extendedprice / 15)) AS fc)"""
+
+TRIP = """
+    if(h % 4 = 3, 7, if(h % 4 = 2, 6, CAST(h % 4 + 1 AS INT))) AS VendorID;
+    tpep_pickup_datetime;
+    tpep_dropoff_datetime;
+    if(h % 97 <> 0, CAST(l_partkey % 9 AS DOUBLE), NULL) AS passenger_count;
+    if(h % 101 = 0, 0D, l_quantity / 4) AS trip_distance;
+    if(h % 113 <> 0, CAST(l_partkey % 265 + 1 AS INT), NULL) AS PULocationID;
+    if(h % 127 <> 0, CAST((l_orderkey + l_suppkey) % 265 + 1 AS INT), NULL) AS DOLocationID;
+    if(h % 131 <> 0, CAST(l_orderkey % 7 AS INT), NULL) AS payment_type;
+    fc / 100D AS fare_amount;
+    ec / 100D AS extra;
+    tc / 100D AS tip_amount;
+    cc / 100D AS congestion_surcharge;
+    if(h % 503 = 0, 0D, (fc + tc + ec + coalesce(cc, 0)) / 100D) AS total_amount
+"""
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    order, part, supp, line = (
-        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    )
-    h, fc, tc, cc = (F.col(c) for c in ("h", "fc", "tc", "cc"))
-
-    def unless_every(n, value):
-        return F.when(h % n != 0, value)
-
-    start = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + 8900 * 86400 + h % 86400
-    lasts = F.when(h % 211 == 0, F.lit(90000)).otherwise((part * 7 + line * 911 + supp) % 5400 - 120)
-    fare_cents = F.when(h % 89 == 0, F.lit(-500)).otherwise(F.floor(F.col("l_extendedprice") / 15))
-    # What the cleaning tests look at is made by the generator, once per row: a
-    # plain projection would be copied into the filter wherever it is used.
-    seed = F.struct(
-        F.timestamp_seconds(start).alias("tpep_pickup_datetime"),
-        unless_every(307, F.timestamp_seconds(start + lasts)).alias("tpep_dropoff_datetime"),
-        fare_cents.alias("fc"),
-    )
-    seeds = F.array_repeat(seed, F.when(order % 50 == 0, 2).otherwise(1))
-    ec = h % 4 * 50
-    parts = (
-        items.withColumn("h", order * 31 + part * 17 + supp * 13 + line * 7)
-        .select("*", F.inline(seeds))
-        .withColumns(
-            {
-                "tc": F.floor(fc * F.round(F.col("l_discount") * 100) * 2 / 100),
-                "cc": F.when(F.col("l_returnflag") == "R", 250).when(F.col("l_returnflag") == "A", 0),
-            }
+    return (
+        items.selectExpr("*", "l_orderkey*31 + l_partkey*17 + l_suppkey*13 + l_linenumber*7 AS h")
+        .selectExpr(
+            "*",
+            "unix_seconds(CAST(l_shipdate AS TIMESTAMP)) + 8900*86400 + h % 86400 AS start_second",
+            "if(h % 211 = 0, 90000, (l_partkey*7 + l_linenumber*911 + l_suppkey) % 5400 - 120) AS lasts",
         )
-    )
-    return parts.select(
-        F.when(h % 4 == 0, 1).when(h % 4 == 1, 2).when(h % 4 == 2, 6).otherwise(7).alias("VendorID"),
-        "tpep_pickup_datetime",
-        "tpep_dropoff_datetime",
-        unless_every(97, (part % 9).cast("double")).alias("passenger_count"),
-        F.when(h % 101 == 0, F.lit(0.0)).otherwise(F.col("l_quantity") / 4).alias("trip_distance"),
-        unless_every(113, (part % 265 + 1).cast("int")).alias("PULocationID"),
-        unless_every(127, ((order + supp) % 265 + 1).cast("int")).alias("DOLocationID"),
-        unless_every(131, (order % 7).cast("int")).alias("payment_type"),
-        _money(fc).alias("fare_amount"),
-        _money(ec).alias("extra"),
-        _money(tc).alias("tip_amount"),
-        _money(cc).alias("congestion_surcharge"),
-        F.when(h % 503 == 0, F.lit(0.0))
-        .otherwise(_money(fc + tc + ec + F.coalesce(cc, F.lit(0))))
-        .alias("total_amount"),
+        .selectExpr("*", f"inline(array_repeat({SEED}, if(l_orderkey % 50 = 0, 2, 1)))")
+        .selectExpr(
+            "*",
+            "h % 4 * 50 AS ec",
+            "CASE l_returnflag WHEN 'R' THEN 250 WHEN 'A' THEN 0 END AS cc",
+            "floor(fc * round(l_discount * 100) * 2 / 100) AS tc",
+        )
+        .selectExpr(*TRIP.split(";"))
     )
 
 
