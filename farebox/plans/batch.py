@@ -46,7 +46,8 @@ def build_lake(
     tables = publish_lookups(lookups, f"{root}/{catalog.LOOKUP_FOLDER}")
     raw = scan_raw(spark, f"{root}/{catalog.RAW}", months)
     cleaned_path = f"{root}/{catalog.CLEANED}"
-    write_cleaned(clean_trips(raw, rules), cleaned_path, only_given_months)
+    cleaned = clean_trips(raw, rules, by_month=True)
+    write_cleaned(cleaned, cleaned_path, only_given_months, gathered=True)
     tables["trips_cleaned"] = cleaned_path
     insights = insight_tables(scan_cleaned(spark, cleaned_path))
     tables |= {name: f"{root}/{catalog.INSIGHT_FOLDER}/{name}" for name in insights}

@@ -27,25 +27,25 @@ def write_table(
     writer.save(path)
 
 
-def write_cleaned(trips: DataFrame, path: str, only_given_months: bool = False) -> None:
+def write_cleaned(
+    trips: DataFrame, path: str, only_given_months: bool = False, gathered: bool = False
+) -> None:
     """Write cleaned trips by pickup year and month.
 
     Rows are rebalanced by month first, so that a month is a few well-filled
     files and not one sliver per task; Spark splits a month that is too large
-    for one task. ``only_given_months`` replaces just the months present in
-    ``trips`` and keeps the rest of the table.
+    for one task. Trips already ``gathered`` by month are written as they are.
+    ``only_given_months`` replaces just the months present in ``trips`` and
+    keeps the rest of the table.
     """
     partitions = [name for name in CLEANED_PARTITIONS if name in trips.columns]
     if len(partitions) < len(CLEANED_PARTITIONS):
         write_table(trips, path)
         return
+    if not gathered:
+        trips = trips.hint("rebalance", *[F.col(p) for p in partitions])
     overwrite = {"partitionOverwriteMode": "dynamic" if only_given_months else "static"}
-    write_table(
-        trips.hint("rebalance", *[F.col(p) for p in partitions]),
-        path,
-        partition_by=partitions,
-        options=overwrite,
-    )
+    write_table(trips, path, partition_by=partitions, options=overwrite)
 
 
 def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, partial, reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,9 +121,21 @@ def _insight(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- a lake on disk, written once per session and data set ---
 
 
-@cache
-def _raw_lake(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _once(make: Callable) -> Callable:
+    """Keep what ``make`` returns for a session and data set."""
+    made: dict = {}
+
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = make(spark, sf_dir)
+        return made[key]
+
+    return get
+
+
+@_once
+def raw_lake(spark: SparkSession, sf_dir: str) -> str:
     root = work_folder(spark, "lake")
     pickup = F.col("tpep_pickup_datetime")
     trips = raw_trips(spark, sf_dir).withColumns(
@@ -134,10 +146,6 @@ def _raw_lake(app: str, sf_dir: str) -> str:
     return root
 
 
-def raw_lake(spark: SparkSession, sf_dir: str) -> str:
-    return _raw_lake(spark.sparkContext.applicationId, sf_dir)
-
-
 def lookup_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "payment_type_lookup": lookups.payment_types(spark),
@@ -146,14 +154,9 @@ def lookup_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-@cache
-def _built_lake(app: str, sf_dir: str) -> Lake:
-    spark = SparkSession.getActiveSession()
-    return build_lake(spark, raw_lake(spark, sf_dir), lookup_frames(spark, sf_dir))
-
-
+@_once
 def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    return _built_lake(spark.sparkContext.applicationId, sf_dir)
+    return build_lake(spark, raw_lake(spark, sf_dir), lookup_frames(spark, sf_dir))
 
 
 def _by_raw_month(trips: DataFrame) -> DataFrame:
@@ -231,9 +234,8 @@ def _lookup_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@cache
-def _registered(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+@_once
+def _registered(spark: SparkSession, sf_dir: str) -> str:
     built = built_lake(spark, sf_dir)
     name = "trip_lake_" + built.root.rsplit("-", 1)[-1][:8]
     spark.sql(f"CREATE DATABASE {name} LOCATION '{work_folder(spark, 'database')}'")
@@ -243,7 +245,7 @@ def _registered(app: str, sf_dir: str) -> str:
 
 
 def _register_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = _registered(spark.sparkContext.applicationId, sf_dir)
+    database = _registered(spark, sf_dir)
     tables = [t.name for t in spark.catalog.listTables(database)]
     parts = [
         spark.table(f"{database}.{t}").agg(F.count("*").alias("row_count")).select(
@@ -259,7 +261,7 @@ def _register_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = _registered(spark.sparkContext.applicationId, sf_dir)
+    database = _registered(spark, sf_dir)
     expected = ["raw", "trips_cleaned", *INSIGHTS, *lookup_frames(spark, sf_dir), "never_written"]
     return catalog.table_audit(spark, expected, database)
 

@@ -93,3 +93,10 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(registry.queries()[name](spark, sf_dir))
     for unwanted in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
+
+
+def test_months_are_gathered_before_columns_are_added(raw):
+    plan = plan_of(clean_trips(raw, by_month=True))
+    assert plan.count("Exchange") == 2
+    assert "REBALANCE" in plan
+    assert "trip_length_category" not in plan.split("Exchange")[1]
