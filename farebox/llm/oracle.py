@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from farebox.llm import url_filter
+from farebox.llm.queries import URL_RULES
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.oracle(URL_RULES)}

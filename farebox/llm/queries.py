@@ -8,14 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, token_count
-from farebox.llm.common import prepare, table
+from farebox.llm import bpe, quality, token_count, toxicity, url_filter
+from farebox.llm.common import in_fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_BPE = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
+# The rules of the URL query.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
@@ -23,6 +32,25 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "made.*")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 4, 2)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity("text", model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return url_filter.judge_urls(spark, pages, labels, URL_RULES)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 5, 0)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.quality("text", model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -41,6 +69,9 @@ def _prepared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_toxicity": op3_toxicity,
+    "op4_url_filter": op4_url_filter,
+    "op7_quality": op7_quality,
     "op9_token_count": op9_token_count,
 }
 
