@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, quality, token_count, toxicity, url_filter
+from farebox.llm import ann, bpe, quality, token_count, toxicity, url_filter
 from farebox.llm.common import in_fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(prepare(spark), sf_dir)
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op4_url_filter": op4_url_filter,
     "op7_quality": op7_quality,
     "op9_token_count": op9_token_count,
+    "op10_ann": op10_ann,
 }
 
 
