@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import ann, bpe, quality, token_count, toxicity, url_filter
+from farebox.llm import ann, bpe, decontaminate, html_extract, quality, token_count, toxicity, url_filter
 from farebox.llm.common import in_fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ URL_RULES = [
 ]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_extract.main_text("html", html_extract.fit(pages), pages).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", bpe.bpe_digests("text", path).alias("made"))
@@ -51,6 +57,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -72,10 +82,12 @@ def _prepared(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extract": op1_html_extract,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
     "op7_quality": op7_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_count": op9_token_count,
     "op10_ann": op10_ann,
 }
