@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import ann, bpe, decontaminate, html_extract, lm, quality, token_count, toxicity, url_filter
+from farebox.llm import ann, bpe, decontaminate, html_extract, jaccard, lm, quality, token_count, toxicity, url_filter
 from farebox.llm.common import in_fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark, pages, labels, URL_RULES)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_lm_score": op6_lm_score,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
