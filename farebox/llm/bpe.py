@@ -191,6 +191,17 @@ def bpe_decode(ids: str, path: str) -> Column:
     return decoded(F.col(ids))
 
 
+def bpe_codec(text: str, path: str) -> Column:
+    """Struct of the ids of the whole text in column ``text`` and the text they decode to."""
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def coded(texts: pa.Array) -> pa.Array:
+        ids = _as_lists(encode_texts(texts, path))
+        return pa.StructArray.from_arrays([ids, decode_ids(ids, path).cast(pa.string())], ["ids", "decoded"])
+
+    return coded(F.col(text))
+
+
 def bpe_digests(text: str, path: str) -> Column:
     """Struct of the token count and digests of ids and decoded text.
 

@@ -64,6 +64,14 @@ def in_fold(doc_id: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read again: computed once, lineage cut."""
     path = work_folder(df.sparkSession, purpose)

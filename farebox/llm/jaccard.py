@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import mixed, over_batches, row_starts, stored, words_hashed
+from farebox.llm.common import free_name, mixed, over_batches, row_starts, stored, words_hashed
 from farebox.llm.components import components
+from farebox.llm.lm import build_filter
 
 SHINGLE = 5
 LINKED = 80  # percent
@@ -37,6 +38,7 @@ COMMON = 4  # of these
 TILE = 1024  # documents in a piece
 BAND = 1.25  # sizes in a band; beyond the next band no pair can be linked
 LEAST_BITS = 64
+SIEVE_BYTES = 8 << 20  # of the Bloom filter that tells rows which may have to go
 
 _PLACES = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -313,6 +315,27 @@ def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _row().alias("row"), "text")
+
+
+def _row() -> Column:
+    """What tells rows apart; rows with equal id and text have the same."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, row, n, key and component of every row; the component of an empty set is its key."""
+    spark = docs.sparkSession
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    texts = _texts(docs)
+    sets = texts.mapInArrow(over_batches(_measured), "doc_id bigint, row bigint, n bigint, key bigint")
+    sets = stored(sets, "shingle-sets")
+    links = near_duplicate_links(texts.select("row", "text"), sets)
+    found = components(links).withColumnRenamed("node", "key")
+    return sets.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -321,20 +344,42 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     NULL doc_id is carried along and names no component; the component's id then is the least
     of the others, or NULL where there is none. Of ``docs`` only doc_id and text are read.
     """
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text"
-    )
-    sets = texts.mapInArrow(over_batches(_measured), "doc_id bigint, row bigint, n bigint, key bigint")
-    sets = stored(sets, "shingle-sets")
-    links = near_duplicate_links(texts.select("row", "text"), sets)
-    grouped = sets.join(components(links).withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
+    grouped = _grouped(docs)
     least = grouped.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return grouped.join(least, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one left of each group of near copies: that with the least
+    id, a NULL id coming last. Rows without shingles all stay.
+
+    Rows that go are found by their hash. A Bloom filter of fixed size lets the others pass
+    without a shuffle; those it cannot tell are joined.
+    """
+    grouped = _grouped(docs).where("n > 0").select(
+        "component", "row", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row").alias("order")
+    )
+    first = grouped.groupBy("component").agg(F.min("order").alias("first"))
+    judged = grouped.join(first, "component").groupBy("row").agg(
+        F.count("*").alias("times"), F.max(F.col("order") == F.col("first")).alias("stays")
+    )
+    judged = stored(judged.where("times > 1 OR NOT stays").select("row", "stays"), "rows-to-judge")
+    sieve = build_filter(judged.select(F.col("row").alias("key"), F.lit(1).alias("n")), SIEVE_BYTES, most=1 << 62)
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+
+    @F.arrow_udf("boolean")
+    def in_question(rows: pa.Array) -> pa.Array:
+        return pa.array(sent.value.counts(rows.to_numpy(zero_copy_only=False).view(np.uint64)) > 0)
+
+    row, stays, place = (free_name(docs, name) for name in ("row", "stays", "place"))
+    named = docs.withColumn(row, _row())
+    clear = named.where(~in_question(F.col(row))).drop(row)
+    unsure = named.where(in_question(F.col(row)))
+    unsure = unsure.join(judged.toDF(row, stays), row, "left").where(F.coalesce(stays, F.lit(True)))
+    copy = Window.partitionBy(row).orderBy(row)
+    unsure = unsure.withColumn(place, F.row_number().over(copy)).where(F.isnull(stays) | (F.col(place) == 1))
+    return clear.unionByName(unsure.select(*docs.columns))
