@@ -1,9 +1,10 @@
 """Documents whose sets of five-word shingles overlap, joined exactly.
 
-Two sets with a Jaccard similarity of ``LINKED`` percent or more have a shingle in common
-among the first of each, a fifth of the set and one more, in any one order. That order is
-by hash, with shingles that are common in a sample of documents last. So only documents that
-share such a shingle are ever compared, and equal sets count as one.
+Two sets with a Jaccard similarity of ``LINKED`` percent or more have one in ``SPARE`` of
+their shingles in common among the first quarter of each, in any one order. That order is
+by hash, with shingles that are common in a sample of documents last. A document of whose
+first shingles fewer are found elsewhere is linked with none and put aside; only documents
+that share a first shingle are ever compared, and equal sets count as one.
 
 1. Of the documents with a shingle, the one with the least key is its pivot. Each document
    is compared with the pivot it shares most with; most copies are linked by that.
@@ -20,7 +21,9 @@ Shingles and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,12 @@ from farebox.llm.lm import build_filter
 
 SHINGLE = 5
 LINKED = 80  # percent
+SPARE = 20  # one in so many shingles is a further one that the first ones must share
 MOST_SAMPLED = 2000  # documents that tell which shingles are common
 COMMON = 4  # of these
+PEELED = 2  # times that documents with too little in common are put aside
 TILE = 1024  # documents in a piece
+HELD_PAIRS = 100_000  # pairs a task holds, each once, before it hands them on
 BAND = 1.25  # sizes in a band; beyond the next band no pair can be linked
 LEAST_BITS = 64
 SIEVE_BYTES = 8 << 20  # of the Bloom filter that tells rows which may have to go
@@ -86,8 +92,13 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def prefix_length(sizes: np.ndarray) -> np.ndarray:
-    """How many first shingles must hold one of any linked set's first."""
-    return sizes - -(-sizes * LINKED // 100) + 1
+    """How many first shingles hold enough that are also among any linked set's first.
+
+    Of two linked sets the overlap is ``LINKED`` percent of the larger at least. If only one
+    in common were asked of them, the shingles beyond that overlap and one more would do;
+    each further one takes one more.
+    """
+    return np.minimum(sizes, sizes - -(-sizes * LINKED // 100) + 1 + sizes // SPARE)
 
 
 def _postings(batch: pa.RecordBatch, common: np.ndarray) -> pa.RecordBatch:
@@ -156,47 +167,79 @@ def may_link(shared: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
     return 100 * shared >= LINKED * (n + sizes - shared)
 
 
-def tile_pairs(tile: pa.Table, first_only: bool) -> list[tuple[int, int]]:
-    """Pairs of keys of different components that may be linked.
+def _likely(tile: Tile, first_only: bool) -> set[tuple[int, int]]:
+    """Pairs of keys of different components that may be linked, from rows sorted by size.
 
     With ``first_only`` each document gives one pair per other component, the likeliest.
     Where a tile has two pieces, only pairs across them are looked at.
     """
-    tile = tile.sort_by([("n", "ascending"), ("key", "ascending")])
-    keys, sizes = tile["key"].to_numpy(), tile["n"].to_numpy()
-    component, piece = tile["component"].to_numpy(), tile["piece"].to_numpy()
-    bitmaps = tile["bits"].to_pylist()
-    across = tile["left"][0].as_py() != tile["right"][0].as_py()
-    found: dict[tuple[int, int], tuple[int, int]] | set = {} if first_only else set()
+    keys, sizes, component, piece = tile.keys, tile.sizes, tile.component, tile.piece
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    found: set[tuple[int, int]] = set()
     start = 0
     while start < len(keys):
         width = _bits(int(sizes[start]))
-        band = int(np.searchsorted(sizes, sizes[start] * BAND, side="left"))
-        band = max(band, start + 1)
+        band = max(start + 1, int(np.searchsorted(sizes, sizes[start] * BAND, side="left")))
         reach = int(np.searchsorted(sizes, 100 * sizes[band - 1] // LINKED, side="right"))
-        marks = folded(bitmaps[start:reach], width)
-        for i in range(start, band):
-            rest = slice(i + 1, reach)
-            other = component[rest] != component[i]
-            if across:
-                other &= piece[rest] != piece[i]
-            at = np.flatnonzero(other)
+        marks = folded(tile.bitmaps[start:reach], width) if reach > start + 1 else None
+        for i in range(start, min(band, reach - 1)):
+            other = component[i + 1 : reach] != component[i]
+            if tile.across:
+                other &= piece[i + 1 : reach] != piece[i]
+            at = np.flatnonzero(other) + i + 1
             if not len(at):
                 continue
-            at += i + 1
             bound = overlap_bounds(marks[i - start], int(sizes[i]), marks[at - start], sizes[at])
             fits = may_link(bound, int(sizes[i]), sizes[at])
             for j, shared in zip(at[fits].tolist(), bound[fits].tolist(), strict=True):
                 pair = (min(int(keys[i]), int(keys[j])), max(int(keys[i]), int(keys[j])))
-                if not first_only:
-                    found.add(pair)
-                    continue
+                found.add(pair)
                 share = 1000 * shared // int(sizes[i] + sizes[j] - shared)
                 for key, of in ((int(keys[i]), int(component[j])), (int(keys[j]), int(component[i]))):
-                    if found.get((key, of), (-1,))[0] < share:
-                        found[key, of] = (share, *pair)
+                    if best.get((key, of), (-1,))[0] < share:
+                        best[key, of] = (share, *pair)
         start = band
-    return sorted({best[1:] for best in found.values()} if first_only else found)
+    return {chosen[1:] for chosen in best.values()} if first_only else found
+
+
+@dataclass
+class Tile:
+    across: bool
+    keys: np.ndarray
+    sizes: np.ndarray
+    component: np.ndarray
+    piece: np.ndarray
+    bitmaps: list[bytes]
+
+
+TILE_COLUMNS = ["shingle", "left", "right", "n", "key", "component", "piece", "bits"]
+
+
+def _tiles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[Tile]:
+    """Tiles from rows sorted by tile and size, which may run on from batch to batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held.append(batch)
+            marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
+            if not len(marks[0]) or all(m[0] == m[-1] for m in marks) and len(held) == 1:
+                continue
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        marks = [rows[c].to_numpy() for c in TILE_COLUMNS[:3]]
+        changed = np.zeros(max(len(rows) - 1, 0), dtype=bool)
+        for m in marks:
+            changed |= m[1:] != m[:-1]
+        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), len(rows)]
+        whole = cuts if batch is None else cuts[:-1]  # the last tile may go on
+        numbers = [rows[c].to_numpy() for c in ("key", "n", "component", "piece")]
+        bitmaps = rows["bits"].combine_chunks()
+        for a, b in itertools.pairwise(whole):
+            if b - a > 1:
+                keys, sizes, component, piece = (x[a:b] for x in numbers)
+                yield Tile(marks[1][a] != marks[2][a], keys, sizes, component, piece, bitmaps[a:b].to_pylist())
+        held = rows.slice(whole[-1]).to_batches() if batch is not None else []
 
 
 def _decided(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -272,12 +315,31 @@ def _candidates(
     mixed_up = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ones = placed.join(mixed_up.where("low <> high").select("shingle"), "shingle")
 
-    def compare(tile: pa.Table) -> pa.Table:
-        pairs = np.array(tile_pairs(tile, first_only), dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for tile in _tiles_in(batches):
+            seen |= _likely(tile, first_only)
+            if len(seen) >= HELD_PAIRS:
+                yield _as_pairs(seen)
+                seen = set()
+        if seen:
+            yield _as_pairs(seen)
+
+    tiles = _tiles(open_ones, signatures).repartition("shingle", "left", "right")
+    tiles = tiles.sortWithinPartitions("shingle", "left", "right", "n", "key").select(*TILE_COLUMNS)
+    return tiles.mapInArrow(compare, "a bigint, b bigint").distinct()
+
 
-    tiles = _tiles(open_ones, signatures)
-    return tiles.groupBy("shingle", "left", "right").applyInArrow(compare, "a bigint, b bigint").distinct()
+def _as_pairs(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    columns = np.array(sorted(pairs), dtype=np.int64).T
+    return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1])], ["a", "b"])
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """The rows whose shingle several keys have, each once, with the least of these keys."""
+    keys = postings.select("shingle", "key")
+    ends = keys.groupBy("shingle").agg(F.min("key").alias("pivot"), F.max("key").alias("last"))
+    return keys.join(ends.where("pivot <> last").select("shingle", "pivot"), "shingle").distinct()
 
 
 def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -291,12 +353,14 @@ def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         return _postings(batch, sent.value)
 
     postings = texts.select("text").mapInArrow(over_batches(post), "shingle bigint, key bigint")
-    ends = postings.groupBy("shingle").agg(F.min("key").alias("pivot"), F.max("key").alias("last"))
-    ends = ends.where("pivot <> last").select("shingle", "pivot")
-    shared = stored(postings.join(ends, "shingle").distinct(), "shared-shingles")
-
-    wanted = shared.select("key").distinct().join(sets.where("n > 0"), "key").groupBy("key").agg(F.min("row").alias("row"))
-    wanted = stored(wanted.select("row"), "wanted")
+    shared = stored(_shared(postings), "shared-shingles")
+    sized = stored(sets.where("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row")), "set-sizes")
+    # The smaller of two linked sets has at least this share of the larger's size.
+    enough = F.expr(f"times > floor(ceil(n * {LINKED} / 100) / {SPARE})")
+    for _ in range(PEELED):
+        active = shared.groupBy("key").agg(F.count("*").alias("times")).join(sized, "key").where(enough)
+        shared = stored(_shared(shared.join(active.select("key"), "key", "left_semi")), "shared-shingles")
+    wanted = stored(shared.select("key").distinct().join(sized, "key").select("row"), "wanted")
     # Read back with a test on its column, so that Spark filters the texts by a Bloom filter
     # of these rows before it shuffles them.
     needed = texts.join(wanted.where(F.col("row") >= F.lit(-(1 << 63))), "row", "left_semi").select("text")
