@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.llm.common import hashed_sample
+
 MOST_TRAINING = 20_000  # vectors that rotations and radius are learned from
 MOST_TRIED = 200  # of these, queries for the radius
 BITS = 128
@@ -192,7 +194,7 @@ def nearest_neighbours(
     taken = vectors.where(usable(vectors, vector) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     )
-    sample = taken.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_TRAINING).toArrow()
+    sample = hashed_sample(taken, MOST_TRAINING).toArrow().sort_by("vec_id")
     empty = spark.createDataFrame([], FOUND)
     result = empty
     if len(sample):

@@ -79,21 +79,34 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hashed_sample(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct rows: those with the smallest hashes, so that a sample does
+    not depend on order or partitions.
+
+    Rows are counted first, and only a share expected to hold four times as many is ordered:
+    what meets in one task or at the driver is bounded, however many partitions there are.
+    """
+    n = rows.count()
+    share = min(1.0, 4 * most / max(n, 1))
+    limit = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    place = F.xxhash64(*rows.columns)
+    return rows.where(place <= F.lit(limit)).distinct().orderBy(place, *rows.columns).limit(most)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, target: str, held_out: Column, most: int
 ) -> DataFrame:
     """At most ``most`` labelled documents outside the held-out fold, as (doc_id, label, text).
 
-    Those with the smallest hashes of their id, so a sample does not depend on order or
-    partitions. Only the bounded list of ids is broadcast. Rows with NULL id or label
-    teach nothing; of several labels of an id the greatest counts, of several texts the least.
+    Only the bounded list of ids and labels is broadcast. Rows with NULL id or label teach
+    nothing; of several labels of an id the greatest counts, of several texts the least.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & ~held_out)
         .groupBy("doc_id")
         .agg(F.max(target).cast("int").alias("label"))
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = hashed_sample(known, most)
     return (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")

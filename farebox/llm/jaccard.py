@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import free_name, mixed, over_batches, row_starts, stored, words_hashed
+from farebox.llm.common import free_name, hashed_sample, mixed, over_batches, row_starts, stored, words_hashed
 from farebox.llm.components import components
 from farebox.llm.lm import build_filter
 
@@ -276,7 +276,7 @@ def _links(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
 def _common_shingles(texts: DataFrame) -> np.ndarray:
     """Shingles that several sets of a bounded sample have; only the order depends on them."""
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(MOST_SAMPLED).toArrow()["text"]
+    sample = hashed_sample(texts, MOST_SAMPLED).toArrow()["text"]
     hashes, sizes = shingle_sets(sample)
     _, first = np.unique(set_keys(hashes, sizes), return_index=True)
     kept = np.zeros(len(sizes), dtype=bool)

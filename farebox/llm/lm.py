@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import mixed, row_starts, stored, words_hashed
+from farebox.llm.common import hashed_sample, mixed, row_starts, stored, words_hashed
 
 FILTER_BYTES = 32 << 20
 SEGMENTS = 256
@@ -217,17 +217,30 @@ def _times_in_row(row: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return times[place]
 
 
+def _least_frequent(words: DataFrame, most: int) -> int:
+    """The count from which on at most ``most`` words are, to within a sixteenth."""
+    step = F.floor(16 * F.log2("n")).cast("int")
+    steps = words.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
+    least, above = 1 << 62, 0
+    for row in sorted(steps, key=lambda row: -row.step):
+        above += row.words
+        if above > most:
+            break
+        least = row.least
+    return least
+
+
 def train(texts: DataFrame, size: int = FILTER_BYTES, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
     """The model of column ``text``, and the exact count of every word as (key, n)."""
     words = stored(ngram_counts(texts, pairs=False), "word-counts")
     pairs = stored(ngram_counts(texts, pairs=True).where(F.col("n") >= LEAST_PAIRS), "pair-counts")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
-    frequent = words.orderBy(F.desc("n"), "key").limit(head).toArrow()
+    frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
     keys = frequent["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     filled = build_filter(words.unionByName(pairs), size)
     model = LanguageModel(filled, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order])
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(MOST_TRIED).toArrow()["text"]
+    sample = hashed_sample(texts, MOST_TRIED).toArrow()["text"]
     if len(sample):
         model.choose_weight(sample)
     return model, words

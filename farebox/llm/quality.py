@@ -18,7 +18,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import labelled_sample, text_bytes
+from farebox.llm.common import hashed_sample, labelled_sample, text_bytes
 
 MOST_TRAINING = 6000  # labelled documents that dictionaries and curve are made from
 MOST_WINDOWS = 4000  # of each label for a dictionary
@@ -98,9 +98,8 @@ def fit(
     kinds = []
     for label in (1, 0):
         # A passage repeated in many documents counts once.
-        distinct = pieces.where(F.col("label") == label).select("piece").distinct()
-        chosen = distinct.orderBy(F.xxhash64("piece"), "piece").limit(MOST_WINDOWS)
-        kinds.append([bytes(row.piece) for row in chosen.collect()])
+        chosen = hashed_sample(pieces.where(F.col("label") == label).select("piece"), MOST_WINDOWS)
+        kinds.append(sorted(bytes(row.piece) for row in chosen.collect()))
     # As many windows of each kind: a dictionary made from more would suit any text better.
     fewest = min(map(len, kinds))
     good, bad = (kind[:fewest] for kind in kinds)
