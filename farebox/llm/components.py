@@ -36,4 +36,4 @@ def components(links: DataFrame) -> DataFrame:
         found = stored(moved(found, "component"), "components")
         ends = moved(moved(edges, "a"), "b").where("a <> b")
         edges = stored(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    return found
+    return found.select("node", "component")

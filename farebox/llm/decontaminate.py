@@ -82,12 +82,10 @@ def tiled(document: np.ndarray, item: np.ndarray, least: int) -> np.ndarray:
     length = max(least, len(item))
     while True:
         while found := _matches(document, item, marked, length):
-            done = False
-            for n, i, j in sorted(found, key=lambda m: (-m[0], m[2], m[1])):
-                if not marked[0][i : i + n].any() and not marked[1][j : j + n].any():
-                    marked[0][i : i + n] = marked[1][j : j + n] = done = True
-            if not done:
-                break  # not reached: the first and longest is always free
+            longest = max(n for n, _, _ in found)
+            for n, i, j in sorted(found, key=lambda m: (m[2], m[1])):
+                if n == longest and not marked[0][i : i + n].any() and not marked[1][j : j + n].any():
+                    marked[0][i : i + n] = marked[1][j : j + n] = True
         if length == least:
             return marked[1]
         length = max(least, length // 2)

@@ -3,8 +3,9 @@
 A page shows the document whose number follows the language in its path; where that document
 is labelled, the page has an outcome: bad, if its quality is 0 or it is toxic. Outcomes are
 summed by host, registered domain (the last two labels) and suffix (the last). Each level's
-rate is a beta posterior whose prior is centred on the level above it, and whose strength
-comes from how far groups differ beyond chance. A host is blocked when the lower bound of
+rate is a beta posterior. Its prior is centred on the level above, without the group's own
+outcomes; its strength comes from how far groups differ beyond chance, and is no more than
+the outcomes behind it. A host is blocked when the lower bound of
 its bad rate is above ``BLOCK_ABOVE``; a host without outcomes has its domain's rate.
 
 The same SQL runs on Spark and, as the check, on DuckDB.
@@ -98,32 +99,34 @@ def _strength_sql(groups: str) -> str:
     ) AS moments"""
 
 
+def _prior_sql(group: str, above: str, name: str) -> str:
+    """CTEs that give each group the mean and support of its prior: the level above without
+    the group itself, so that nothing counts twice; and how strongly the prior holds it."""
+    return f"""
+    {name}_groups AS (
+        SELECT g.*, (a.bad - g.bad + a.held * a.mean) / (a.n - g.n + a.held) AS mean, a.n - g.n + a.held AS support
+        FROM {group} AS g JOIN {above} AS a ON g.above = a.name),
+    {name}_strength AS ({_strength_sql(f"{name}_groups")}),
+    {name}_level AS (
+        SELECT name, n, bad, mean, least(support, (SELECT strength FROM {name}_strength)) AS held
+        FROM {name}_groups)"""
+
+
 def levels_sql(hosts: str) -> str:
-    """The chain of posteriors from everything to suffix to domain to host, as CTEs."""
+    """The chain of priors from everything to suffix to domain to host, as CTEs."""
     return f"""
-    everything AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) AS mean FROM {hosts}),
-    under_all AS (
-        SELECT suffix, sum(n) AS n, sum(bad) AS bad, max((SELECT mean FROM everything)) AS mean
-        FROM {hosts} GROUP BY suffix),
-    suffix_strength AS ({_strength_sql("under_all")}),
-    suffix_rate AS (
-        SELECT suffix, (bad + (SELECT strength FROM suffix_strength) * mean)
-                       / (n + (SELECT strength FROM suffix_strength)) AS mean FROM under_all),
-    under_suffixes AS (
-        SELECT d.suffix, d.domain, d.n, d.bad, s.mean
-        FROM (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM {hosts} GROUP BY suffix, domain) AS d
-        JOIN suffix_rate AS s ON d.suffix = s.suffix),
-    domain_strength AS ({_strength_sql("under_suffixes")}),
-    domain_rate AS (
-        SELECT domain, (bad + (SELECT strength FROM domain_strength) * mean)
-                       / (n + (SELECT strength FROM domain_strength)) AS mean FROM under_suffixes),
-    under_domains AS (
-        SELECT h.host, h.n, h.bad, d.mean FROM {hosts} AS h JOIN domain_rate AS d ON h.domain = d.domain),
-    host_strength AS ({_strength_sql("under_domains")}),
+    suffixes AS (SELECT suffix AS name, '' AS above, sum(n) AS n, sum(bad) AS bad FROM {hosts} GROUP BY suffix),
+    domains AS (
+        SELECT domain AS name, suffix AS above, sum(n) AS n, sum(bad) AS bad FROM {hosts} GROUP BY suffix, domain),
+    single_hosts AS (SELECT host AS name, domain AS above, n, bad FROM {hosts}),
+    everything AS (
+        SELECT '' AS name, sum(n) AS n, sum(bad) AS bad, CAST(0.5 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS held
+        FROM {hosts}),
+    {_prior_sql("suffixes", "everything", "suffix")},
+    {_prior_sql("domains", "suffix_level", "domain")},
+    {_prior_sql("single_hosts", "domain_level", "host")},
     posterior AS (
-        SELECT host, n + (SELECT strength FROM host_strength) AS total,
-               (bad + (SELECT strength FROM host_strength) * mean)
-               / (n + (SELECT strength FROM host_strength)) AS rate FROM under_domains),
+        SELECT name AS host, n + held AS total, (bad + held * mean) / (n + held) AS rate FROM host_level),
     reputation AS (
         SELECT host AS judged_host,
                rate - {DEVIATIONS} * sqrt(rate * (1 - rate) / (total + 1)) AS bad_bound FROM posterior)"""
