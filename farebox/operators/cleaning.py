@@ -199,6 +199,32 @@ def clean_trips(
     )
 
 
+def _tests_passed(rules: TripRules) -> Column:
+    """How many of the row tests a trip passes before it fails one."""
+    stages = rules.stages()
+    passed = F.lit(len(stages))
+    for depth, (_, test) in reversed(list(enumerate(stages))):
+        passed = F.when(F.coalesce(test, F.lit(False)), passed).otherwise(F.lit(depth))
+    return passed
+
+
+def stage_counts(raw: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
+    """(passed, copies): how many trips pass so many tests; a row per number of tests."""
+    trips = raw.transform(require_columns).transform(standardize_columns)
+    return trips.groupBy(_tests_passed(rules).alias("passed")).agg(F.count("*").alias("copies"))
+
+
+def funnel_rows(
+    counts: dict[int, int], kept: int, rules: TripRules = DEFAULT_RULES
+) -> list[tuple[int, str, int, int]]:
+    """The funnel's rows from ``stage_counts`` and the number of trips after de-duplication."""
+    names = ["raw", *[name for name, _ in rules.stages()], "dedup"]
+    left = [sum(n for passed, n in counts.items() if passed >= depth) for depth in range(len(names) - 1)]
+    left.append(kept)
+    before = [left[0], *left[:-1]]
+    return [(place, name, n, b - n) for place, (name, n, b) in enumerate(zip(names, left, before))]
+
+
 def cleaning_funnel(raw: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
     """Rows left after each stage, from one pass over the raw trips.
 
@@ -208,11 +234,8 @@ def cleaning_funnel(raw: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFra
     """
     trips = raw.transform(require_columns).transform(standardize_columns)
     stages = rules.stages()
-    passed = F.lit(len(stages))
-    for depth, (_, test) in reversed(list(enumerate(stages))):
-        passed = F.when(F.coalesce(test, F.lit(False)), passed).otherwise(F.lit(depth))
     keys = [name for name in TRIP_IDENTITY if name in trips.columns]
-    graded = trips.select(passed.alias("passed"), *keys).select(
+    graded = trips.select(_tests_passed(rules).alias("passed"), *keys).select(
         "passed", *[F.when(F.col("passed") == len(stages), F.col(k)).alias(k) for k in keys]
     )
     groups = graded.groupBy("passed", *keys).agg(F.count("*").alias("copies"))

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.sources.lookups import small
-
 ZONE_COLUMNS = (
     "location_id",
     "pulocationid",
@@ -21,7 +19,7 @@ ZONE_COLUMNS = (
 
 
 def _named(rows: DataFrame, lookup: DataFrame, code: str, lookup_code: str, how: str) -> DataFrame:
-    keyed = small(lookup.withColumnRenamed(lookup_code, "_code"))
+    keyed = lookup.withColumnRenamed(lookup_code, "_code")
     return rows.join(keyed, rows[code] == keyed["_code"], how).drop("_code")
 
 

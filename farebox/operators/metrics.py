@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 def trips_between(trips: DataFrame, start: str, end: str) -> DataFrame:
     """Trips picked up in ``[start, end)``.
 
-    The same range in months is added on the partition columns, so months
-    outside it are not read.
+    The same range in years and in months is added on the partition columns, so months
+    outside it are not read; the plain test on years is one a metastore can take too.
     """
     first = datetime.fromisoformat(start)
     last = datetime.fromisoformat(end) - timedelta(microseconds=1)
     month = F.col("pickup_year") * 12 + F.col("pickup_month")
     pickup = F.col("tpep_pickup_datetime")
     return trips.where(
-        month.between(first.year * 12 + first.month, last.year * 12 + last.month)
+        F.col("pickup_year").between(first.year, last.year)
+        & month.between(first.year * 12 + first.month, last.year * 12 + last.month)
         & (pickup >= F.lit(start).cast("timestamp"))
         & (pickup < F.lit(end).cast("timestamp"))
     )

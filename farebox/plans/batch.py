@@ -5,28 +5,98 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farebox.operators.cleaning import DEFAULT_RULES, TripRules, clean_trips, cleaning_funnel
+from farebox.functions.trip_columns import pickup_time
+from farebox.operators.cleaning import DEFAULT_RULES, TripRules, clean_trips, funnel_rows, stage_counts
 from farebox.plans.insights import insight_tables
+from farebox.session import folder_exists, remove_folder, shuffle_width, work_folder
 from farebox.sources import catalog
-from farebox.sources.lake import scan_cleaned, write_cleaned, write_table
+from farebox.sources.lake import lake_files, scan_cleaned, write_cleaned, write_table
 from farebox.sources.lookups import publish_lookups
 from farebox.sources.raw import scan_raw
 
 WRITERS = 4
 
+Month = tuple[int, int]
+
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables of a built lake are, and how the cleaning went."""
+    """Where the tables of a built lake are, and how the cleaning went when it was built."""
 
     root: str
     tables: dict[str, str]
     funnel: DataFrame
 
 
+def _raw_bytes(spark: SparkSession, path: str) -> int:
+    return lake_files(spark, path).agg(F.sum("bytes")).head()[0] or 0
+
+
+def _is_one_of(months: Iterable[Month], year: str, month: str) -> Column:
+    chosen = [(F.col(year) == y) & (F.col(month) == m) for y, m in months]
+    return reduce(or_, chosen, F.lit(False))
+
+
+def _picked_up_in(months: Iterable[Month]) -> Column:
+    """Whether a trip is picked up in one of the months, as time ranges that reach the scan."""
+    ranges: list[list[int]] = []
+    for place in sorted(12 * year + month - 1 for year, month in months):
+        if ranges and ranges[-1][1] == place:
+            ranges[-1][1] += 1
+        else:
+            ranges.append([place, place + 1])
+
+    def begins(place: int) -> Column:
+        return F.lit(f"{place // 12:04d}-{place % 12 + 1:02d}-01").cast("timestamp")
+
+    tests = [(pickup_time() >= begins(first)) & (pickup_time() < begins(end)) for first, end in ranges]
+    return reduce(or_, tests, F.lit(False))
+
+
+def _touched(
+    spark: SparkSession, raw_path: str, cleaned_path: str, months: list[tuple[int, str]]
+) -> set[Month]:
+    """The pickup months that reloaded files have trips in, or had when they were last cleaned."""
+    pickup = pickup_time()
+    found = scan_raw(spark, raw_path, months).select(F.year(pickup).alias("y"), F.month(pickup).alias("m"))
+    if folder_exists(spark, cleaned_path):
+        before = scan_cleaned(spark, cleaned_path)
+        files = [(year, int(month)) for year, month in months]
+        before = before.where(_is_one_of(files, "year", "month"))
+        found = found.union(before.select("pickup_year", "pickup_month"))
+    return {(row.y, row.m) for row in found.where("y IS NOT NULL").distinct().collect()}
+
+
+def _reload(
+    spark: SparkSession, cleaned: DataFrame, cleaned_path: str, touched: set[Month]
+) -> int:
+    """Replace the touched pickup months by what ``cleaned`` has of them; returns its rows.
+
+    The rows are written aside first: should cleaning fail, the table is as it was. Months
+    that have none left lose their folder.
+    """
+    aside = work_folder(spark, "reloaded-months")
+    write_cleaned(cleaned, aside, gathered=True)
+    rows = scan_cleaned(spark, aside)
+    there = {(row.pickup_year, row.pickup_month): row["count"] for row in _by_month(rows).collect()}
+    if there:
+        write_cleaned(rows, cleaned_path, only_given_months=True)
+    for year, month in touched - set(there):
+        remove_folder(spark, f"{cleaned_path}/pickup_year={year}/pickup_month={month}")
+    remove_folder(spark, aside)
+    return sum(there.values())
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("pickup_year", "pickup_month").count()
+
+
 def build_lake(
     spark: SparkSession,
     root: str,
@@ -39,19 +109,42 @@ def build_lake(
 
     Trips are cleaned once and written; all insight tables come from one scan
     of what was written. An error in cleaning ends the batch before any insight
-    table is touched. The funnel is lazy: it costs one scan of the raw trips
-    when it is shown, and nothing otherwise.
+    table is touched. ``months`` reads only those months' files.
+
+    With ``only_given_months`` an existing lake is brought up to date after those months'
+    files have changed. A file can hold trips of neighbouring months, so every pickup month
+    that the files touch, or touched when last cleaned, is cleaned anew from all raw trips
+    picked up in it. Copies of a trip have its pickup time, so none is missed.
+
+    The funnel is counted when the lake is built: by one scan that groups by tests passed
+    alone, and the rows written, which file footers tell. It describes the trips cleaned.
     """
     root = root.rstrip("/")
     tables = publish_lookups(lookups, f"{root}/{catalog.LOOKUP_FOLDER}")
-    raw = scan_raw(spark, f"{root}/{catalog.RAW}", months)
-    cleaned_path = f"{root}/{catalog.CLEANED}"
-    cleaned = clean_trips(raw, rules, by_month=True)
-    write_cleaned(cleaned, cleaned_path, only_given_months, gathered=True)
+    raw_path, cleaned_path = f"{root}/{catalog.RAW}", f"{root}/{catalog.CLEANED}"
+    months = None if months is None else list(months)
+    reloading = only_given_months and months is not None and folder_exists(spark, cleaned_path)
+    if reloading:
+        touched = _touched(spark, raw_path, cleaned_path, months)
+        raw = scan_raw(spark, raw_path).where(_picked_up_in(touched))
+    else:
+        raw = scan_raw(spark, raw_path, None if only_given_months else months)
+    with shuffle_width(spark, _raw_bytes(spark, raw_path)):
+        cleaned = clean_trips(raw, rules, by_month=True)
+        if reloading:
+            kept = _reload(spark, cleaned, cleaned_path, touched)
+        else:
+            write_cleaned(cleaned, cleaned_path, gathered=True)
+            kept = scan_cleaned(spark, cleaned_path).count()
+    counts = {row.passed: row.copies for row in stage_counts(raw, rules).collect()}
+    schema = "stage_no INT, stage STRING, rows_left BIGINT, rows_removed BIGINT"
+    funnel = spark.createDataFrame(funnel_rows(counts, kept, rules), schema)
     tables["trips_cleaned"] = cleaned_path
-    insights = insight_tables(scan_cleaned(spark, cleaned_path))
+    rollup = work_folder(spark, "insight-rollup")
+    insights = insight_tables(scan_cleaned(spark, cleaned_path), folder=rollup)
     tables |= {name: f"{root}/{catalog.INSIGHT_FOLDER}/{name}" for name in insights}
     # Twenty small writes: side by side, as each alone leaves the cluster idle.
     with ThreadPoolExecutor(WRITERS) as writers:
         list(writers.map(lambda name: write_table(insights[name], tables[name]), insights))
-    return Lake(root, tables, cleaning_funnel(raw, rules))
+    remove_folder(spark, rollup)
+    return Lake(root, tables, funnel)

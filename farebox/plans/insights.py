@@ -323,16 +323,18 @@ def from_rollup(
     return _shaped(spec, rows, keys, count, Measure.merged, have, fee_name)
 
 
-def insight_tables(trips: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
+def insight_tables(
+    trips: DataFrame, names: list[str] | None = None, folder: str | None = None
+) -> dict[str, DataFrame]:
     """All tables from one scan of the trips.
 
-    The roll-up (tens of thousands of rows) is written to the shared work
-    folder, so the tables neither rescan the trips nor depend on an executor's
-    memory.
+    The roll-up (tens of thousands of rows) is written to ``folder``, by default
+    in the shared work folder, so the tables neither rescan the trips nor depend
+    on an executor's memory. The tables read it until they are written.
     """
     names = names or available_insights(trips)
     spark = trips.sparkSession
-    folder = work_folder(spark, "insight-rollup")
+    folder = folder or work_folder(spark, "insight-rollup")
     insight_rollup(trips).write.parquet(folder)
     rollup = spark.read.parquet(folder)
     fee = fee_column(trips.columns)

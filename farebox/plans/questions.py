@@ -9,9 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.schema import LOOKUP_SCHEMAS
-from farebox.sources.lookups import small
-
 # view name: (insight table, columns shown under another name)
 VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     "view_fare_by_payment_type": ("revenue_by_payment_type", {}),
@@ -92,7 +89,6 @@ def ask(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFra
     """Answer a named question over the given tables."""
     text = QUESTIONS[name]
     used = {table: df for table, df in tables.items() if "{" + table + "}" in text}
-    used = {t: small(df) if t in LOOKUP_SCHEMAS else df for t, df in used.items()}
     return spark.sql(text, **used)
 
 

@@ -15,6 +15,7 @@ class Answer:
     columns: list[str]
     rows: list[Row]
     note: str = ""
+    total: int = 0
 
     def __str__(self) -> str:
         lines = [", ".join(self.columns)]
@@ -22,21 +23,20 @@ class Answer:
         return "\n".join(lines + ([self.note] if self.note else []))
 
 
-def bounded_sql(spark: SparkSession, text: str, max_rows: int = SHOWN_ROWS) -> DataFrame:
-    """The first rows of a query, as a DataFrame."""
-    return spark.sql(text).limit(max_rows)
-
-
-def run_sql(spark: SparkSession, text: str, max_rows: int = SHOWN_ROWS) -> Answer:
+def run_sql(
+    spark: SparkSession, text: str, max_rows: int = SHOWN_ROWS, **tables: DataFrame
+) -> Answer:
     """Run SQL and bring back at most ``max_rows`` rows, saying how many there are.
 
-    One row more than shown is fetched; only if it exists are the rows counted.
+    DataFrames may be given for names in braces. One row more than shown is fetched; only
+    if it exists are the rows counted.
     """
-    result = spark.sql(text)
+    result = spark.sql(text, **tables)
     rows = result.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return Answer(result.columns, rows)
-    return Answer(result.columns, rows[:max_rows], f"showing {max_rows} of {result.count()} rows")
+        return Answer(result.columns, rows, total=len(rows))
+    total = result.count()
+    return Answer(result.columns, rows[:max_rows], f"showing {max_rows} of {total} rows", total)
 
 
 def table_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
@@ -45,6 +45,7 @@ def table_columns(spark: SparkSession, database: str | None = None) -> DataFrame
     rows = [
         (table.name, column.name, column.dataType, column.isPartition)
         for table in spark.catalog.listTables(database)
+        if not (database and table.isTemporary)
         for column in spark.catalog.listColumns(table.name if table.isTemporary else prefix + table.name)
     ]
     schema = "table_name STRING, column_name STRING, data_type STRING, is_partition BOOLEAN"

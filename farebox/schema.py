@@ -22,7 +22,7 @@ TRIP_IDENTITY = (
     "fare_amount",
 )
 
-# Types to settle on when month files disagree, by lower-case column name.
+# Types to settle on when month files disagree, by lower-case column name.
 DECLARED_TYPES = {
     "vendorid": "bigint",
     "tpep_pickup_datetime": "timestamp_ntz",

@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Trip times are compared in UTC: another zone would change durations across
 # a daylight-saving switch. In UTC a zoneless Parquet time is the same instant,
@@ -34,8 +35,7 @@ def shuffle_partitions_for(input_bytes: int, cores: int = 1) -> int:
     merges partitions that turn out small, so the number only has to be high
     enough.
     """
-    wanted = math.ceil(3 * input_bytes / TARGET_PARTITION_BYTES)
-    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(cores, math.ceil(3 * input_bytes / TARGET_PARTITION_BYTES))
 
 
 def apply_settings(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -89,3 +89,27 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         shared = _local_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables, wherever it is stored; none there is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+@contextmanager
+def shuffle_width(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffles as wide as an input of that many bytes needs, for as long as this lasts."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -34,7 +35,13 @@ def lake_tables(spark: SparkSession, root: str) -> dict[str, str]:
     root = root.rstrip("/")
     insights = sorted(_folders_holding(spark, f"{root}/{INSIGHT_FOLDER}", "*.parquet"))
     folders = [f"{root}/{RAW}", f"{root}/{CLEANED}", *insights]
-    return {folder.rsplit("/", 1)[-1]: folder for folder in folders}
+    tables: dict[str, str] = {}
+    for folder in folders:
+        name = folder.rsplit("/", 1)[-1]
+        if name in tables:
+            raise ValueError(f"{tables[name]} and {folder} would both be the table {name}")
+        tables[name] = folder
+    return tables
 
 
 def _create(spark: SparkSession, table: str, path: str, stray: bool) -> None:
@@ -64,12 +71,24 @@ def _recover(spark: SparkSession, table: str) -> None:
         spark.catalog.recoverPartitions(table)
 
 
+def _without_scheme(path: str) -> str:
+    return "/" + re.sub(r"^\w+:(//[^/]*)?", "", path).strip("/")
+
+
+def _check_ours(spark: SparkSession, table: str, path: str) -> None:
+    """Raise unless the table is external and at that folder."""
+    kind, place = _described(spark, table, "Type"), _described(spark, table, "Location")
+    if kind != "EXTERNAL" or _without_scheme(place or "") != _without_scheme(path):
+        raise ValueError(f"{table} is a table of another kind or place ({kind}, {place}); it is left alone")
+
+
 def _refresh(spark: SparkSession, table: str, path: str, stray: bool) -> None:
     """Bring a table's schema and partitions up to date with its folder."""
+    _check_ours(spark, table, path)
     known = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
     found = spark.read.option("pathGlobFilter", "*.parquet").parquet(path).schema.fields
     if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in found):
-        # Only the entry is remade; the table is external and its files stay.
+        # Only the entry is remade; the table is external, as was checked, and its files stay.
         spark.sql(f"DROP TABLE {table}")
         _create(spark, table, path, stray)
         return
@@ -91,10 +110,12 @@ def register_lake(spark: SparkSession, root: str, database: str | None = None) -
 
     With ``database`` they become external tables in it: new ones are created,
     known ones get new columns and partitions, and none is dropped because its
-    files are gone. Without, they become temporary views.
+    files are gone. A table of that name that is not external, or is elsewhere, is an
+    error, and so are two folders of one name. Without ``database`` they become temporary
+    views.
     """
     tables = lake_tables(spark, root)
-    stray = _folders_holding(spark, root, STRAY_FILES) if database else set()
+    stray = _folders_holding(spark, f"{root.rstrip('/')}/{CLEANED}", STRAY_FILES) if database else set()
     for name, path in tables.items():
         if database is None:
             spark.read.option("pathGlobFilter", "*.parquet").parquet(path).createOrReplaceTempView(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox.schema import LOOKUP_SCHEMAS, PAYMENT_SCHEMA, VENDOR_SCHEMA
 from farebox.sources.lake import write_table
@@ -27,9 +28,6 @@ VENDORS = [
     (7, "Helix"),
 ]
 
-# A lookup above this many rows is joined like any other table.
-BROADCAST_ROWS = 100_000
-
 
 def payment_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PAYMENT_TYPES, PAYMENT_SCHEMA)
@@ -40,22 +38,20 @@ def vendors(spark: SparkSession) -> DataFrame:
 
 
 def scan_lookup_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A lookup file with a header line, read with its known schema."""
-    return spark.read.schema(LOOKUP_SCHEMAS[table]).csv(path, header=True)
-
+    """A lookup file with a header line, by the header's names, as its known types.
 
-def small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The lookup marked for broadcast if it is counted to be small, else as it is."""
-    if lookup.limit(max_rows + 1).count() > max_rows:
-        return lookup
-    return F.broadcast(lookup)
+    The columns may stand in any order and beside others; one that is missing is an error.
+    """
+    written = spark.read.csv(path, header=True)
+    fields = T.StructType.fromDDL(LOOKUP_SCHEMAS[table]).fields
+    return written.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def publish_lookups(lookups: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Write each lookup as one Parquet table; returns their paths."""
+    """Write each lookup as a Parquet table of well-filled files; returns their paths."""
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in lookups}
     for name, lookup in lookups.items():
-        write_table(lookup.coalesce(1), paths[name])
+        write_table(lookup.hint("rebalance"), paths[name])
     return paths
 
 

@@ -6,15 +6,21 @@ import re
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.schema import DECLARED_TYPES
+from farebox.sources.lake import lake_files
 
 DEFAULT_MONTHS = ("01-10",)
 DEFAULT_YEAR = 2025
 
+# What Spark says of files whose columns have different types.
+CANNOT_MERGE = "CANNOT_MERGE_SCHEMAS"
+
 
 def months_from(selection: Iterable[str]) -> list[str]:
     """Two-digit months, sorted and unique, from ``MM`` and ``MM-MM`` selections.
@@ -60,30 +66,49 @@ def _declared(df: DataFrame, also: dict[str, set[str]]) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+def raw_months(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """Year and month, the latter as the folder is written, of every month that has files."""
+    place = r"/year=(\d+)/month=(\d+)/[^/]+$"
+    found = lake_files(spark, base).select(
+        F.regexp_extract("path", place, 1).alias("year"), F.regexp_extract("path", place, 2).alias("month")
+    )
+    return sorted((int(row.year), row.month) for row in found.where("year <> ''").distinct().collect())
+
+
+def _trip_columns(spark: SparkSession, reader: DataFrameReader, *paths: str) -> T.StructType:
+    """The columns of all files there, but for those that folders give."""
+    found = reader.option("mergeSchema", "true").parquet(*paths).schema.fields
+    return _as_instants(spark, T.StructType([f for f in found if f.name not in ("year", "month")]))
+
+
 def scan_raw(
     spark: SparkSession, base: str, months: Iterable[tuple[int, str]] | None = None
 ) -> DataFrame:
-    """All raw trips, with int columns ``year`` and ``month`` from the path.
+    """Raw trips of all months, or of a list of (year, month) pairs, with int columns ``year``
+    and ``month`` from the path.
 
-    Without ``months`` the files are taken to agree on their types. With a list
-    of (year, month) pairs each month's own schema is looked at: months that
-    agree are read together, and where they differ the columns are cast to the
-    declared types before the union. A column one month lacks is NULL there.
+    Where all files' columns can be merged, that is one scan. Otherwise each month's own
+    schema is looked at: months that agree are read together, and where they differ the
+    columns are cast to the declared types before the union. A column that a file or month
+    lacks is NULL there; names that differ only in case are one column.
     """
     reader = spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet")
-    if months is None:
-        found = reader.parquet(base)
-        files = [f for f in found.schema.fields if f.name not in ("year", "month")]
-        return reader.schema(_as_instants(spark, T.StructType(files))).parquet(base)
+    whole = months is None
+    months = raw_months(spark, base) if whole else list(months)
+    paths = [f"{base.rstrip('/')}/year={year}/month={month}" for year, month in months]
+    if not paths and not whole:
+        raise ValueError("no months to read")
+    try:
+        places = [base] if whole else paths
+        return reader.schema(_trip_columns(spark, reader, *places)).parquet(*places)
+    except (PySparkException, Py4JJavaError) as error:
+        if CANNOT_MERGE not in str(error) or not paths:
+            raise
 
     alike: dict[str, tuple[T.StructType, list[str]]] = {}
-    for year, month in months:
-        path = f"{base.rstrip('/')}/year={year}/month={month}"
-        fields = [f for f in reader.parquet(path).schema.fields if f.name not in ("year", "month")]
-        schema = _as_instants(spark, T.StructType(fields))
+    for path in paths:
+        schema = _trip_columns(spark, reader, path)
         alike.setdefault(schema.json(), (schema, []))[1].append(path)
-    if not alike:
-        raise ValueError("no months to read")
     types: dict[str, set[str]] = {}
     for schema, _ in alike.values():
         for f in schema.fields:
@@ -103,4 +128,6 @@ def scan_raw_months(
 ) -> DataFrame:
     """The chosen months of one year; other months' files are not opened."""
     months = [int(month) for month in months_from(selection)]
-    return scan_raw(spark, base).where((F.col("year") == year) & F.col("month").isin(*months))
+    there = [(y, m) for y, m in raw_months(spark, base) if y == year and int(m) in months]
+    trips = scan_raw(spark, base, there) if there else scan_raw(spark, base)
+    return trips.where((F.col("year") == year) & F.col("month").isin(*months))

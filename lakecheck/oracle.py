@@ -334,6 +334,18 @@ def _layer(table: str) -> str:
     return {"raw": "raw", "trips_cleaned": "processed"}.get(table, "insights")
 
 
+def _long_sql(table: str, text: str) -> str:
+    """Every measure of every row of an insight table, under its keys as text."""
+    columns = TABLE_COLUMNS[table].split(", ")
+    first = next(i for i, c in enumerate(columns) if c.endswith("_count"))
+    key = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns[:first])
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {key} AS key, '{measure}' AS measure, "
+        f"CAST({measure} AS DOUBLE) AS value FROM ({text})"
+        for measure in columns[first:]
+    )
+
+
 def _lake_sql() -> dict[str, str]:
     month_of = "CAST(year(tpep_pickup_datetime) AS INT) AS year, CAST(month(tpep_pickup_datetime) AS INT) AS month"
     sums = "count(*) AS trip_count, round(sum(total_amount), 2) AS total_billed"
@@ -360,13 +372,7 @@ def _lake_sql() -> dict[str, str]:
         f"'{TABLE_COLUMNS[t]}' AS columns, count(*) AS row_count FROM ({text})"
         for t, text in ROW_SOURCES.items()
     ) + " UNION ALL SELECT 'never_written', false, NULL, NULL, NULL"
-    counted = {"popular_pickup_zones": "pickup_count", "popular_dropoff_zones": "dropoff_count"}
-    counted |= {"airport_pickup_zones": "pickup_count", "airport_dropoff_zones": "dropoff_count"}
-    built = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, "
-        f"CAST(sum({counted.get(t, 'trip_count')}) AS BIGINT) AS trips FROM ({text})"
-        for t, text in INSIGHT_SQL.items()
-    )
+    built = " UNION ALL ".join(_long_sql(t, text) for t, text in INSIGHT_SQL.items())
     return {
         "scan_raw": over("trips", f"SELECT {month_of}, {sums} FROM trips GROUP BY 1, 2"),
         "scan_raw_months": over(
@@ -389,7 +395,30 @@ def _lake_sql() -> dict[str, str]:
         "lookup_tables": over("cleaned", used),
         "register_lake": over("cleaned", registered),
         "lake_inventory": over(
-            "trips", f"SELECT DISTINCT {month_of}, true AS has_files, true AS has_bytes FROM trips"
+            "cleaned",
+            f"""SELECT DISTINCT 'raw' AS layer, {month_of}, true AS has_files, true AS has_bytes,
+                true AS adds_up FROM trips
+                UNION ALL SELECT DISTINCT 'cleaned', pickup_year, pickup_month, true, true, true FROM cleaned""",
+        ),
+        "reload_month": over(
+            "cleaned",
+            f"""SELECT {_texted(IDENTITY)}, vendorid, payment_type, total_amount, pickup_year, pickup_month
+                FROM cleaned""",
+        ),
+        "scan_uneven_months": over(
+            "trips",
+            f"""SELECT {month_of}, count(*) AS trip_count, count(passenger_count) AS known_passengers,
+                count(pulocationid) AS known_zones,
+                count(extra) FILTER (year(tpep_pickup_datetime) <= 2022) AS known_fees,
+                count(tip_amount) FILTER (year(tpep_pickup_datetime) > 2022) AS known_tolls,
+                round(sum(passenger_count), 2) AS total_passengers,
+                round(sum(extra) FILTER (year(tpep_pickup_datetime) <= 2022), 2) AS total_fees
+                FROM trips GROUP BY 1, 2""",
+        ),
+        "table_columns": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, CAST({len(columns.split(', '))} AS BIGINT) AS column_count, "
+            f"CAST({2 if t in partitioned else 0} AS BIGINT) AS partition_columns"
+            for t, columns in TABLE_COLUMNS.items()
         ),
         "table_audit": over("cleaned", audited),
         "build_lake": over("cleaned", built),
@@ -534,6 +563,23 @@ def _decode_sql() -> dict[str, str]:
             "SELECT r.*, vendor_name FROM by_vendor r JOIN vendors ON vendorid = vendor_id",
             ("by_vendor", INSIGHT_SQL["revenue_by_vendor"]),
         ),
+        "decode_trips": over(
+            "cleaned",
+            """SELECT vendor_name, a."Borough" AS pickup_borough, a."Zone" AS pickup_zone,
+               b."Borough" AS dropoff_borough, count(*) AS trip_count,
+               round(sum(total_amount), 2) AS total_billed
+               FROM cleaned JOIN vendors ON vendorid = vendor_id
+               JOIN zones a ON pulocationid = a."LocationID" JOIN zones b ON dolocationid = b."LocationID"
+               GROUP BY ALL""",
+        ),
+        "utilization": over(
+            "cleaned",
+            " UNION ALL ".join(
+                f"""SELECT '{unit}' AS unit, strftime(date_trunc('{unit}', pickup_ts), {TS}) AS period,
+                    count(*) AS trip_count FROM cleaned GROUP BY ALL"""
+                for unit in ("hour", "day", "month")
+            ),
+        ),
         "decode_zone": over("cleaned", zone_tables),
         "decode_zone_pairs": over(
             "cleaned",
@@ -553,10 +599,13 @@ def _decode_sql() -> dict[str, str]:
         "views": over("cleaned", views),
         "run_sql": over(
             "cleaned",
-            """SELECT "Zone" AS zone_name, pickup_location_id, dropoff_location_id, trip_count
-               FROM pairs JOIN zones ON pickup_location_id = "LocationID"
-               WHERE lower("Zone") LIKE '%nation_1%' AND lower("Borough") NOT LIKE 'europe'
-               ORDER BY trip_count DESC, pickup_location_id, dropoff_location_id NULLS FIRST LIMIT 100""",
+            """SELECT *, CASE WHEN total_rows > 100 THEN 'showing 100 of ' || total_rows || ' rows'
+                         ELSE '' END AS note
+               FROM (SELECT "Zone" AS zone_name, pickup_location_id, dropoff_location_id, trip_count,
+                            count(*) OVER () AS total_rows
+                     FROM pairs JOIN zones ON pickup_location_id = "LocationID"
+                     WHERE lower("Zone") LIKE '%nation_1%' AND lower("Borough") NOT LIKE 'europe'
+                     ORDER BY trip_count DESC, pickup_location_id, dropoff_location_id NULLS FIRST LIMIT 100)""",
             pairs,
         ),
     }

@@ -12,8 +12,8 @@ from farebox.operators import cleaning as cl
 from farebox.operators import decode, metrics
 from farebox.plans.batch import Lake, build_lake
 from farebox.plans.insights import INSIGHTS, insight
-from farebox.plans.questions import QUESTIONS, VIEWS, ask, create_views
-from farebox.plans.sqlrun import bounded_sql
+from farebox.plans.questions import QUESTIONS, VIEWS, ask, view_of
+from farebox.plans.sqlrun import run_sql, table_columns
 from farebox.schema import CRITICAL_COLUMNS, TRIP_IDENTITY
 from farebox.session import apply_settings, work_folder
 from farebox.sources import catalog, lake, lookups, raw
@@ -115,7 +115,7 @@ def _funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _insight(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presentable(insight(_cleaned(spark, sf_dir), name))
+    return presentable(insight(written_trips(spark, sf_dir), name))
 
 
 # --- a lake on disk, written once per session and data set ---
@@ -159,6 +159,14 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return build_lake(spark, raw_lake(spark, sf_dir), lookup_frames(spark, sf_dir))
 
 
+def written_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.scan_cleaned(spark, built_lake(spark, sf_dir).tables["trips_cleaned"])
+
+
+def written_insight(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(built_lake(spark, sf_dir).tables[name])
+
+
 def _by_raw_month(trips: DataFrame) -> DataFrame:
     sums = (F.count("*").alias("trip_count"), F.sum("total_amount").alias("total_billed"))
     return presentable(trips.groupBy("year", "month").agg(*sums))
@@ -183,9 +191,10 @@ def _scan_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zone lookup through a CSV file, with the raw pickups in each zone."""
+    """The zone lookup through CSV files with the columns in another order, with the raw
+    pickups in each zone."""
     path = work_folder(spark, "zones-csv")
-    zones = zone_lookup(spark, sf_dir).coalesce(1)
+    zones = zone_lookup(spark, sf_dir).select("service_zone", "Zone", "LocationID", "Borough")
     lake.write_table(zones, path, "csv", options={"header": "true"})
     pickups = raw_trips(spark, sf_dir).groupBy("PULocationID").agg(F.count("*").alias("pickups"))
     read = lookups.scan_lookup_csv(spark, path, "taxi_zone_lookup")
@@ -246,7 +255,7 @@ def _registered(spark: SparkSession, sf_dir: str) -> str:
 
 def _register_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _registered(spark, sf_dir)
-    tables = [t.name for t in spark.catalog.listTables(database)]
+    tables = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
     parts = [
         spark.table(f"{database}.{t}").agg(F.count("*").alias("row_count")).select(
             F.lit(t).alias("table_name"),
@@ -267,44 +276,124 @@ def _table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File counts depend on the writer, so only what must hold is shown."""
-    found = lake.lake_inventory(spark, f"{raw_lake(spark, sf_dir)}/raw")
-    return found.select(
-        "year",
-        "month",
-        (F.col("file_count") > 0).alias("has_files"),
-        (F.col("total_bytes") > 0).alias("has_bytes"),
+    """Raw and cleaned partitions; files and bytes depend on the writer, so they are compared
+    with the sums over the single files."""
+    built = built_lake(spark, sf_dir)
+    parts = []
+    for layer, base, keys in (
+        ("raw", f"{built.root}/raw", ("year", "month")),
+        ("cleaned", built.tables["trips_cleaned"], ("pickup_year", "pickup_month")),
+    ):
+        found = lake.lake_inventory(spark, base, keys)
+        place = "/" + "/".join(f"{key}=0*([0-9]+)" for key in keys) + "/"
+        files = lake.lake_files(spark, base).select(
+            *[F.regexp_extract("path", place, i + 1).cast("int").alias(key) for i, key in enumerate(keys)], "bytes"
+        )
+        summed = files.groupBy(*keys).agg(F.count("*").alias("files"), F.sum("bytes").alias("size"))
+        parts.append(
+            found.join(summed, list(keys), "full").select(
+                F.lit(layer).alias("layer"),
+                F.col(keys[0]).alias("year"),
+                F.col(keys[1]).alias("month"),
+                (F.col("file_count") > 0).alias("has_files"),
+                (F.col("total_bytes") > 0).alias("has_bytes"),
+                ((F.col("file_count") == F.col("files")) & (F.col("total_bytes") == F.col("size"))).alias("adds_up"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _long_form(table: DataFrame, name: str) -> DataFrame:
+    """Every measure of every row: table_name, key, measure, value."""
+    spec = INSIGHTS[name]
+    measures = [spec.counted, *spec.measures]
+    keys = [c for c in table.columns if c not in measures]
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+    shown = presentable(table)
+    pairs = F.array(
+        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
     )
+    return shown.select(F.lit(name).alias("table_name"), key.alias("key"), F.inline(pairs))
 
 
 def _build_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every insight table the batch wrote, and the trips they stand for."""
-    built = built_lake(spark, sf_dir)
-    parts = [
-        spark.read.parquet(built.tables[name]).agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("row_count"),
-            F.sum(spec.counted).alias("trips"),
-        )
-        for name, spec in INSIGHTS.items()
-    ]
+    """Every key and measure of every insight table the batch wrote."""
+    parts = [_long_form(written_insight(spark, sf_dir, name), name) for name in INSIGHTS]
     return reduce(DataFrame.unionByName, parts)
 
 
+@_once
+def _reloaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake whose month files hold some trips of neighbouring months, built without the
+    trips of one file that are dearer than the rest, then reloaded with the whole file."""
+    root = work_folder(spark, "reloaded")
+    pickup = F.col("tpep_pickup_datetime")
+    filed = F.when(F.hour(pickup) < 3, F.add_months(pickup, -1)).otherwise(F.to_date(pickup))
+    trips = raw_trips(spark, sf_dir).withColumns(
+        {"year": F.year(filed), "month": F.format_string("%02d", F.month(filed))}
+    )
+    changed = "year = 2024 AND month = '03'"
+
+    def written(rows: DataFrame, mode: str) -> None:
+        rows = rows.hint("rebalance", F.col("year"), F.col("month"))
+        options = {"partitionOverwriteMode": "dynamic"}
+        lake.write_table(rows, f"{root}/{catalog.RAW}", mode=mode, partition_by=("year", "month"), options=options)
+
+    written(trips.where(f"NOT ({changed}) OR fare_amount < 15"), "overwrite")
+    build_lake(spark, root, lookup_frames(spark, sf_dir))
+    written(trips.where(changed), "overwrite")
+    return build_lake(
+        spark, root, lookup_frames(spark, sf_dir), months=[(2024, "03")], only_given_months=True
+    )
+
+
+def _reload_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = lake.scan_cleaned(spark, _reloaded_lake(spark, sf_dir).tables["trips_cleaned"])
+    return presentable(
+        trips.select(*TRIP_IDENTITY, "vendorid", "payment_type", "total_amount", "pickup_year", "pickup_month")
+    )
+
+
+@_once
+def _uneven_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Raw months that disagree: whole passengers, an extra column, and one under two names."""
+    root = work_folder(spark, "uneven")
+    pickup = F.col("tpep_pickup_datetime")
+    trips = raw_trips(spark, sf_dir).withColumns(
+        {"year": F.year(pickup), "month": F.format_string("%02d", F.month(pickup))}
+    )
+    kinds = [
+        ("year < 2022", {"Airport_fee": F.col("extra")}),
+        ("year = 2022", {"passenger_count": F.col("passenger_count").cast("bigint"), "airport_fee": F.col("extra")}),
+        ("year > 2022", {"PULocationID": F.col("PULocationID").cast("bigint"), "tolls_amount": F.col("tip_amount")}),
+    ]
+    for years, columns in kinds:
+        rows = trips.where(years).withColumns(columns).hint("rebalance", F.col("year"), F.col("month"))
+        lake.write_table(rows, f"{root}/{catalog.RAW}", mode="append", partition_by=("year", "month"))
+    return f"{root}/{catalog.RAW}"
+
+
+def _scan_uneven_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = raw.scan_raw(spark, _uneven_lake(spark, sf_dir))
+    known = {"passengers": "passenger_count", "zones": "PULocationID", "fees": "airport_fee", "tolls": "tolls_amount"}
+    return trips.groupBy("year", "month").agg(
+        F.count("*").alias("trip_count"),
+        *[F.count(column).alias(f"known_{name}") for name, column in known.items()],
+        F.round(F.sum("passenger_count"), 2).alias("total_passengers"),
+        F.round(F.sum("airport_fee"), 2).alias("total_fees"),
+    )
+
+
 # --- SQL ---
 
 
 def _tables(spark: SparkSession, sf_dir: str, text: str) -> dict[str, DataFrame]:
-    """The tables a query names, by name; insight tables come from cleaned trips."""
-    trips = _cleaned(spark, sf_dir)
-    found = {"trips_cleaned": trips, **lookup_frames(spark, sf_dir)}
+    """The written tables that a query names, by name."""
+    found = {"trips_cleaned": written_trips(spark, sf_dir), **lookup_frames(spark, sf_dir)}
     for name in INSIGHTS:
         if name in text or any(table == name and view in text for view, (table, _) in VIEWS.items()):
-            found[name] = insight(trips, name)
-    for view, (table, renamed) in VIEWS.items():
-        if view in text:
-            found[view] = found[table].withColumnsRenamed(renamed)
-    return found
+            found[name] = written_insight(spark, sf_dir, name)
+    return found | {view: view_of(view, found) for view in VIEWS if view in text}
 
 
 def _question(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +402,7 @@ def _question(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """January 2025 by day, read from the written table so that months are pruned."""
-    trips = lake.scan_cleaned(spark, built_lake(spark, sf_dir).tables["trips_cleaned"])
+    trips = written_trips(spark, sf_dir)
     january = metrics.trips_between(trips, "2025-01-01", "2025-02-01")
     return presentable(
         january.groupBy("pickup_date").agg(
@@ -324,15 +413,15 @@ def _date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _decode_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payment names for both insight tables that carry the code, and for trips."""
-    trips, payments = _cleaned(spark, sf_dir), lookups.payment_types(spark)
+    trips, payments = written_trips(spark, sf_dir), lookups.payment_types(spark)
     by_code = trips.groupBy("payment_type").agg(F.count("*").alias("trip_count"))
     parts = [
         decode.decode_payment(rows, payments).select(
             F.lit(name).alias("table_name"), "payment_type", "payment_type_name", "trip_count"
         )
         for name, rows in (
-            ("revenue_by_payment_type", insight(trips, "revenue_by_payment_type")),
-            ("tip_analysis", insight(trips, "tip_analysis")),
+            ("revenue_by_payment_type", written_insight(spark, sf_dir, "revenue_by_payment_type")),
+            ("tip_analysis", written_insight(spark, sf_dir, "tip_analysis")),
             ("trips_cleaned", by_code),
         )
     ]
@@ -340,10 +429,32 @@ def _decode_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decode_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = insight(_cleaned(spark, sf_dir), "revenue_by_vendor")
+    rows = written_insight(spark, sf_dir, "revenue_by_vendor")
     return presentable(decode.decode_vendor(rows, lookups.vendors(spark)))
 
 
+def _decode_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor and both zones by name on every cleaned trip, counted by these names."""
+    zones = zone_lookup(spark, sf_dir)
+    trips = decode.decode_vendor(written_trips(spark, sf_dir), lookups.vendors(spark))
+    trips = decode.decode_zone(trips, zones, "pulocationid", "pickup_")
+    trips = decode.decode_zone(trips, zones, "dolocationid", "dropoff_")
+    return presentable(
+        trips.groupBy("vendor_name", "pickup_borough", "pickup_zone", "dropoff_borough").agg(
+            F.count("*").alias("trip_count"), F.sum("total_amount").alias("total_billed")
+        )
+    )
+
+
+def _utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in each hour, day and month that has any."""
+    parts = [
+        metrics.utilization(written_trips(spark, sf_dir), unit).select(F.lit(unit).alias("unit"), "period", "trip_count")
+        for unit in ("hour", "day", "month")
+    ]
+    return presentable(reduce(DataFrame.unionByName, parts))
+
+
 ZONE_TABLES = (
     "trip_volume_by_zone",
     "trip_duration_by_zone",
@@ -355,10 +466,10 @@ ZONE_TABLES = (
 
 
 def _decode_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips, zones = _cleaned(spark, sf_dir), zone_lookup(spark, sf_dir)
+    zones = zone_lookup(spark, sf_dir)
     parts = []
     for name in ZONE_TABLES:
-        rows = decode.decode_zone(insight(trips, name), zones)
+        rows = decode.decode_zone(written_insight(spark, sf_dir, name), zones)
         code = rows.columns[0]
         parts.append(
             rows.select(
@@ -374,36 +485,50 @@ def _decode_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decode_zone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = insight(_cleaned(spark, sf_dir), "zone_pair_analysis")
+    pairs = written_insight(spark, sf_dir, "zone_pair_analysis")
     return presentable(decode.decode_zone_pairs(pairs, zone_lookup(spark, sf_dir)))
 
 
 def _key_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presentable(metrics.key_metrics(_cleaned(spark, sf_dir)))
+    return presentable(metrics.key_metrics(written_trips(spark, sf_dir)))
 
 
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five views through SQL, as key, trips and mean fare."""
-    trips = _cleaned(spark, sf_dir)
-    created = create_views({name: insight(trips, name) for name, _ in VIEWS.values()})
+    insights = {name: written_insight(spark, sf_dir, name) for name, _ in VIEWS.values()}
+    shown = {name: view_of(name, insights) for name in VIEWS}
     parts = [
         f"SELECT '{name}' AS view_name, CAST({view.columns[0]} AS STRING) AS view_key, "
-        f"{view.columns[1]} AS trip_count, round(avg_fare + 1e-9, 6) AS avg_fare FROM {name}"
-        for name, view in created.items()
+        f"{view.columns[1]} AS trip_count, round(avg_fare + 1e-9, 6) AS avg_fare FROM {{{name}}}"
+        for name, view in shown.items()
     ]
-    return spark.sql(" UNION ALL ".join(parts))
+    return spark.sql(" UNION ALL ".join(parts), **shown)
 
 
 def _run_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone pairs leaving a zone matched without regard to case; 100 rows at most."""
-    insight(_cleaned(spark, sf_dir), "zone_pair_analysis").createOrReplaceTempView("zone_pair_analysis")
-    lookups.small(zone_lookup(spark, sf_dir)).createOrReplaceTempView("taxi_zone_lookup")
-    return bounded_sql(
+    """Zone pairs leaving a zone matched without regard to case: the rows shown, how many
+    there are in all, and the note that says so."""
+    answer = run_sql(
         spark,
         """SELECT Zone AS zone_name, pickup_location_id, dropoff_location_id, trip_count
-           FROM zone_pair_analysis JOIN taxi_zone_lookup ON pickup_location_id = LocationID
+           FROM {pairs} JOIN {zones} ON pickup_location_id = LocationID
            WHERE Zone ILIKE '%nation_1%' AND Borough NOT ILIKE 'europe'
            ORDER BY trip_count DESC, pickup_location_id, dropoff_location_id""",
+        pairs=written_insight(spark, sf_dir, "zone_pair_analysis"),
+        zones=zone_lookup(spark, sf_dir),
+    )
+    schema = "zone_name STRING, pickup_location_id INT, dropoff_location_id INT, trip_count BIGINT"
+    shown = spark.createDataFrame(answer.rows, schema)
+    return shown.select(
+        "*", F.lit(answer.total).cast("bigint").alias("total_rows"), F.lit(answer.note).alias("note")
+    )
+
+
+def _table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of every registered table, as a user would list them."""
+    listed = table_columns(spark, _registered(spark, sf_dir))
+    return listed.groupBy("table_name").agg(
+        F.count("*").alias("column_count"), F.count_if("is_partition").alias("partition_columns")
     )
 
 
@@ -425,6 +550,8 @@ def queries() -> dict[str, Query]:
         "lookup_tables": _lookup_tables,
         "register_lake": _register_lake,
         "lake_inventory": _lake_inventory,
+        "reload_month": _reload_month,
+        "scan_uneven_months": _scan_uneven_months,
         "table_audit": _table_audit,
         "build_lake": _build_lake,
     }
@@ -436,10 +563,13 @@ def queries() -> dict[str, Query]:
         "sql_date_range": _date_range,
         "decode_payment": _decode_payment,
         "decode_vendor": _decode_vendor,
+        "decode_trips": _decode_trips,
         "decode_zone": _decode_zone,
         "decode_zone_pairs": _decode_zone_pairs,
         "key_metrics": _key_metrics,
+        "utilization": _utilization,
         "views": _views,
         "run_sql": _run_sql,
+        "table_columns": _table_columns,
     }
     return {name: _in_settings(query) for name, query in found.items()}

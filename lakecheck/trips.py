@@ -65,8 +65,8 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.range(1, 266)
         .select(F.col("id").cast("int").alias("LocationID"))
-        .join(F.broadcast(nation), zone % 25 == F.col("n_nationkey"))
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(nation, zone % 25 == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             "LocationID",
             F.col("r_name").alias("Borough"),

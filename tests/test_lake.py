@@ -1,15 +1,22 @@
 import os
+import re
+from datetime import datetime, timedelta
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from farebox.operators.cleaning import clean_trips
+from farebox import session
+from farebox.operators.cleaning import clean_trips, cleaning_funnel
+from farebox.plans import batch
 from farebox.plans.batch import build_lake
 from farebox.plans.insights import INSIGHTS
 from farebox.session import shuffle_partitions_for, work_folder
 from farebox.sources import catalog, lake, lookups
+from farebox.sources.raw import scan_raw
+from lakecheck import registry
 from lakecheck.registry import lookup_frames, raw_lake
 from trip_rows import frame, trip
 
@@ -192,4 +199,131 @@ def test_work_folders_are_new_and_where_the_session_says():
 def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions_for(10, cores=8) == 8
     assert shuffle_partitions_for(100 * 1024**3) == 2400
-    assert shuffle_partitions_for(100 * 1024**4) == 100_000
+    assert shuffle_partitions_for(100 * 1024**4) == 2_457_600
+
+
+def test_the_batch_sets_the_width_of_its_shuffle(spark, sf_dir, built, monkeypatch):
+    plans = []
+
+    def written(trips, *args, **kwargs):
+        plans.append(trips._jdf.queryExecution().executedPlan().toString())
+        write_cleaned(trips, *args, **kwargs)
+
+    write_cleaned = batch.write_cleaned
+    monkeypatch.setattr(batch, "write_cleaned", written)
+    files = sum(f.stat().st_size for f in Path(f"{built.root}/raw").rglob("*.parquet"))
+    for target in (files, files / 10):
+        monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", target)
+        build_lake(spark, built.root, lookup_frames(spark, sf_dir))
+    widths = [re.findall(r"hashpartitioning\(tpep_pickup_datetime.*?, (\d+)\), ENSURE", plan) for plan in plans]
+    assert widths == [["8"], ["30"]]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def month_file(spark, root, month, *rows):
+    frame(spark, *rows).write.mode("overwrite").parquet(f"{root}/raw/year=2025/month={month:02d}")
+
+
+def on_day(month, day, hour=10, **changes):
+    start = datetime(2025, month, day, hour)
+    ends = {"tpep_pickup_datetime": start, "tpep_dropoff_datetime": start + timedelta(minutes=30)}
+    return trip(**ends, **changes)
+
+
+def rows_of(spark, root):
+    table = lake.scan_cleaned(spark, f"{root}/{catalog.CLEANED}")
+    insights = spark.read.parquet(f"{root}/insights/monthly_trends")
+    return sorted(map(str, table.drop("year", "month").collect())), sorted(map(str, insights.collect()))
+
+
+def test_a_reloaded_month_costs_no_trips_of_others(spark, sf_dir, tmp_path):
+    """Files hold trips of neighbouring months; an increment equals a build from nothing."""
+    one, other = str(tmp_path / "one"), str(tmp_path / "other")
+    january = [on_day(1, day) for day in range(1, 6)]
+    copy = on_day(1, 30)
+    february = [on_day(2, 3), on_day(1, 31), copy, on_day(3, 1)]
+    changed = [on_day(2, 3, fare_amount=30.0), on_day(2, 4)]
+    for root, second in ((one, february), (other, changed)):
+        month_file(spark, root, 1, *january, copy)
+        month_file(spark, root, 2, *second)
+        build_lake(spark, root, lookup_frames(spark, sf_dir))
+    month_file(spark, one, 2, *changed)
+    reloaded = build_lake(spark, one, lookup_frames(spark, sf_dir), months=[(2025, "02")], only_given_months=True)
+    assert rows_of(spark, one) == rows_of(spark, other)
+    assert len(rows_of(spark, one)[0]) == 8
+    assert not (tmp_path / "one/processed/trips_cleaned/pickup_year=2025/pickup_month=3").exists()
+    assert reloaded.funnel.collect()[-1].rows_left == 8
+
+
+def test_a_lake_is_built_from_months_that_disagree(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    month_file(spark, root, 1, on_day(1, 2))
+    other = frame(spark, on_day(2, 2)).withColumn("passenger_count", F.lit(1).cast("bigint"))
+    other.withColumn("tolls_amount", F.lit(1.0)).write.parquet(f"{root}/raw/year=2025/month=02")
+    build_lake(spark, root, lookup_frames(spark, sf_dir))
+    rows = lake.scan_cleaned(spark, f"{root}/{catalog.CLEANED}").orderBy("pickup_ts").collect()
+    assert [(r.passenger_count, r.tolls_amount) for r in rows] == [(1.0, None), (1.0, 1.0)]
+
+
+def test_the_funnel_stays_as_it_was_counted(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    month_file(spark, root, 1, on_day(1, 2), on_day(1, 2), on_day(1, 3, trip_distance=0.0))
+    funnel = build_lake(spark, root, lookup_frames(spark, sf_dir)).funnel
+    whole = cleaning_funnel(scan_raw(spark, f"{root}/raw"))
+    before = [tuple(r) for r in whole.collect()]
+    month_file(spark, root, 2, on_day(2, 2))
+    assert [tuple(r) for r in funnel.orderBy("stage_no").collect()] == before
+    assert funnel.dtypes == whole.dtypes
+
+
+def test_working_folders_are_removed(spark, sf_dir, tmp_path, monkeypatch):
+    work = tmp_path / "work"
+    monkeypatch.setattr(batch, "work_folder", lambda spark, purpose: f"{work}/{purpose}")
+    month_file(spark, str(tmp_path / "lake"), 1, on_day(1, 2))
+    for only in (False, True):
+        build_lake(spark, str(tmp_path / "lake"), lookup_frames(spark, sf_dir), months=[(2025, "01")], only_given_months=only)
+    assert not work.exists() or not any(work.iterdir())
+
+
+def test_a_lookup_file_with_other_columns_order(spark, tmp_path):
+    file = tmp_path / "payments.csv"
+    file.write_text("payment_type_name,note,payment_type_id\nCash,x,2\n")
+    assert [tuple(r) for r in lookups.scan_lookup_csv(spark, str(file), "payment_type_lookup").collect()] == [(2, "Cash")]
+    file.write_text("name,payment_type_id\nCash,2\n")
+    with pytest.raises(AnalysisException):
+        lookups.scan_lookup_csv(spark, str(file), "payment_type_lookup")
+
+
+def test_tables_of_others_are_left_alone(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    frame(spark, trip()).write.parquet(f"{root}/raw/year=2025/month=01")
+    lake.write_cleaned(clean_trips(frame(spark, trip())), f"{root}/processed/trips_cleaned")
+    lake.write_table(spark.range(2), f"{root}/insights/monthly_trends")
+    db = in_database(spark, "foreign", tmp_path)
+    spark.sql(f"CREATE TABLE {db}.monthly_trends USING parquet AS SELECT 'mine' AS id")
+    with pytest.raises(ValueError, match="left alone"):
+        catalog.register_lake(spark, root, db)
+    assert [r.id for r in spark.table(f"{db}.monthly_trends").collect()] == ["mine"]
+    spark.sql(f"DROP TABLE {db}.monthly_trends")
+    lake.write_table(spark.range(2), str(tmp_path / "elsewhere"))
+    spark.sql(f"CREATE TABLE {db}.monthly_trends USING parquet LOCATION '{tmp_path}/elsewhere'")
+    with pytest.raises(ValueError, match="left alone"):
+        catalog.register_lake(spark, root, db)
+
+
+def test_two_folders_of_one_name_are_an_error(spark, tmp_path):
+    for folder in ("insights/small", "insights/more/small"):
+        lake.write_table(spark.range(2), f"{tmp_path}/{folder}")
+    with pytest.raises(ValueError, match="small"):
+        catalog.lake_tables(spark, str(tmp_path))
+
+
+def test_session_views_are_not_lake_tables(spark, sf_dir):
+    spark.range(1).createOrReplaceTempView("somebodys_view")
+    queries = registry.queries()
+    names = {r.table_name for r in queries["register_lake"](spark, sf_dir).collect()}
+    listed = {r.table_name for r in queries["table_columns"](spark, sf_dir).collect()}
+    assert "somebodys_view" not in names | listed and len(names) == len(listed) == 25
+    for name in ("views", "run_sql"):
+        queries[name](spark, sf_dir).count()
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("view_")} == set()

@@ -2,7 +2,7 @@
 
 import pytest
 
-from farebox.operators.cleaning import clean_trips, cleaning_funnel
+from farebox.operators.cleaning import clean_trips, cleaning_funnel, stage_counts
 from farebox.plans.insights import insight, insight_rollup
 from farebox.sources import lake
 from farebox.sources.raw import scan_raw
@@ -21,7 +21,9 @@ WRITES = {
     "table_audit",
     "build_lake",
     "lake_inventory",
-    "sql_date_range",
+    "reload_month",
+    "scan_uneven_months",
+    "table_columns",
 }
 
 
@@ -100,3 +102,25 @@ def test_months_are_gathered_before_columns_are_added(raw):
     assert plan.count("Exchange") == 2
     assert "REBALANCE" in plan
     assert "trip_length_category" not in plan.split("Exchange")[1]
+
+
+@pytest.mark.parametrize(
+    "name", ["sql_trips_in_month", "sql_month_fare_by_payment_name", "sql_month_top_zones", "sql_date_range"]
+)
+def test_month_questions_read_their_month_only(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    partitions = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "pickup_year" in partitions and "pickup_month" in partitions
+
+
+@pytest.mark.parametrize(
+    "name", [q for q in registry.queries() if q.startswith(("sql_", "decode_", "view")) or q in ("key_metrics", "utilization")]
+)
+def test_questions_do_not_clean_again(spark, sf_dir, name):
+    assert "Window" not in plan_of(registry.queries()[name](spark, sf_dir))
+
+
+def test_the_funnel_of_the_batch_shuffles_counts_alone(raw):
+    plan = plan_of(stage_counts(raw))
+    assert plan.count("Exchange") == 1
+    assert "hashpartitioning(passed" in plan and "pulocationid" not in plan.split("Exchange")[1]

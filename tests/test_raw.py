@@ -42,8 +42,11 @@ def uneven(spark, tmp_path_factory):
     return str(base)
 
 
-def test_months_that_disagree_are_read_together(spark, uneven):
-    months = [(2025, "01"), (2025, "02"), (2025, "03")]
+EVERY_MONTH = [(2025, "01"), (2025, "02"), (2025, "03")]
+
+
+@pytest.mark.parametrize("months", [EVERY_MONTH, None])
+def test_months_that_disagree_are_read_together(spark, uneven, months):
     trips = raw.scan_raw(spark, uneven, months)
     kinds = dict(trips.dtypes)
     assert kinds["PULocationID"] == "bigint"
@@ -85,3 +88,18 @@ def test_other_months_are_not_read(spark, uneven):
     assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert {r.month for r in trips.select("month").collect()} == {1}
     assert raw.scan_raw_months(spark, uneven, ["01"], 2024).count() == 0
+
+
+def test_files_with_other_columns_need_no_list(spark, tmp_path):
+    """One scan, with a column that only some files have and one under two spellings."""
+    frame(spark, trip()).withColumn("Airport_fee", F.lit(1.0)).write.parquet(f"{tmp_path}/year=2025/month=01")
+    more = frame(spark, trip()).withColumns({"airport_fee": F.lit(2.0), "tolls_amount": F.lit(3.0)})
+    more.write.parquet(f"{tmp_path}/year=2025/month=02")
+    frame(spark, trip()).write.mode("append").parquet(f"{tmp_path}/year=2025/month=02")
+    trips = raw.scan_raw(spark, str(tmp_path))
+    totals = trips.agg(F.count("*"), F.sum("airport_fee"), F.sum("tolls_amount")).head()
+    assert tuple(totals) == (3, 3.0, 3.0)
+
+
+def test_months_found(spark, uneven):
+    assert raw.raw_months(spark, uneven) == EVERY_MONTH
