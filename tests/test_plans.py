@@ -123,4 +123,5 @@ def test_questions_do_not_clean_again(spark, sf_dir, name):
 def test_the_funnel_of_the_batch_shuffles_counts_alone(raw):
     plan = plan_of(stage_counts(raw))
     assert plan.count("Exchange") == 1
-    assert "hashpartitioning(passed" in plan and "pulocationid" not in plan.split("Exchange")[1]
+    keys = plan.split("hashpartitioning(")[1].split("), ENSURE")[0]
+    assert keys.count(",") == 1 and "tpep" not in keys and "locationid" not in keys.lower()
