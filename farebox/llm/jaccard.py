@@ -6,15 +6,14 @@ by hash, with shingles that are common in a sample of documents last. A document
 first shingles fewer are found elsewhere is linked with none and put aside; only documents
 that share a first shingle are ever compared, and equal sets count as one.
 
-1. Of the documents with a shingle, the one with the least key is its pivot. Each document
-   is compared with the pivot it shares most with; most copies are linked by that.
-2. Shingles whose documents are not all of one component by then go to tiles: their
-   documents by size, in pieces of bounded length, and each piece beside those of sizes near
-   enough. Within a tile, bands of size are compared by bitmaps of hashed shingles. The bits
-   that one has and the other lacks bound the overlap from above; pairs of different
-   components that may be linked are kept, first the likeliest per document and component,
-   and after these have been compared, all that are left.
-3. Pairs are decided by the intersection of the sorted arrays.
+Documents that first shingles connect, however indirectly, are a cluster; no link leads out
+of it. The shingles that most documents have are left out of this as far as each document
+has more in common with any it can be linked with. Clusters go to tiles: their documents by
+size, in pieces of bounded length, and each piece beside itself and those of sizes near
+enough. Within a tile, bands of size are compared by bitmaps of hashed shingles: the bits
+that one has and the other lacks bound the overlap from above. Pairs that pass are decided
+by the intersection of the sorted arrays, likeliest first, and only as long as the two are
+not joined by links of the tile already; so a tile gives fewer links than it has documents.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
@@ -37,13 +36,18 @@ from farebox.llm.lm import build_filter
 SHINGLE = 5
 LINKED = 80  # percent
 SPARE = 20  # one in so many shingles is a further one that the first ones must share
+# Of n shingles, how many first ones are in common with any set that can be linked; the
+# smaller of two linked sets has at least LINKED percent of the larger's size.
+IN_COMMON = f"(1 + floor(ceil(n * {LINKED} / 100) / {SPARE}))"
 MOST_SAMPLED = 2000  # documents that tell which shingles are common
 COMMON = 4  # of these
 PEELED = 2  # times that documents with too little in common are put aside
-TILE = 1024  # documents in a piece
-HELD_PAIRS = 100_000  # pairs a task holds, each once, before it hands them on
+TILE = 400_000  # shingles in a piece
 BAND = 1.25  # sizes in a band; beyond the next band no pair can be linked
 LEAST_BITS = 64
+# Spark may filter a side of a join by a Bloom filter of the other, if that is this small;
+# the filter's own size is bounded by Spark.
+BLOOM_FILTERS = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "256m"}
 SIEVE_BYTES = 8 << 20  # of the Bloom filter that tells rows which may have to go
 
 _PLACES = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -125,34 +129,26 @@ def _bits(n: int) -> int:
     return max(LEAST_BITS, 1 << (2 * n - 1).bit_length())
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
+def bitmap(hashes: np.ndarray) -> np.ndarray:
     bits = np.zeros(_bits(len(hashes)), dtype=bool)
     bits[(hashes & np.uint64(len(bits) - 1)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+    return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Key, size, bitmap and sorted array of each set."""
+    """Key, size and sorted array of each set."""
     hashes, sizes = shingle_sets(batch.column(0))
     bounds = row_starts(sizes)
-    sets = [hashes[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(set_keys(hashes, sizes)),
-            pa.array(sizes, pa.int64()),
-            pa.array([bitmap(s) for s in sets], pa.binary()),
-            pa.array([s.tobytes() for s in sets], pa.binary()),
-        ],
-        ["key", "n", "bits", "shingles"],
-    )
+    arrays = [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+    columns = [pa.array(set_keys(hashes, sizes)), pa.array(sizes, pa.int64()), pa.array(arrays, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["key", "n", "shingles"])
 
 
-def folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+def folded(bitmaps: list[np.ndarray], width: int) -> np.ndarray:
     """Bitmaps halved onto themselves to ``width`` bits, as rows of 64-bit numbers."""
     rows = np.empty((len(bitmaps), width // 64), dtype=np.uint64)
     for i, bits in enumerate(bitmaps):
-        parts = np.frombuffer(bits, dtype=np.uint64).reshape(-1, width // 64)
-        rows[i] = np.bitwise_or.reduce(parts, axis=0)
+        rows[i] = np.bitwise_or.reduce(bits.reshape(-1, width // 64), axis=0)
     return rows
 
 
@@ -167,52 +163,50 @@ def may_link(shared: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
     return 100 * shared >= LINKED * (n + sizes - shared)
 
 
-def _likely(tile: Tile, first_only: bool) -> set[tuple[int, int]]:
-    """Pairs of keys of different components that may be linked, from rows sorted by size.
-
-    With ``first_only`` each document gives one pair per other component, the likeliest.
-    Where a tile has two pieces, only pairs across them are looked at.
-    """
-    keys, sizes, component, piece = tile.keys, tile.sizes, tile.component, tile.piece
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    found: set[tuple[int, int]] = set()
-    start = 0
-    while start < len(keys):
-        width = _bits(int(sizes[start]))
-        band = max(start + 1, int(np.searchsorted(sizes, sizes[start] * BAND, side="left")))
-        reach = int(np.searchsorted(sizes, 100 * sizes[band - 1] // LINKED, side="right"))
-        marks = folded(tile.bitmaps[start:reach], width) if reach > start + 1 else None
-        for i in range(start, min(band, reach - 1)):
-            other = component[i + 1 : reach] != component[i]
-            if tile.across:
-                other &= piece[i + 1 : reach] != piece[i]
-            at = np.flatnonzero(other) + i + 1
-            if not len(at):
-                continue
-            bound = overlap_bounds(marks[i - start], int(sizes[i]), marks[at - start], sizes[at])
-            fits = may_link(bound, int(sizes[i]), sizes[at])
-            for j, shared in zip(at[fits].tolist(), bound[fits].tolist(), strict=True):
-                pair = (min(int(keys[i]), int(keys[j])), max(int(keys[i]), int(keys[j])))
-                found.add(pair)
-                share = 1000 * shared // int(sizes[i] + sizes[j] - shared)
-                for key, of in ((int(keys[i]), int(component[j])), (int(keys[j]), int(component[i]))):
-                    if best.get((key, of), (-1,))[0] < share:
-                        best[key, of] = (share, *pair)
-        start = band
-    return {chosen[1:] for chosen in best.values()} if first_only else found
-
-
 @dataclass
 class Tile:
-    across: bool
+    """Documents of one or two pieces of a cluster, by size."""
+
+    across: bool  # whether only pairs of different pieces count
     keys: np.ndarray
     sizes: np.ndarray
-    component: np.ndarray
     piece: np.ndarray
-    bitmaps: list[bytes]
-
-
-TILE_COLUMNS = ["shingle", "left", "right", "n", "key", "component", "piece", "bits"]
+    sets: list[np.ndarray]
+
+    def links(self) -> list[tuple[int, int]]:
+        """Links that join all documents which links within the tile connect."""
+        sizes, found = self.sizes, []
+        bitmaps = [bitmap(s) for s in self.sets]
+        group = np.arange(len(sizes))
+        start = 0
+        while start < len(sizes):
+            width = _bits(int(sizes[start]))
+            band = max(start + 1, int(np.searchsorted(sizes, sizes[start] * BAND, side="left")))
+            reach = int(np.searchsorted(sizes, 100 * sizes[band - 1] // LINKED, side="right"))
+            marks = folded(bitmaps[start:reach], width) if reach > start + 1 else None
+            for i in range(start, min(band, reach - 1)):
+                other = group[i + 1 : reach] != group[i]
+                if self.across:
+                    other &= self.piece[i + 1 : reach] != self.piece[i]
+                at = np.flatnonzero(other) + i + 1
+                if not len(at):
+                    continue
+                bound = overlap_bounds(marks[i - start], int(sizes[i]), marks[at - start], sizes[at])
+                fits = np.flatnonzero(may_link(bound, int(sizes[i]), sizes[at]))
+                for j in at[fits[np.argsort(-bound[fits], kind="stable")]].tolist():
+                    if group[i] != group[j] and are_linked(self.sets[i], self.sets[j]):
+                        found.append((int(self.keys[i]), int(self.keys[j])))
+                        group[group == group[j]] = group[i]
+            start = band
+        return found
+
+
+def are_linked(one: np.ndarray, other: np.ndarray) -> bool:
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * shared >= LINKED * (len(one) + len(other) - shared)
+
+
+TILE_COLUMNS = ["cluster", "left", "right", "n", "key", "piece", "shingles"]
 
 
 def _tiles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[Tile]:
@@ -233,47 +227,16 @@ def _tiles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[Tile]:
             changed |= m[1:] != m[:-1]
         cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), len(rows)]
         whole = cuts if batch is None else cuts[:-1]  # the last tile may go on
-        numbers = [rows[c].to_numpy() for c in ("key", "n", "component", "piece")]
-        bitmaps = rows["bits"].combine_chunks()
+        numbers = [rows[c].to_numpy() for c in ("key", "n", "piece")]
+        arrays = rows["shingles"].combine_chunks()
         for a, b in itertools.pairwise(whole):
             if b - a > 1:
-                keys, sizes, component, piece = (x[a:b] for x in numbers)
-                yield Tile(marks[1][a] != marks[2][a], keys, sizes, component, piece, bitmaps[a:b].to_pylist())
+                keys, sizes, piece = (x[a:b] for x in numbers)
+                sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in arrays[a:b]]
+                yield Tile(marks[1][a] != marks[2][a], keys, sizes, piece, sets)
         held = rows.slice(whole[-1]).to_batches() if batch is not None else []
 
 
-def _decided(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The pairs that are linked, by the exact overlap of their arrays."""
-    a, b, n_a, n_b, bits_a, bits_b, in_a, in_b = batch.columns
-    links = []
-    for i in range(batch.num_rows):
-        n, m = n_a[i].as_py(), n_b[i].as_py()
-        width = min(_bits(n), _bits(m))
-        one, other = folded([bits_a[i].as_py(), bits_b[i].as_py()], width)
-        bound = overlap_bounds(one, n, other[None], np.array([m]))
-        if not may_link(bound, n, np.array([m]))[0]:
-            continue
-        sets = [np.frombuffer(x[i].as_buffer(), dtype=np.uint64) for x in (in_a, in_b)]
-        shared = len(np.intersect1d(*sets, assume_unique=True))
-        if 100 * shared >= LINKED * (n + m - shared):
-            links.append(i)
-    chosen = pa.array(links, pa.int32())
-    return pa.RecordBatch.from_arrays([a.take(chosen), b.take(chosen)], ["a", "b"])
-
-
-def _links(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked."""
-    one, other = (
-        signatures.select(F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "bits", "shingles")))
-        for s in ("a", "b")
-    )
-    sizes = pairs.join(one, "a").join(other, "b").where(
-        f"100 * least(n_a, n_b) >= {LINKED} * greatest(n_a, n_b)"
-    )
-    columns = ["a", "b", "n_a", "n_b", "bits_a", "bits_b", "shingles_a", "shingles_b"]
-    return sizes.select(*columns).mapInArrow(over_batches(_decided), "a bigint, b bigint")
-
-
 def _common_shingles(texts: DataFrame) -> np.ndarray:
     """Shingles that several sets of a bounded sample have; only the order depends on them."""
     sample = hashed_sample(texts, MOST_SAMPLED).toArrow()["text"]
@@ -285,54 +248,32 @@ def _common_shingles(texts: DataFrame) -> np.ndarray:
     return found[times >= COMMON]
 
 
-def _tiles(members: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Rows of every tile: shared shingle, left and right piece, and the documents' bitmaps.
+def _tiles(clusters: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Rows of every tile: cluster, left and right piece, and the documents' arrays.
 
-    Documents with a shingle are cut by size into pieces of ``TILE``. A piece meets itself
-    and the later ones whose least size is within reach of its greatest.
+    A cluster is cut by size into pieces of ``TILE`` shingles or one document. A piece meets
+    itself and the later ones whose least size is within reach of its greatest.
     """
-    sized = members.join(signatures.select("key", "n", "bits"), "key")
-    by_size = Window.partitionBy("shingle").orderBy("n", "key")
-    sized = sized.withColumn("piece", F.floor((F.row_number().over(by_size) - 1) / TILE))
-    sized = stored(sized, "tile-rows")
-    pieces = sized.groupBy("shingle", "piece").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left = pieces.select("shingle", F.col("piece").alias("left"), "most")
-    right = pieces.select("shingle", F.col("piece").alias("right"), "least")
-    tiles = left.join(right, "shingle").where(f"left <= right AND {LINKED} * least <= 100 * most")
+    sizes = clusters.join(signatures.select("key", "n"), "key")
+    by_size = Window.partitionBy("cluster").orderBy("n", "key")
+    sizes = sizes.withColumn("piece", F.floor((F.sum("n").over(by_size) - F.col("n")) / TILE))
+    sizes = stored(sizes, "tile-rows")
+    pieces = sizes.groupBy("cluster", "piece").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    left = pieces.select("cluster", F.col("piece").alias("left"), "most")
+    right = pieces.select("cluster", F.col("piece").alias("right"), "least")
+    tiles = left.join(right, "cluster").where(f"left <= right AND {LINKED} * least <= 100 * most")
     tiles = tiles.select(
-        "shingle", "left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("piece")
-    )
-    return sized.join(tiles, ["shingle", "piece"])
-
-
-def _candidates(
-    shared: DataFrame, found: DataFrame, signatures: DataFrame, first_only: bool
-) -> DataFrame:
-    """Pairs (a, b) of different components that a tile cannot rule out."""
-    placed = shared.join(found.withColumnRenamed("node", "key"), "key", "left").select(
-        "shingle", "key", F.coalesce("component", "key").alias("component")
+        "cluster", "left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("piece")
     )
-    mixed_up = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ones = placed.join(mixed_up.where("low <> high").select("shingle"), "shingle")
+    placed = sizes.join(tiles, ["cluster", "piece"]).join(signatures.select("key", "shingles"), "key")
+    return placed.repartition("cluster", "left", "right").sortWithinPartitions(*TILE_COLUMNS[:5]).select(*TILE_COLUMNS)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for tile in _tiles_in(batches):
-            seen |= _likely(tile, first_only)
-            if len(seen) >= HELD_PAIRS:
-                yield _as_pairs(seen)
-                seen = set()
-        if seen:
-            yield _as_pairs(seen)
 
-    tiles = _tiles(open_ones, signatures).repartition("shingle", "left", "right")
-    tiles = tiles.sortWithinPartitions("shingle", "left", "right", "n", "key").select(*TILE_COLUMNS)
-    return tiles.mapInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def _as_pairs(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-    columns = np.array(sorted(pairs), dtype=np.int64).T
-    return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1])], ["a", "b"])
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for tile in _tiles_in(batches):
+        if found := tile.links():
+            a, b = np.array(found, dtype=np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -342,6 +283,15 @@ def _shared(postings: DataFrame) -> DataFrame:
     return keys.join(ends.where("pivot <> last").select("shingle", "pivot"), "shingle").distinct()
 
 
+def _rarest(shared: DataFrame, sized: DataFrame) -> DataFrame:
+    """``shared`` without the shingles of each key that most keys have, one fewer of them than
+    the key has in common with any that it can be linked with: the rarest in common stays."""
+    common = shared.groupBy("shingle").agg(F.count("*").alias("keys"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("keys"), F.desc("shingle")))
+    ranked = shared.join(common, "shingle").withColumn("place", place).join(sized, "key")
+    return _shared(ranked.where(f"place > {IN_COMMON} - 1"))
+
+
 def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between keys of different sets, enough of them to join every component.
 
@@ -353,30 +303,24 @@ def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         return _postings(batch, sent.value)
 
     postings = texts.select("text").mapInArrow(over_batches(post), "shingle bigint, key bigint")
-    shared = stored(_shared(postings), "shared-shingles")
+    twice = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    # Read back with a test, so that Spark makes a Bloom filter of it and only shuffles the
+    # postings that pass.
+    twice = stored(twice, "shingles-met-twice").where("times > 1").select("shingle")
+    shared = stored(_shared(stored(postings.join(twice, "shingle").distinct(), "postings")), "shared-shingles")
     sized = stored(sets.where("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row")), "set-sizes")
-    # The smaller of two linked sets has at least this share of the larger's size.
-    enough = F.expr(f"times > floor(ceil(n * {LINKED} / 100) / {SPARE})")
     for _ in range(PEELED):
-        active = shared.groupBy("key").agg(F.count("*").alias("times")).join(sized, "key").where(enough)
+        active = shared.groupBy("key").agg(F.count("*").alias("times")).join(sized, "key").where(f"times >= {IN_COMMON}")
         shared = stored(_shared(shared.join(active.select("key"), "key", "left_semi")), "shared-shingles")
-    wanted = stored(shared.select("key").distinct().join(sized, "key").select("row"), "wanted")
+    rarest = _rarest(shared, sized).where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    clusters = components(rarest).select(F.col("node").alias("key"), F.col("component").alias("cluster"))
+    wanted = stored(clusters.select("key").join(sized, "key").select("row"), "wanted")
     # Read back with a test on its column, so that Spark filters the texts by a Bloom filter
     # of these rows before it shuffles them.
     needed = texts.join(wanted.where(F.col("row") >= F.lit(-(1 << 63))), "row", "left_semi").select("text")
-    signatures = needed.mapInArrow(over_batches(_signed), "key bigint, n bigint, bits binary, shingles binary")
+    signatures = needed.mapInArrow(over_batches(_signed), "key bigint, n bigint, shingles binary")
     signatures = stored(signatures.dropDuplicates(["key"]), "signatures")
-
-    with_pivot = shared.where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("times"))
-    best = with_pivot.groupBy("key").agg(F.max(F.struct("times", F.expr("-1 - pivot").alias("order"))).alias("best"))
-    pairs = best.select((F.lit(-1) - F.col("best.order")).alias("a"), F.col("key").alias("b"))
-    links = stored(_links(pairs, signatures), "pivot-links")
-    shared = shared.select("shingle", "key")
-    for first_only in (True, False):
-        found = components(links)
-        more = _links(_candidates(shared, found, signatures, first_only), signatures)
-        links = stored(links.unionByName(more), "all-links")
-    return links
+    return stored(_tiles(clusters, signatures).mapInArrow(_linked, "a bigint, b bigint"), "all-links")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -391,7 +335,8 @@ def _row() -> Column:
 def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, row, n, key and component of every row; the component of an empty set is its key."""
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    for setting, value in BLOOM_FILTERS.items():
+        spark.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{setting}", value)
     texts = _texts(docs)
     sets = texts.mapInArrow(over_batches(_measured), "doc_id bigint, row bigint, n bigint, key bigint")
     sets = stored(sets, "shingle-sets")

