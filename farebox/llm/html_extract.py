@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm import boosting
+from farebox.llm.common import hashed_sample
 from farebox.llm.dom import Forest, flags, numbers, parse
 
 MOST_PAGES = 150  # sampled to learn from
@@ -72,21 +73,31 @@ def features(forest: Forest, tokens: dict[str, int]) -> np.ndarray:
     return np.concatenate([numbers(forest), flags(forest, tokens)], axis=1, dtype=np.float32)
 
 
+def tied(forest: Forest) -> list[bool]:
+    """For each node whether it is a run of text that is all its block holds: the two are one choice."""
+    children = [0] * len(forest.page)
+    for parent in forest.parent:
+        if parent >= 0:
+            children[parent] += 1
+    return [p >= 0 and children[p] == 1 and bool(t) for p, t in zip(forest.parent, forest.text, strict=True)]
+
+
 def decode(forest: Forest, logits: np.ndarray) -> list[bool]:
     """For each node whether it is kept, by the best total over choices without contradiction.
 
-    Keeping a node gains its logit; a node below one that is not kept cannot be kept. What a
-    subtree gains at most is known once its children are, which come after it in order.
+    Keeping a node gains its logit; a node below one that is not kept cannot be kept, and a
+    block and the one run it holds are kept together. What a subtree gains at most is known
+    once its children are, which come after it in order.
     """
-    gain = logits.tolist()
+    gain, together = logits.tolist(), tied(forest)
     for node in range(len(gain) - 1, -1, -1):
         parent = forest.parent[node]
-        if parent >= 0 and gain[node] > 0:
+        if parent >= 0 and (gain[node] > 0 or together[node]):
             gain[parent] += gain[node]
     kept = [False] * len(gain)
     for node, best in enumerate(gain):
         parent = forest.parent[node]
-        kept[node] = best > 0 and (parent < 0 or kept[parent])
+        kept[node] = kept[parent] if together[node] else best > 0 and (parent < 0 or kept[parent])
     return kept
 
 
@@ -170,6 +181,8 @@ def laid_out(rng: random.Random, article: list[str], other: list[str]) -> str:
 
     blocks = []
     for place, text in enumerate(article):
+        if rng.random() < 0.1:  # articles have short paragraphs too
+            text = " ".join(text.split()[: rng.randint(1, 4)])
         text, shape = MARK + escape(text), rng.random()
         if place == 0 and rng.random() < 0.8:
             blocks.append(f"<h1>{text}</h1>")
@@ -228,10 +241,9 @@ def learn(pages: list[str], seed: int = 5) -> BlockModel:
 
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html") -> BlockModel:
-    """Learn from the ``MOST_PAGES`` pages with the smallest hashes of their contents."""
+    """Learn from at most ``MOST_PAGES`` pages."""
     usable = pages.where(F.length(html).between(1, LONGEST_PAGE)).select(html)
-    sample = usable.orderBy(F.xxhash64(html), html).limit(MOST_PAGES).collect()
-    return learn([row[0] for row in sample])
+    return learn(sorted(row[0] for row in hashed_sample(usable, MOST_PAGES).collect()))
 
 
 def main_text(html: str, model: BlockModel, pages: DataFrame) -> Column:

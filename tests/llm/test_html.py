@@ -57,7 +57,8 @@ def test_decoding_never_keeps_below_what_it_rejects_and_is_the_best_choice():
         best = 0.0
         for choice in range(1 << n):
             chosen = [choice >> i & 1 for i in range(n)]
-            if all(not c or forest.parent[i] < 0 or chosen[forest.parent[i]] for i, c in enumerate(chosen)):
+            above = [chosen[forest.parent[i]] if forest.parent[i] >= 0 else 1 for i in range(n)]
+            if all(c <= a and (c == a or not t) for c, a, t in zip(chosen, above, h.tied(forest), strict=True)):
                 best = max(best, sum(g for g, c in zip(gains, chosen, strict=True) if c))
         assert sum(g for g, k in zip(gains, kept, strict=True) if k) == pytest.approx(best)
 
