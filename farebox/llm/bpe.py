@@ -10,6 +10,7 @@ stored, and back-pointers from the word's end give the ids.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import cache
 from struct import pack
 
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from farebox.llm.word_vocab import WordVocabulary, chunks, vocabulary
 
-KEPT_CHUNKS = 600_000  # chunks whose ids a worker remembers before it starts anew
-KEPT_PAIRS = 1_000_000
+KEPT_CHUNKS = 100_000  # chunks whose ids a worker remembers before it starts anew
+KEPT_WORDS = 300_000
+KEPT_PAIRS = 200_000
 LONGEST_KEPT = 48
 END = "Ā"  # stands for the word's end after bytes read as Latin-1
 
@@ -34,22 +36,15 @@ class PrefixEncoder:
     def __init__(self, vocab: WordVocabulary):
         self.vocab = vocab
         self._rank = {(a << 20) | b: rank for rank, (a, b, _) in enumerate(vocab.merges.tolist())}
-        self._right = {}  # token: (piece at its right edge, rank at which that piece is used up)
-        self._left = {}
+        self._parts = {token: (a, b, rank) for rank, (a, b, token) in enumerate(vocab.merges.tolist())}
         spelled = {int(t): bytes([b]).decode("latin-1") for b, t in enumerate(vocab.inner)}
         spelled |= {int(t): bytes([b]).decode("latin-1") + END for b, t in enumerate(vocab.final)}
-        never = len(vocab.merges)
-        for token in spelled:
-            self._right[token] = self._left[token] = [(token, never)]
         canonical = set(spelled)
         for rank, (a, b, token) in enumerate(vocab.merges.tolist()):
             spelled[token] = spelled[a] + spelled[b]
-            right = [(token, never)] + [(x, min(used, rank)) for x, used in self._right[b]]
-            left = [(token, never)] + [(x, min(used, rank)) for x, used in self._left[a]]
             # The token is its own encoding if nothing joins across a|b before this merge.
-            if a in canonical and b in canonical and not self._joins(self._cut(a, rank), self._cut_left(b, rank)):
+            if a in canonical and b in canonical and not self._joins(a, b, rank):
                 canonical.add(token)
-            self._right[token], self._left[token] = right, left
         self._automaton = ahocorasick.Automaton()
         for token in canonical:
             self._automaton.add_word(spelled[token], (len(spelled[token]), token))
@@ -58,31 +53,41 @@ class PrefixEncoder:
         self._kept: dict[str, bytes] = {}
         self._words: dict[bytes, bytes] = {}
 
-    def _cut(self, token: int, rank: int) -> list[tuple[int, int]]:
-        return [(x, min(used, rank)) for x, used in self._right[token]]
-
-    def _cut_left(self, token: int, rank: int) -> list[tuple[int, int]]:
-        return [(x, min(used, rank)) for x, used in self._left[token]]
-
-    def _joins(self, right: list[tuple[int, int]], left: list[tuple[int, int]]) -> bool:
+    def _edge(self, token: int, side: int, until: int) -> list[tuple[int, int]]:
+        """The pieces that are at one edge of a token in turn, each with the rank at which it
+        is used up; the token itself lasts ``until``."""
+        pieces = [(token, until)]
+        while token in self._parts:
+            *halves, rank = self._parts[token]
+            token = halves[side]
+            pieces.append((token, rank))
+        return pieces
+
+    def _joins(self, before: int, token: int, until: int) -> bool:
         """Whether some merge takes a piece from each side while both are still there.
 
         Of merges of one rank the leftmost comes first: the left piece must be used up
         later than this merge, the right one not sooner.
         """
         rank_of = self._rank.get
-        for x, x_used in right:
+        left = self._edge(token, 0, until)
+        for x, x_used in self._edge(before, 1, until):
             for y, y_used in left:
                 rank = rank_of((x << 20) | y)
                 if rank is not None and rank < x_used and rank <= y_used:
                     return True
         return False
 
+    def forget(self) -> None:
+        """Let go of what was remembered, so that an idle worker holds little."""
+        for kept in (self._pairs, self._kept, self._words):
+            kept.clear()
+
     def _tested(self, before: int, token: int) -> bool:
         """Whether two tokens may stand side by side; the answer is remembered."""
         if len(self._pairs) >= KEPT_PAIRS:
             self._pairs.clear()
-        fits = not self._joins(self._right[before], self._left[token])
+        fits = not self._joins(before, token, len(self._parts))
         self._pairs[(before << 20) | token] = fits
         return fits
 
@@ -119,7 +124,7 @@ class PrefixEncoder:
             ids = self.encode_word(word)
             packed = pack(f"<{len(ids)}I", *ids)
             if len(word) <= LONGEST_KEPT:
-                if len(self._words) >= KEPT_CHUNKS:
+                if len(self._words) >= KEPT_WORDS:
                     self._words.clear()
                 self._words[word] = packed
         return packed
@@ -195,9 +200,11 @@ def bpe_codec(text: str, path: str) -> Column:
     """Struct of the ids of the whole text in column ``text`` and the text they decode to."""
 
     @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def coded(texts: pa.Array) -> pa.Array:
-        ids = _as_lists(encode_texts(texts, path))
-        return pa.StructArray.from_arrays([ids, decode_ids(ids, path).cast(pa.string())], ["ids", "decoded"])
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            ids = _as_lists(encode_texts(texts, path))
+            yield pa.StructArray.from_arrays([ids, decode_ids(ids, path).cast(pa.string())], ["ids", "decoded"])
+        encoder(path).forget()
 
     return coded(F.col(text))
 

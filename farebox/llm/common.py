@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 import farebox
 from farebox.session import apply_settings, work_folder
 
-ARROW_ROWS = 2000
-ARROW_BYTES = "8m"
+ARROW_ROWS = 1000
+ARROW_BYTES = "4m"
 WORDS_AT_ONCE = 1 << 20  # bytes of text whose words are hashed in one go
 
 _shipped: set[str] = set()
