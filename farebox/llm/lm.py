@@ -3,12 +3,14 @@
 Words and word pairs of the training documents are counted over the whole corpus. Counts
 are quantised to steps of a square root of two and stored in one Bloom filter: an n-gram of
 step q is entered with 1, 2, ... q, so that probing until the first miss gives its count
-back. The filter's size is fixed, and only the filter is broadcast. Pairs seen once are not
-entered, and where more n-grams remain than it can hold well, the least count entered rises.
+back. The filter has the same number of bits for every entry, whatever the corpus, and is
+kept as rows, one for each segment of keys. No task and no broadcast ever holds more than a
+segment: a chunk of documents asks each segment for its distinct n-grams in one row, and the
+steps come back to the chunk.
 
 A pair's probability is (count(u, w) + weight * p(w)) / (count(u) + weight), where p(w) is
-the add-one estimate; the weight is the one that explains a bounded sample of documents best
-when each document's own occurrences are taken away.
+the add-one estimate; the weight is the one that explains all training documents best when
+each document's own occurrences are taken away.
 
 The base score uses exact word counts: those of the most frequent words are looked up in a
 table of bounded size, all others are joined.
@@ -22,20 +24,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import hashed_sample, mixed, row_starts, stored, words_hashed
+from farebox.llm.common import mixed, row_starts, stored, words_hashed
 
-FILTER_BYTES = 32 << 20
-SEGMENTS = 256
-MOST_ENTERED = 12_000_000  # n-grams in the filter
+SEGMENTS = 256  # of a filter, at least
+SEGMENT_BYTES = 4 << 20  # above which a filter has more segments
+BITS = 32  # of the filter for each entry
 LEAST_PAIRS = 2  # count of a pair that is entered
 HEAD_WORDS = 1 << 18  # most frequent words, whose exact counts are broadcast
 HELD_KEYS = 2_000_000  # n-grams a task holds before it counts and hands them on
 STEPS = 2  # quantisation steps per doubling
 PROBES = 2  # bits per entry
-MOST_TRIED = 300  # documents that the weight is chosen on
 WEIGHTS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5, 1e6)
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -94,13 +96,14 @@ class LogFrequencyFilter:
 
     bits: np.ndarray  # bytes of all segments
     least: int  # count of the first step
+    segments: int = SEGMENTS
 
     def _bit(self, keys: np.ndarray, level: int, probe: int) -> np.ndarray:
-        size = len(self.bits) * 8 // SEGMENTS
-        return _positions(keys, level, probe, size) + _segment(keys) * size
+        size = len(self.bits) * 8 // self.segments
+        return _positions(keys, level, probe, size) + _segment(keys, self.segments) * size
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """The count that each key's last step stands for; 0 for one not entered."""
+    def steps(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's last step; 0 for one not entered."""
         steps = np.zeros(len(keys), dtype=np.int64)
         left = np.arange(len(keys))
         level = 1
@@ -110,11 +113,17 @@ class LogFrequencyFilter:
                 left = left[(self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
             steps[left] = level
             level += 1
-        return np.where(steps > 0, self.least * middle(np.maximum(steps, 1)), 0.0)
+        return steps
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """The count that each key's last step stands for; 0 for one not entered."""
+        return self.least * stands_for(self.steps(keys))
 
 
-def _segment(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - int(math.log2(SEGMENTS)))).astype(np.int64)
+def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
+    if segments == 1:
+        return np.zeros(len(keys), dtype=np.int64)
+    return (keys >> np.uint64(64 - int(math.log2(segments)))).astype(np.int64)
 
 
 def _positions(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
@@ -134,73 +143,77 @@ def middle(steps: np.ndarray) -> np.ndarray:
     return np.where(steps == 1, 1.0, (low + high) / 2)
 
 
-def build_filter(ngrams: DataFrame, size: int = FILTER_BYTES, most: int = MOST_ENTERED) -> LogFrequencyFilter:
-    """Enter (key, n) rows; every segment is filled by the task that has its keys."""
-    doublings = ngrams.groupBy(F.floor(F.log2("n")).cast("int").alias("doubling")).count().collect()
-    least = 1
-    above = sum(row["count"] for row in doublings)
-    for row in sorted(doublings, key=lambda row: row.doubling):
-        if above <= most:
-            break
-        above -= row["count"]
-        least = 2 << row.doubling
-    size_of_segment = size * 8 // SEGMENTS
+def stands_for(steps: np.ndarray) -> np.ndarray:
+    """The count of each step, over the least; 0 for no step."""
+    return np.where(steps > 0, middle(np.maximum(steps, 1)), 0.0)
+
+
+def _filled(ngrams: DataFrame, segments: int, bits_of_segment: int, least: int = 1) -> DataFrame:
+    """(segment, bits) of (key, n) rows; every segment is filled by the task that has its keys."""
 
     def fill(key: tuple, group: pa.Table) -> pa.Table:
         keys = group["key"].to_numpy().view(np.uint64)
         steps = step_of(group["n"].to_numpy() / least)
-        bits = np.zeros(size_of_segment, dtype=np.uint8)
+        bits = np.zeros(bits_of_segment, dtype=np.uint8)
         for level in range(1, int(steps.max()) + 1):
             keys, steps = keys[steps >= level], steps[steps >= level]
             for probe in range(PROBES):
-                bits[_positions(keys, level, probe, size_of_segment)] = 1
+                bits[_positions(keys, level, probe, bits_of_segment)] = 1
         packed = np.packbits(bits, bitorder="little").tobytes()
         return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
 
-    shift = 64 - int(math.log2(SEGMENTS))
+    shift = 64 - int(math.log2(segments))
     entered = ngrams.where(F.col("n") >= least).withColumn("segment", F.shiftrightunsigned("key", shift))
-    filled = entered.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary").collect()
+    return entered.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary")
+
+
+def build_filter(ngrams: DataFrame, size: int, most: int = 1 << 62) -> LogFrequencyFilter:
+    """A filter of ``size`` bytes at the driver with (key, n) rows, of which ``most`` are entered."""
+    doublings = ngrams.groupBy(F.floor(F.log2("n")).cast("int").alias("doubling")).count().collect()
+    least = 1
+    above = sum(row["count"] for row in doublings)
+    for row in sorted(doublings, key=lambda row: row.doubling):
+        if above <= most:
+            break
+        above -= row["count"]
+        least = 2 << row.doubling
+    size_of_segment = size * 8 // SEGMENTS
     bits = np.zeros((SEGMENTS, size_of_segment // 8), dtype=np.uint8)
-    for row in filled:
+    for row in _filled(ngrams, SEGMENTS, size_of_segment, least).collect():
         bits[row.segment] = np.frombuffer(row.bits, dtype=np.uint8)
     return LogFrequencyFilter(bits.ravel(), least)
 
 
+def layout(ngrams: DataFrame, size: int) -> tuple[int, int]:
+    """How many segments a filter of all (key, n) rows has, and the bits of each: ``BITS`` for
+    every entry, in segments of at most ``size`` bytes."""
+    step = 1 + F.floor(STEPS * F.log2("n") + 1e-9)
+    bits = BITS * (ngrams.agg(F.sum(step)).head()[0] or 0)
+    segments = SEGMENTS
+    while bits > segments * size * 8:
+        segments *= 2
+    return segments, max(64, -(-bits // segments // 8) * 8)
+
+
 @dataclass
 class LanguageModel:
-    filter: LogFrequencyFilter
+    segments: int  # of the filter
     total: int  # N: training tokens
     distinct: int  # V: distinct ones
     head_keys: np.ndarray  # most frequent words, sorted
     head_counts: np.ndarray
-    weight: float = 300.0
-
-    def counts(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the filter has of each token, of its pair and of its predecessor."""
-        kinds, place = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        words = self.filter.counts(kinds)
-        n = len(tokens)
-        return words[place[:n]], self.filter.counts(pair_keys(before, tokens)), words[place[n:]]
 
-    def logs(self, words: np.ndarray, pairs: np.ndarray, context: np.ndarray) -> np.ndarray:
+    def logs(self, words: np.ndarray, pairs: np.ndarray, context: np.ndarray, weight: float) -> np.ndarray:
         """log10 of the smoothed probability; 0 where nothing was learned."""
         alone = (words + 1) / (self.total + self.distinct + 1)
         # The filter can give a pair more than its context; the context then is what counts.
-        return np.log10((pairs + self.weight * alone) / (np.maximum(context, pairs) + self.weight))
-
-    def choose_weight(self, texts: pa.Array) -> None:
-        tokens, counts, before = tokens_of(texts)
-        row = np.repeat(np.arange(len(counts)), counts).astype(np.uint64)
-        found = self.counts(tokens, before)
-        others = [
-            np.maximum(have - _times_in_row(row, keys), 0)
-            for have, keys in zip(found, (tokens, pair_keys(before, tokens), before), strict=True)
-        ]
-        gains = []
-        for weight in WEIGHTS:
-            self.weight = weight
-            gains.append(self.logs(*others).sum())
-        self.weight = WEIGHTS[int(np.argmax(gains))]
+        return np.log10((pairs + weight * alone) / (np.maximum(context, pairs) + weight))
+
+    def sums(self, row: np.ndarray, n: int, words: np.ndarray, pairs: np.ndarray, context: np.ndarray) -> pa.Array:
+        """The sum of each row's logs under each weight."""
+        summed = [np.bincount(row, self.logs(words, pairs, context, w), minlength=n) for w in WEIGHTS]
+        starts = np.arange(0, (n + 1) * len(WEIGHTS), len(WEIGHTS))
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.stack(summed, axis=1).ravel()))
 
     def head(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact counts of tokens, and which are among the most frequent words."""
@@ -230,70 +243,173 @@ def _least_frequent(words: DataFrame, most: int) -> int:
     return least
 
 
-def train(texts: DataFrame, size: int = FILTER_BYTES, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
-    """The model of column ``text``, and the exact count of every word as (key, n)."""
+def train(texts: DataFrame, size: int = SEGMENT_BYTES, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame, DataFrame]:
+    """The model of column ``text``, its filter as (segment, bits), and the exact count of
+    every word as (key, n)."""
     words = stored(ngram_counts(texts, pairs=False), "word-counts")
     pairs = stored(ngram_counts(texts, pairs=True).where(F.col("n") >= LEAST_PAIRS), "pair-counts")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
     keys = frequent["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    filled = build_filter(words.unionByName(pairs), size)
-    model = LanguageModel(filled, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order])
-    sample = hashed_sample(texts, MOST_TRIED).toArrow()["text"]
-    if len(sample):
-        model.choose_weight(sample)
-    return model, words
+    ngrams = words.unionByName(pairs)
+    segments, bits_of_segment = layout(ngrams, size)
+    filled = stored(_filled(ngrams, segments, bits_of_segment), "filter")
+    model = LanguageModel(segments, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order])
+    return model, filled, words
 
 
+# A chunk of documents: one row of its own with segment -1, and one for each segment asked.
+CHUNKS = (
+    "chunk bigint, segment bigint, data binary, place binary, doc_id array<bigint>, held_out array<boolean>, "
+    "n_tokens array<bigint>"
+)
 SUMMED = (
-    "doc_id bigint, held_out boolean, n_tokens bigint, n_head bigint, head_sum double, score double, "
-    "rare array<bigint>"
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_head bigint, head_sum double, scores array<double>, "
+    "left_out array<double>, rare array<bigint>"
 )
 
 
-def lm_scores(docs: DataFrame, held_out: Column, size: int = FILTER_BYTES, head: int = HEAD_WORDS) -> DataFrame:
+def _asked(tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a chunk in order, and the place there of each token, then of
+    each pair, then of the start."""
+    keys = np.concatenate([tokens, pair_keys(before, tokens), [START]])
+    return np.unique(keys, return_inverse=True)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Each batch of (doc_id, held_out, text) as a chunk."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        tokens, counts, before = tokens_of(batch.column(2))
+        if not len(tokens):
+            continue
+        kinds, place = np.unique(tokens, return_inverse=True)
+        asked, _ = _asked(tokens, before)
+        segment, starts = np.unique(_segment(asked, segments), return_index=True)
+        data = [kinds.tobytes(), *(part.tobytes() for part in np.split(asked, starts[1:]))]
+        n = len(data)
+
+        def own(values: pa.Array, n: int = n) -> pa.Array:
+            return pa.concat_arrays(
+                [pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), pa.nulls(n - 1, pa.list_(values.type))]
+            )
+
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, chunk)),
+                pa.array(np.concatenate([[-1], segment])),
+                pa.array(data, pa.binary()),
+                pa.array([place.astype(np.int32).tobytes(), *[None] * (n - 1)], pa.binary()),
+                own(pa.concat_arrays([batch.column(0)])),
+                own(pa.concat_arrays([batch.column(1)])),
+                own(pa.array(counts, pa.int64())),
+            ],
+            ["chunk", "segment", "data", "place", "doc_id", "held_out", "n_tokens"],
+        )
+        chunk += 1
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps for the keys of rows (segment, chunk, data), sorted by these: a segment's bits
+    come first, as chunk -1. A segment without bits has none of its keys."""
+    have, held = -1, None
+    for batch in batches:
+        segments, chunks, data = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        made = []
+        for i, segment in enumerate(segments):
+            if segment != have:
+                have, held = segment, None
+            if chunks[i] < 0:
+                held = LogFrequencyFilter(np.frombuffer(data[i].as_py(), np.uint8), 1, segments=1)
+                continue
+            keys = np.frombuffer(data[i].as_buffer(), np.uint64)
+            steps = held.steps(keys) if held else np.zeros(len(keys))
+            made.append((segment, chunks[i], steps.astype(np.uint8).tobytes()))
+        if made:
+            columns = zip(*made, strict=True)
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["segment", "chunk", "data"])
+
+
+def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
+    """The sums of a chunk's rows, from its own row and the answers of all segments."""
+    chunk = chunk.sort_by("segment").combine_chunks()
+    own = chunk.slice(0, 1).to_pydict()
+    kinds, place = np.frombuffer(own["data"][0], np.uint64), np.frombuffer(own["place"][0], np.int32)
+    tokens, counts = kinds[place], np.array(own["n_tokens"][0])
+    n, starts = len(tokens), row_starts(counts)[:-1]
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[starts] = START
+    _, place = _asked(tokens, before)
+    found = stands_for(np.frombuffer(b"".join(chunk["data"].slice(1).to_pylist()), np.uint8).astype(np.int64))[place]
+    words, pairs, start = found[:n], found[n : 2 * n], found[2 * n]
+
+    def shifted(values: np.ndarray, first: float) -> np.ndarray:
+        context = np.empty_like(values)
+        context[1:] = values[:-1]
+        context[starts] = first
+        return context
+
+    row = np.repeat(np.arange(len(counts)), counts)
+    # Without the row's own occurrences; whatever stands before a token stands there as often
+    # as it is in the row.
+    other_words = np.maximum(words - _times_in_row(row, tokens), 0)
+    other_pairs = np.maximum(pairs - _times_in_row(row, pair_keys(before, tokens)), 0)
+    exact, frequent = model.head(tokens)
+    rare = np.flatnonzero(~frequent)
+    rare_counts = np.bincount(row[rare], minlength=len(counts))
+    return pa.Table.from_arrays(
+        [
+            pa.array(own["doc_id"][0], pa.int64()),
+            pa.array(own["held_out"][0], pa.bool_()),
+            pa.array(counts, pa.int64()),
+            pa.array(np.bincount(row, frequent, minlength=len(counts)).astype(np.int64)),
+            pa.array(np.bincount(row, np.log10(exact + 1.0), minlength=len(counts))),
+            model.sums(row, len(counts), words, pairs, shifted(words, start)),
+            model.sums(row, len(counts), other_words, other_pairs, shifted(other_words, max(start - 1, 0))),
+            pa.ListArray.from_arrays(
+                pa.array(row_starts(rare_counts), pa.int32()), pa.array(tokens[rare].view(np.int64))
+            ),
+        ],
+        ["doc_id", "held_out", "n_tokens", "n_head", "head_sum", "scores", "left_out", "rare"],
+    )
+
+
+def lm_scores(docs: DataFrame, held_out: Column, size: int = SEGMENT_BYTES, head: int = HEAD_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row,
     learned from the rows that are not held out.
 
     A NULL or empty text is its end alone. A NULL doc_id is carried along, and repeated
-    rows each get their scores. With nothing to learn from both scores are 0.
+    rows each get their scores. With nothing to learn from both scores are 0. No segment of
+    the filter has more than ``size`` bytes.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out.alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    model, words = train(rows.where(~F.col("held_out")).select("text"), size, head)
+    model, filled, words = train(rows.where(~F.col("held_out")).select("text"), size, head)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for batch in batches:
-            tokens, counts, before = tokens_of(batch.column(2))
-            if not len(tokens):
-                continue
-            row = np.repeat(np.arange(len(counts)), counts)
-            exact, frequent = model.head(tokens)
-            logs = model.logs(*model.counts(tokens, before))
-            rare = np.flatnonzero(~frequent)
-            rare_counts = np.bincount(row[rare], minlength=len(counts))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(counts, pa.int64()),
-                    pa.array(np.bincount(row, frequent, minlength=len(counts)).astype(np.int64)),
-                    pa.array(np.bincount(row, np.log10(exact + 1.0), minlength=len(counts))),
-                    pa.array(np.bincount(row, logs, minlength=len(counts))),
-                    pa.ListArray.from_arrays(
-                        pa.array(row_starts(rare_counts), pa.int32()), pa.array(tokens[rare].view(np.int64))
-                    ),
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_head", "head_sum", "score", "rare"],
-            )
-
-    summed = stored(rows.mapInArrow(score, SUMMED).withColumn("row", F.monotonically_increasing_id()), "row-sums")
+    segments = model.segments
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _chunks(batches, segments)
+
+    def score(chunk: pa.Table) -> pa.Table:
+        return _scored(chunk, sent.value)
+
+    chunks = stored(rows.mapInArrow(cut, CHUNKS), "chunks")
+    asked = chunks.where("segment >= 0").select("segment", "chunk", "data")
+    bits = filled.select("segment", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"))
+    by_segment = bits.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
+    answers = by_segment.mapInArrow(_answered, "segment bigint, chunk bigint, data binary")
+    together = chunks.where("segment < 0").unionByName(answers, allowMissingColumns=True)
+    scored = together.groupBy("chunk").applyInArrow(score, SUMMED)
+    summed = stored(scored.withColumn("row", F.monotonically_increasing_id()), "row-sums")
+    gains = summed.where(~F.col("held_out")).agg(*[F.sum(F.col("left_out")[k]) for k in range(len(WEIGHTS))]).head()
+    best = int(np.argmax([gain or 0.0 for gain in gains]))
     rare = summed.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     found = rare.join(words, "key").groupBy("row").agg(
         F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_sum")
@@ -308,5 +424,5 @@ def lm_scores(docs: DataFrame, held_out: Column, size: int = FILTER_BYTES, head:
         (F.col("head_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias(
             "base_score"
         ),
-        "score",
+        F.col("scores")[best].alias("score"),
     )

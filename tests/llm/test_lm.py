@@ -91,3 +91,13 @@ def test_steps():
     steps = lm.step_of(counts)
     assert (np.diff(steps) >= 0).all() and steps[0] == 1
     assert (np.abs(np.log2(lm.middle(steps) / counts)) <= 0.51).all()
+
+
+def test_the_filter_grows_with_its_entries_and_drops_none(session):
+    for n in (1_000, 50_000):
+        keys = mixed(np.arange(n, dtype=np.uint64)).view(np.int64)
+        rows = session.createDataFrame([(int(k), 1) for k in keys], "key BIGINT, n BIGINT")
+        segments, bits = lm.layout(rows, SMALL)
+        assert segments * bits == pytest.approx(n * lm.BITS, rel=0.1, abs=64 * segments)
+        more, _ = lm.layout(rows, 16)
+        assert more > segments if n * lm.BITS > segments * 16 * 8 else more == segments
