@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from farebox.llm.common import mixed, row_starts, stored, words_hashed
 
 SEGMENTS = 256  # of a filter, at least
-SEGMENT_BYTES = 4 << 20  # above which a filter has more segments
-BITS = 32  # of the filter for each entry
-LEAST_PAIRS = 2  # count of a pair that is entered
+SEGMENT_TOKENS = 2_000_000  # of the training documents for each segment, at most
+BITS = 24  # of the filter for each entry
+KEY_BYTES = 5  # of a key that tell it apart within its segment
 HEAD_WORDS = 1 << 18  # most frequent words, whose exact counts are broadcast
 HELD_KEYS = 2_000_000  # n-grams a task holds before it counts and hands them on
 STEPS = 2  # quantisation steps per doubling
@@ -64,7 +64,7 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         return mixed(before * _PAIR + tokens)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], pairs: bool) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
 
     def handed_on() -> pa.RecordBatch:
@@ -73,21 +73,16 @@ def _counted(batches: Iterator[pa.RecordBatch], pairs: bool) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
 
     for batch in batches:
-        tokens, _, before = tokens_of(batch.column(0))
-        held.append(pair_keys(before, tokens) if pairs else tokens)
+        held.append(tokens_of(batch.column(0))[0])
         if sum(map(len, held)) >= HELD_KEYS:
             yield handed_on()
     if held:
         yield handed_on()
 
 
-def ngram_counts(texts: DataFrame, pairs: bool) -> DataFrame:
-    """(key, n) of every word, or every pair; tasks count what they hold before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, pairs)
-
-    return texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+def ngram_counts(texts: DataFrame) -> DataFrame:
+    """(key, n) of every word; tasks count what they hold before the shuffle."""
+    return texts.mapInArrow(_counted, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -148,27 +143,19 @@ def stands_for(steps: np.ndarray) -> np.ndarray:
     return np.where(steps > 0, middle(np.maximum(steps, 1)), 0.0)
 
 
-def _filled(ngrams: DataFrame, segments: int, bits_of_segment: int, least: int = 1) -> DataFrame:
-    """(segment, bits) of (key, n) rows; every segment is filled by the task that has its keys."""
-
-    def fill(key: tuple, group: pa.Table) -> pa.Table:
-        keys = group["key"].to_numpy().view(np.uint64)
-        steps = step_of(group["n"].to_numpy() / least)
-        bits = np.zeros(bits_of_segment, dtype=np.uint8)
-        for level in range(1, int(steps.max()) + 1):
-            keys, steps = keys[steps >= level], steps[steps >= level]
-            for probe in range(PROBES):
-                bits[_positions(keys, level, probe, bits_of_segment)] = 1
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
-
-    shift = 64 - int(math.log2(segments))
-    entered = ngrams.where(F.col("n") >= least).withColumn("segment", F.shiftrightunsigned("key", shift))
-    return entered.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary")
+def _set_bits(keys: np.ndarray, steps: np.ndarray, size: int) -> bytes:
+    """A segment of ``size`` bits with the entries of each key."""
+    bits = np.zeros(size, dtype=np.uint8)
+    for level in range(1, int(steps.max()) + 1):
+        keys, steps = keys[steps >= level], steps[steps >= level]
+        for probe in range(PROBES):
+            bits[_positions(keys, level, probe, size)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def build_filter(ngrams: DataFrame, size: int, most: int = 1 << 62) -> LogFrequencyFilter:
-    """A filter of ``size`` bytes at the driver with (key, n) rows, of which ``most`` are entered."""
+    """A filter of ``size`` bytes at the driver with (key, n) rows, of which ``most`` are
+    entered; every segment is filled by the task that has its keys."""
     doublings = ngrams.groupBy(F.floor(F.log2("n")).cast("int").alias("doubling")).count().collect()
     least = 1
     above = sum(row["count"] for row in doublings)
@@ -178,21 +165,94 @@ def build_filter(ngrams: DataFrame, size: int, most: int = 1 << 62) -> LogFreque
         above -= row["count"]
         least = 2 << row.doubling
     size_of_segment = size * 8 // SEGMENTS
+
+    def fill(key: tuple, group: pa.Table) -> pa.Table:
+        steps = step_of(group["n"].to_numpy() / least)
+        packed = _set_bits(group["key"].to_numpy().view(np.uint64), steps, size_of_segment)
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
+
+    shift = 64 - int(math.log2(SEGMENTS))
+    entered = ngrams.where(F.col("n") >= least).withColumn("segment", F.shiftrightunsigned("key", shift))
+    filled = entered.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary").collect()
     bits = np.zeros((SEGMENTS, size_of_segment // 8), dtype=np.uint8)
-    for row in _filled(ngrams, SEGMENTS, size_of_segment, least).collect():
+    for row in filled:
         bits[row.segment] = np.frombuffer(row.bits, dtype=np.uint8)
     return LogFrequencyFilter(bits.ravel(), least)
 
 
-def layout(ngrams: DataFrame, size: int) -> tuple[int, int]:
-    """How many segments a filter of all (key, n) rows has, and the bits of each: ``BITS`` for
-    every entry, in segments of at most ``size`` bytes."""
-    step = 1 + F.floor(STEPS * F.log2("n") + 1e-9)
-    bits = BITS * (ngrams.agg(F.sum(step)).head()[0] or 0)
+# --- the filter as rows: keys are packed, without what their segment says ---
+
+
+def packed(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def unpacked(held: bytes | pa.Buffer) -> np.ndarray:
+    short = np.frombuffer(held, np.uint8).reshape(-1, KEY_BYTES)
+    keys = np.zeros((len(short), 8), dtype=np.uint8)
+    keys[:, :KEY_BYTES] = short
+    return keys.view(np.uint64).ravel()
+
+
+def segments_for(tokens: int, size: int) -> int:
+    """How many segments keep to ``size`` tokens each: a power of two."""
     segments = SEGMENTS
-    while bits > segments * size * 8:
+    while tokens > segments * size:
         segments *= 2
-    return segments, max(64, -(-bits // segments // 8) * 8)
+    return segments
+
+
+def filled_segment(keys: np.ndarray, counts: np.ndarray, bits: int = BITS) -> bytes:
+    """The bits of a segment, ``bits`` for every entry, from its keys' counts in parts."""
+    kinds, place = np.unique(keys, return_inverse=True)
+    steps = step_of(np.bincount(place, counts))
+    return _set_bits(kinds, steps, max(64, -(-bits * int(steps.sum()) // 8) * 8))
+
+
+def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The segments of sorted keys, and where each begins."""
+    return np.unique(_segment(keys, segments), return_index=True)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Words and pairs with their counts in what a task holds, a row for each segment."""
+    held: list[np.ndarray] = []
+
+    def handed_on() -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        found, starts = _by_segment(keys, segments)
+        columns = [
+            pa.array(found),
+            pa.array([packed(part) for part in np.split(keys, starts[1:])], pa.binary()),
+            pa.array([part.tobytes() for part in np.split(counts.astype(np.uint32), starts[1:])], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["segment", "keys", "counts"])
+
+    for batch in batches:
+        tokens, _, before = tokens_of(batch.column(0))
+        held += [tokens, pair_keys(before, tokens)]
+        if sum(map(len, held)) >= HELD_KEYS:
+            yield handed_on()
+    if sum(map(len, held)):
+        yield handed_on()
+
+
+def filter_rows(texts: DataFrame, segments: int, bits: int = BITS) -> DataFrame:
+    """(segment, bits) of all words and pairs; every segment is counted, sized and filled by
+    the task that has its parts."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _parts(batches, segments)
+
+    def fill(key: tuple, group: pa.Table) -> pa.Table:
+        keys = unpacked(b"".join(group["keys"].to_pylist()))
+        counts = np.frombuffer(b"".join(group["counts"].to_pylist()), np.uint32)
+        made = filled_segment(keys, counts, bits)
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([made], pa.binary())})
+
+    parts = texts.mapInArrow(part, "segment bigint, keys binary, counts binary")
+    return parts.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary")
 
 
 @dataclass
@@ -243,73 +303,70 @@ def _least_frequent(words: DataFrame, most: int) -> int:
     return least
 
 
-def train(texts: DataFrame, size: int = SEGMENT_BYTES, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame, DataFrame]:
-    """The model of column ``text``, its filter as (segment, bits), and the exact count of
-    every word as (key, n)."""
-    words = stored(ngram_counts(texts, pairs=False), "word-counts")
-    pairs = stored(ngram_counts(texts, pairs=True).where(F.col("n") >= LEAST_PAIRS), "pair-counts")
+def train(texts: DataFrame, size: int = SEGMENT_TOKENS, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
+    """The model of column ``text``, and the exact count of every word as (key, n)."""
+    words = stored(ngram_counts(texts), "word-counts")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
     keys = frequent["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    ngrams = words.unionByName(pairs)
-    segments, bits_of_segment = layout(ngrams, size)
-    filled = stored(_filled(ngrams, segments, bits_of_segment), "filter")
-    model = LanguageModel(segments, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order])
-    return model, filled, words
+    segments = segments_for(int(total), size)
+    return LanguageModel(segments, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order]), words
 
 
-# A chunk of documents: one row of its own with segment -1, and one for each segment asked.
-CHUNKS = (
-    "chunk bigint, segment bigint, data binary, place binary, doc_id array<bigint>, held_out array<boolean>, "
-    "n_tokens array<bigint>"
-)
+# A chunk of documents: its distinct words in order and, for each token, its place there.
+CHUNKS = "chunk bigint, kinds binary, place binary, doc_id array<bigint>, held_out array<boolean>, n_tokens array<bigint>"
 SUMMED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_head bigint, head_sum double, scores array<double>, "
     "left_out array<double>, rare array<bigint>"
 )
 
 
-def _asked(tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of a chunk in order, and the place there of each token, then of
-    each pair, then of the start."""
-    keys = np.concatenate([tokens, pair_keys(before, tokens), [START]])
-    return np.unique(keys, return_inverse=True)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of (doc_id, held_out, text) as a chunk."""
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
-        tokens, counts, before = tokens_of(batch.column(2))
-        if not len(tokens):
+        words, counts, _ = tokens_of(batch.column(2))
+        if not len(words):
             continue
-        kinds, place = np.unique(tokens, return_inverse=True)
-        asked, _ = _asked(tokens, before)
-        segment, starts = np.unique(_segment(asked, segments), return_index=True)
-        data = [kinds.tobytes(), *(part.tobytes() for part in np.split(asked, starts[1:]))]
-        n = len(data)
-
-        def own(values: pa.Array, n: int = n) -> pa.Array:
-            return pa.concat_arrays(
-                [pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), pa.nulls(n - 1, pa.list_(values.type))]
-            )
-
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, chunk)),
-                pa.array(np.concatenate([[-1], segment])),
-                pa.array(data, pa.binary()),
-                pa.array([place.astype(np.int32).tobytes(), *[None] * (n - 1)], pa.binary()),
-                own(pa.concat_arrays([batch.column(0)])),
-                own(pa.concat_arrays([batch.column(1)])),
-                own(pa.array(counts, pa.int64())),
-            ],
-            ["chunk", "segment", "data", "place", "doc_id", "held_out", "n_tokens"],
-        )
+        kinds, place = np.unique(words, return_inverse=True)
+        columns = [pa.array([chunk], pa.int64()), *(pa.array([x.tobytes()]) for x in (kinds, place.astype(np.int32)))]
+        for values in (batch.column(0), batch.column(1), pa.array(counts, pa.int64())):
+            columns.append(pa.array([values.to_pylist()], pa.list_(values.type)))
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "kinds", "place", "doc_id", "held_out", "n_tokens"])
         chunk += 1
 
 
+def _tokens_in(kinds: bytes, place: bytes, counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's tokens, what stands before each, and where each document begins."""
+    tokens = np.frombuffer(kinds, np.uint64)[np.frombuffer(place, np.int32)]
+    starts = row_starts(np.array(counts))[:-1]
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[starts] = START
+    return tokens, before, starts
+
+
+def _ngrams(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """What a chunk asks for: its tokens, their pairs, and the start."""
+    return np.concatenate([tokens, pair_keys(before, tokens), [START]])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each chunk in order, a row for each segment."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            tokens, before, _ = _tokens_in(row["kinds"], row["place"], row["n_tokens"])
+            keys = np.unique(_ngrams(tokens, before))
+            found, starts = _by_segment(keys, segments)
+            columns = [
+                pa.array(found),
+                pa.array(np.full(len(found), row["chunk"])),
+                pa.array([packed(part) for part in np.split(keys, starts[1:])], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["segment", "chunk", "data"])
+
+
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Steps for the keys of rows (segment, chunk, data), sorted by these: a segment's bits
     come first, as chunk -1. A segment without bits has none of its keys."""
@@ -323,7 +380,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if chunks[i] < 0:
                 held = LogFrequencyFilter(np.frombuffer(data[i].as_py(), np.uint8), 1, segments=1)
                 continue
-            keys = np.frombuffer(data[i].as_buffer(), np.uint64)
+            keys = unpacked(data[i].as_buffer())
             steps = held.steps(keys) if held else np.zeros(len(keys))
             made.append((segment, chunks[i], steps.astype(np.uint8).tobytes()))
         if made:
@@ -335,14 +392,10 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
     """The sums of a chunk's rows, from its own row and the answers of all segments."""
     chunk = chunk.sort_by("segment").combine_chunks()
-    own = chunk.slice(0, 1).to_pydict()
-    kinds, place = np.frombuffer(own["data"][0], np.uint64), np.frombuffer(own["place"][0], np.int32)
-    tokens, counts = kinds[place], np.array(own["n_tokens"][0])
-    n, starts = len(tokens), row_starts(counts)[:-1]
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[starts] = START
-    _, place = _asked(tokens, before)
+    own = chunk.slice(0, 1).to_pylist()[0]
+    tokens, before, starts = _tokens_in(own["kinds"], own["place"], own["n_tokens"])
+    n, counts = len(tokens), np.array(own["n_tokens"])
+    _, place = np.unique(_ngrams(tokens, before), return_inverse=True)
     found = stands_for(np.frombuffer(b"".join(chunk["data"].slice(1).to_pylist()), np.uint8).astype(np.int64))[place]
     words, pairs, start = found[:n], found[n : 2 * n], found[2 * n]
 
@@ -362,8 +415,8 @@ def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
     rare_counts = np.bincount(row[rare], minlength=len(counts))
     return pa.Table.from_arrays(
         [
-            pa.array(own["doc_id"][0], pa.int64()),
-            pa.array(own["held_out"][0], pa.bool_()),
+            pa.array(own["doc_id"], pa.int64()),
+            pa.array(own["held_out"], pa.bool_()),
             pa.array(counts, pa.int64()),
             pa.array(np.bincount(row, frequent, minlength=len(counts)).astype(np.int64)),
             pa.array(np.bincount(row, np.log10(exact + 1.0), minlength=len(counts))),
@@ -377,35 +430,40 @@ def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
     )
 
 
-def lm_scores(docs: DataFrame, held_out: Column, size: int = SEGMENT_BYTES, head: int = HEAD_WORDS) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, held_out: Column, size: int = SEGMENT_TOKENS, head: int = HEAD_WORDS, bits: int = BITS
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row,
     learned from the rows that are not held out.
 
     A NULL or empty text is its end alone. A NULL doc_id is carried along, and repeated
     rows each get their scores. With nothing to learn from both scores are 0. No segment of
-    the filter has more than ``size`` bytes.
+    the filter has the n-grams of more than about ``size`` tokens.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out.alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    model, filled, words = train(rows.where(~F.col("held_out")).select("text"), size, head)
+    learned = rows.where(~F.col("held_out")).select("text")
+    model, words = train(learned, size, head)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     segments = model.segments
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _chunks(batches, segments)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _asked(batches, segments)
 
     def score(chunk: pa.Table) -> pa.Table:
         return _scored(chunk, sent.value)
 
-    chunks = stored(rows.mapInArrow(cut, CHUNKS), "chunks")
-    asked = chunks.where("segment >= 0").select("segment", "chunk", "data")
-    bits = filled.select("segment", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"))
-    by_segment = bits.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
+    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks")
+    asked = chunks.select("chunk", "kinds", "place", "n_tokens").mapInArrow(ask, "segment bigint, chunk bigint, data binary")
+    no_chunk = F.lit(-1).cast("bigint").alias("chunk")
+    filled = filter_rows(learned, segments, bits).select("segment", no_chunk, F.col("bits").alias("data"))
+    by_segment = filled.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
     answers = by_segment.mapInArrow(_answered, "segment bigint, chunk bigint, data binary")
-    together = chunks.where("segment < 0").unionByName(answers, allowMissingColumns=True)
+    own = chunks.withColumn("segment", F.lit(-1).cast("bigint"))
+    together = own.unionByName(answers, allowMissingColumns=True)
     scored = together.groupBy("chunk").applyInArrow(score, SUMMED)
     summed = stored(scored.withColumn("row", F.monotonically_increasing_id()), "row-sums")
     gains = summed.where(~F.col("held_out")).agg(*[F.sum(F.col("left_out")[k]) for k in range(len(WEIGHTS))]).head()
