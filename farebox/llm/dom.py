@@ -30,6 +30,7 @@ HIDDEN = frozenset(
     "audio video map noframes".split()
 )
 RAW = frozenset("script style title textarea noscript iframe noframes template".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 ENDS_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody"}, "td": {"tr"}, "th": {"tr"}}
 ALIKE = {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
@@ -97,7 +98,14 @@ class _Page:
                 self.forest.links[leaf] = min(self.run_links, len(text))
             self.run, self.run_links = [], 0
 
+    def _leave_head(self) -> None:
+        """What cannot stand in a head ends one that is open: its end tag may be left out."""
+        if self.open[-1][0] == "head":
+            self._cut(len(self.open) - 1)
+
     def add_text(self, text: str) -> None:
+        if self.hidden and text.strip(" \t\n\f\r"):
+            self._leave_head()
         if not self.hidden:
             text = unescape(text) if "&" in text else text
             self.run.append(text)
@@ -118,6 +126,8 @@ class _Page:
         del self.open[at:]
 
     def start(self, tag: str, attributes: str) -> None:
+        if tag not in IN_HEAD:
+            self._leave_head()
         if tag in INLINE:
             self.link += tag == "a"
             return

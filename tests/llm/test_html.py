@@ -98,3 +98,13 @@ def test_query(session, sf_dir):
     assert all(row.n_chars == len(row.text) for row in rows)
     source = {r.page_id: r.html for r in session.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     assert sum(row.text == article(source[row.page_id]) for row in rows) >= 0.95 * len(rows)
+
+
+@pytest.mark.parametrize(
+    "after_title",
+    ["<body><p>Shown.</p>", "<p>Shown.</p>", "<b>Shown.</b>", "Shown.", "</head><body>Shown.", "<script>s</script> <meta x>\n<body>Shown."],
+)
+def test_a_head_may_lack_its_end(after_title):
+    for start in ("<html><head>", "<head><meta charset=utf-8><style>p {}</style>"):
+        forest = parse([start + "<title>Hidden</title>" + after_title])
+        assert [text for text in forest.text if text] == ["Shown."]
