@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from farebox.llm import url_filter
+from farebox.llm import divergence, url_filter
 from farebox.llm.queries import URL_RULES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.oracle(URL_RULES)}
+    return {
+        "op4_url_filter": url_filter.oracle(URL_RULES),
+        "op13_source_divergence": divergence.oracle(),
+    }

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import ann, bpe, decontaminate, html_extract, jaccard, lm, quality, token_count, toxicity, url_filter
+from farebox.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    divergence,
+    html_extract,
+    jaccard,
+    lm,
+    quality,
+    token_count,
+    toxicity,
+    url_filter,
+)
 from farebox.llm.common import in_fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +94,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(prepare(spark), sf_dir)
@@ -100,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_count": op9_token_count,
     "op10_ann": op10_ann,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
