@@ -20,6 +20,7 @@ from farebox.llm import (
     token_count,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from farebox.llm.common import in_fold, prepare, table
 
@@ -94,6 +95,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.code_vectors(table(spark, sf_dir, "embeddings"))
+    coded = vector_codes.with_label_errors(coded).drop("label")
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.fingerprint(books)))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -116,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_count": op9_token_count,
     "op10_ann": op10_ann,
+    "op11_vector_codes": op11_vector_codes,
     "op13_source_divergence": op13_source_divergence,
 }
 
