@@ -17,6 +17,7 @@ from farebox.llm import (
     jaccard,
     lm,
     quality,
+    simhash,
     token_count,
     toxicity,
     url_filter,
@@ -101,6 +102,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.withColumn("codebooks_sha256", F.lit(vector_codes.fingerprint(books)))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    printed = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", printed, "component_id")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -124,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_count": op9_token_count,
     "op10_ann": op10_ann,
     "op11_vector_codes": op11_vector_codes,
+    "op12_simhash": op12_simhash,
     "op13_source_divergence": op13_source_divergence,
 }
 
