@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import over_batches, stored
+from farebox.llm.common import stored
 
 # What a term is, least documents of a term, scale of shares, ranks shown.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -38,6 +39,9 @@ LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
 SHOWN = 200
 
+MOST_HELD = 300_000  # counts held by a task before they are sent on
+ROWS_SENT = 10_000
+
 IS_TERM = re.compile(TERM)
 WHOLE = "decimal(38,0)"
 FITS = 9_000_000_000  # counts below it times SCALE fit 64 bits
@@ -61,29 +65,64 @@ def _named(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source")]
 
 
-def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for every distinct term of every document, with how often it has it."""
-    terms: list[str] = []
-    counts: list[int] = []
-    sizes = []
-    for text in pc.ascii_lower(batch.column("text")).to_pylist():
-        found = Counter(IS_TERM.findall(text))
-        terms.extend(found)
-        counts.extend(found.values())
-        sizes.append(len(found))
-    row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-    columns = [batch.column("lang").take(row), batch.column("source").take(row)]
-    return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(terms, pa.string()), pa.array(counts, pa.int64())], ["lang", "source", "term", "n"]
-    )
+USED = "lang string, term string, source array<string>, n array<bigint>, documents array<bigint>"
+
+
+class _Uses:
+    """Occurrences and documents of terms, per language and source, until there are many."""
+
+    def __init__(self) -> None:
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def add(self, texts: list[str], langs: list[str], sources: list[str]) -> None:
+        for text, *group in zip(texts, langs, sources, strict=True):
+            found = IS_TERM.findall(text)
+            n, documents = self.groups.setdefault(tuple(group), (Counter(), Counter()))
+            n.update(found)
+            documents.update(set(found))
+
+    def __len__(self) -> int:
+        return sum(len(n) for n, _ in self.groups.values())
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """A row per language and term, with its counts in each source."""
+        by_lang: dict[str, dict[str, list[tuple[str, int, int]]]] = {}
+        for (lang, source), (n, documents) in self.groups.items():
+            terms = by_lang.setdefault(lang, {})
+            for term, count in n.items():
+                terms.setdefault(term, []).append((source, count, documents[term]))
+        self.groups = {}
+        for lang, terms in by_lang.items():
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(uses) for uses in terms.values()]))), pa.int32())
+            columns = zip(*(use for uses in terms.values() for use in uses), strict=True)
+            kinds = (pa.string(), pa.int64(), pa.int64())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip(columns, kinds, strict=False)]
+            if lists:
+                langs, names = pa.array([lang] * len(terms), pa.string()), pa.array(list(terms), pa.string())
+                made = pa.RecordBatch.from_arrays([langs, names, *lists], ["lang", "term", "source", "n", "documents"])
+                yield from (made.slice(at, ROWS_SENT) for at in range(0, len(terms), ROWS_SENT))
+
+
+def _used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = _Uses()
+    for batch in batches:
+        texts = pc.ascii_lower(batch.column("text")).to_pylist()
+        held.add(texts, batch.column("lang").to_pylist(), batch.column("source").to_pylist())
+        if len(held) >= MOST_HELD:
+            yield from held.rows()
+    yield from held.rows()
 
 
 def kept_terms(docs: DataFrame) -> DataFrame:
     """(lang, term, total, counts): terms in enough documents of their language, with their
-    occurrences in all and per source, the latter sorted by source."""
+    occurrences in all and per source, the latter sorted by source.
+
+    All counts of a term meet in one task by one shuffle, a row from each task that has it.
+    """
     read = docs.select(*_named(docs), F.coalesce("text", F.lit("")).alias("text"))
-    found = read.mapInArrow(over_batches(_counted), "lang string, source string, term string, n bigint")
-    by_source = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
+    uses = read.mapInArrow(_used, USED).repartition("lang", "term")
+    uses = uses.select("lang", "term", F.inline(F.arrays_zip("source", "n", "documents")))
+    by_source = uses.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
     return (
         by_source.groupBy("lang", "term")
         .agg(
@@ -156,10 +195,16 @@ def _between_sources(kept: DataFrame, groups: DataFrame) -> DataFrame:
     both = (
         alike.select("lang", "counts", "terms", one)
         .select("lang", "terms", "source", "own", F.inline("counts").alias("item", "other"))
-        .where("source <> item")
+        .where("source < item")
         .groupBy("lang", "source", "item", "own", "other")
         .agg(F.sum("terms").alias("terms"))
     )
+    # Each cell tells of the one source against the other, and the other way round.
+    ways = [("source", "item", "own", "other"), ("item", "source", "other", "own")]
+    both = both.select(
+        "lang", "terms",
+        F.inline(F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(way, ways[0])]) for way in ways])),
+    )
     marginal = alike.select("lang", "terms", one).groupBy("lang", "source", "own").agg(F.sum("terms").alias("terms"))
 
     this = groups.select("lang", "source", "v", F.col("n").alias("own_n"))
