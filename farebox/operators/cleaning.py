@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from farebox.functions import trip_columns as tc
@@ -171,20 +171,33 @@ def _gathered_by_month(trips: DataFrame) -> DataFrame:
     return dated.hint("rebalance", F.col("_year"), F.col("_month")).drop("_year", "_month")
 
 
+def believable_trips_counted(df: DataFrame, rules: TripRules, counts: Observation) -> DataFrame:
+    """As ``believable_trips``, and ``counts`` gets, while the rows are read for whatever they
+    are read for, how many trips pass so many tests (``passed_0`` and so on)."""
+    names = range(len(rules.stages()) + 1)
+    graded = df.withColumn("_passed", _tests_passed(rules))
+    observed = graded.observe(counts, *[F.count_if(F.col("_passed") == n).alias(f"passed_{n}") for n in names])
+    return observed.where(F.col("_passed") == len(names) - 1).drop("_passed")
+
+
 def clean_trips(
-    raw: DataFrame, rules: TripRules = DEFAULT_RULES, by_month: bool = False
+    raw: DataFrame,
+    rules: TripRules = DEFAULT_RULES,
+    by_month: bool = False,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Raw trips to cleaned, enriched trips in one lazy plan with one shuffle.
 
     ``by_month`` also gathers the rows of a month, for writing. This is done
-    before columns are added, so that half as many bytes travel.
+    before columns are added, so that half as many bytes travel. With ``counts`` the funnel is
+    counted on the way; the tests then cannot be pushed into the scan.
     """
-    kept = (
-        raw.transform(require_columns)
-        .transform(standardize_columns)
-        .transform(believable_trips, rules)
-        .transform(dedup_trips)
-    )
+    trips = raw.transform(require_columns).transform(standardize_columns)
+    if counts is None:
+        kept = trips.transform(believable_trips, rules)
+    else:
+        kept = trips.transform(believable_trips_counted, rules, counts)
+    kept = kept.transform(dedup_trips)
     if by_month:
         kept = kept.transform(_gathered_by_month)
     return (

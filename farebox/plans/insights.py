@@ -1,8 +1,10 @@
 """The twenty insight tables over cleaned trips.
 
 ``insight`` computes one table with its own scan of a few columns.
-``insight_tables`` computes all of them from a single scan: a small roll-up
-over five grouping sets holds sums and counts from which every table follows.
+``insight_tables`` computes all of them from three small tables of sums and counts: trips are
+grouped by the keys that tables share, and every table is a coarser grouping of one of the three.
+Kept by pickup month (``month_partials``), they also say what a table would be after some months
+have changed, without the trips of all others.
 """
 
 from __future__ import annotations
@@ -10,16 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import trip_columns as tc
-from farebox.session import work_folder
+from farebox.session import side_by_side, work_folder
+from farebox.sources.lake import scan_cleaned, write_table
 
 
 @dataclass(frozen=True)
 class Measure:
-    """A sum or mean of one column, kept as a (sum, count) pair in the roll-up."""
+    """A sum or mean of one column, kept as a (sum, count) pair in the groupings."""
 
     kind: str
     column: str
@@ -178,14 +181,24 @@ INSIGHTS: dict[str, Insight] = {
     "tip_by_time": Insight(("pickup_hour",), TIPS),
 }
 
-# Few groups each: small keys are crossed, so five sets serve twenty tables.
-GROUPING_SETS = (
-    ("pickup_hour", "pickup_day_of_week"),
-    ("pickup_year", "pickup_month", "trip_length_category"),
-    ("payment_type", "vendorid"),
-    (FEE,),
-    ZONE_KEYS,
-)
+# Every table is a coarser grouping of one of these. Keys of few values are crossed; those of
+# many (zones) stand alone, and so does no key that would multiply them.
+LATTICE: dict[str, tuple[str, ...]] = {
+    "by_hour": ("pickup_hour", "pickup_day_of_week"),
+    "by_bill": ("trip_length_category", "payment_type", "vendorid", FEE),
+    "by_zone": ZONE_KEYS,
+}
+# Tables by month need it in one of them only.
+MONTH_KEYS = ("pickup_year", "pickup_month")
+WITH_MONTHS = "by_hour"
+
+
+def grouping_of(name: str) -> str:
+    """The grouping that a table is made from."""
+    wanted = set(INSIGHTS[name].keys) | set(INSIGHTS[name].only)
+    return next(
+        g for g, keys in LATTICE.items() if wanted <= set(keys) | (set(MONTH_KEYS) if g == WITH_MONTHS else set())
+    )
 
 
 def fee_column(columns: list[str]) -> str | None:
@@ -264,78 +277,85 @@ def insight(trips: DataFrame, name: str, by_year: bool = False) -> DataFrame:
     return _shaped(spec, rows, keys, F.count("*"), Measure.direct, have, fee)
 
 
-def insight_rollup(trips: DataFrame) -> DataFrame:
-    """Sums and counts for every grouping set, from one scan and one small shuffle."""
+def grouped_trips(trips: DataFrame, grouping: str, by_month: bool = False) -> DataFrame:
+    """Sums and counts by the keys of one grouping, and by pickup month too where asked or needed.
+
+    One scan of the keys and measures that its tables use, combined before the one shuffle.
+    """
     rows = _prepared(trips)
     have = set(rows.columns)
-    sets = [[key for key in keys if key in have] for keys in GROUPING_SETS]
-    sets = [keys for keys in sets if keys]
-    columns = [key for keys in sets for key in keys]
+    months = MONTH_KEYS if by_month or grouping == WITH_MONTHS else ()
+    keys = [key for key in (*LATTICE[grouping], *months) if key in have]
     pairs = {
         m.pair: m
-        for spec in INSIGHTS.values()
+        for name, spec in INSIGHTS.items()
+        if grouping_of(name) == grouping
         for m in spec.measures.values()
         if m.column in have and (m.when_known is None or m.when_known in have)
     }
-    # A key that is measured as well must not be blanked by the other sets.
-    values = rows.withColumns({f"_{m.column}": F.col(m.column) for m in pairs.values()})
-    partials = [
-        part
-        for m in pairs.values()
-        for part in Measure("sum", f"_{m.column}", m.when_known).partials()
-    ]
-    named = [
-        part.alias(f"{fold}_{m.pair}")
-        for m, (total, count) in zip(pairs.values(), zip(partials[::2], partials[1::2]))
-        for fold, part in (("sum", total), ("count", count))
-    ]
-    return values.groupingSets(sets, *columns).agg(
-        F.grouping_id().alias("grouping"), F.count("*").alias("trips"), *named
-    )
+    partials = [part for m in pairs.values() for part in m.partials()]
+    return rows.groupBy(*keys).agg(F.count("*").alias("trips"), *partials)
+
 
+def insight_partials(trips: DataFrame) -> dict[str, DataFrame]:
+    """The three groupings of all trips."""
+    return {grouping: grouped_trips(trips, grouping) for grouping in LATTICE}
 
-def _set_bits(keys: list[str], columns: list[str]) -> int:
-    """What ``grouping_id`` says for a set: a one for every column left out."""
-    return int("".join("0" if column in keys else "1" for column in columns), 2)
 
+def write_month_partials(trips: DataFrame, folder: str) -> None:
+    """Write the groupings of some months of trips, each by pickup month, in place of what was
+    there of these months."""
 
-def from_rollup(
-    rollup: DataFrame, name: str, fee_name: str | None = None, by_year: bool = False
+    def write(grouping: str) -> None:
+        rows = grouped_trips(trips, grouping, by_month=True).hint("rebalance", *[F.col(k) for k in MONTH_KEYS])
+        options = {"partitionOverwriteMode": "dynamic"}
+        write_table(rows, f"{folder}/{grouping}", partition_by=MONTH_KEYS, options=options)
+
+    side_by_side(write, LATTICE)
+
+
+def month_partials(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The groupings as written, all months."""
+    return {grouping: scan_cleaned(spark, f"{folder}/{grouping}") for grouping in LATTICE}
+
+
+def from_partials(
+    partials: dict[str, DataFrame], name: str, fee_name: str | None = None, by_year: bool = False
 ) -> DataFrame:
-    """One insight table out of ``insight_rollup``."""
+    """One insight table out of the groupings."""
     spec = INSIGHTS[name]
-    fields = rollup.columns
-    columns = fields[: fields.index("grouping")]
-    wanted = set(spec.keys) | set(spec.only)
-    keys_of_set = next(
-        [k for k in keys if k in columns] for keys in GROUPING_SETS if wanted <= set(keys)
-    )
-    rows = rollup.where(F.col("grouping") == _set_bits(keys_of_set, columns))
+    rows = partials[grouping_of(name)]
+    fields = rows.columns
     for flag in spec.only:
         rows = rows.where(F.col(flag))
     count = F.sum("trips")
     if spec.known:
         rows = rows.where(F.col(f"count_{spec.known}") > 0)
         count = F.sum(f"count_{spec.known}")
-    have = {name.removeprefix("sum_") for name in fields if name.startswith("sum_")}
-    have |= {m.column for m in spec.measures.values() if m.pair in have}
+    have = {m.column for m in spec.measures.values() if f"sum_{m.pair}" in fields}
     keys = ("pickup_year", *spec.keys) if by_year and name == "monthly_trends" else spec.keys
     return _shaped(spec, rows, keys, count, Measure.merged, have, fee_name)
 
 
+def tables_from_partials(
+    partials: dict[str, DataFrame], names: list[str], fee_name: str | None
+) -> dict[str, DataFrame]:
+    return {name: from_partials(partials, name, fee_name) for name in names}
+
+
 def insight_tables(
     trips: DataFrame, names: list[str] | None = None, folder: str | None = None
 ) -> dict[str, DataFrame]:
-    """All tables from one scan of the trips.
+    """All tables from three narrow scans of the trips, none of which multiplies a row.
 
-    The roll-up (tens of thousands of rows) is written to ``folder``, by default
-    in the shared work folder, so the tables neither rescan the trips nor depend
-    on an executor's memory. The tables read it until they are written.
+    The groupings are written to ``folder``, by default in the shared work folder, so the
+    tables neither rescan the trips nor depend on an executor's memory. The tables read them
+    until they are written.
     """
     names = names or available_insights(trips)
     spark = trips.sparkSession
-    folder = folder or work_folder(spark, "insight-rollup")
-    insight_rollup(trips).write.parquet(folder)
-    rollup = spark.read.parquet(folder)
-    fee = fee_column(trips.columns)
-    return {name: from_rollup(rollup, name, fee) for name in names}
+    folder = folder or work_folder(spark, "insight-partials")
+    needed = {grouping_of(name) for name in names}
+    side_by_side(lambda g: grouped_trips(trips, g).write.parquet(f"{folder}/{g}"), needed)
+    partials = {g: spark.read.parquet(f"{folder}/{g}") for g in needed}
+    return tables_from_partials(partials, names, fee_column(trips.columns))

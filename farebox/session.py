@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+AT_ONCE = 4  # jobs sent side by side, as each alone leaves a cluster idle
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 # Trip times are compared in UTC: another zone would change durations across
@@ -103,6 +106,32 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another, or of none, by renaming; should the second step
+    fail, the first is taken back."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(new), hadoop.Path(old)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = hadoop.Path(target.getParent(), f"_replaced-{uuid.uuid4().hex}")
+    files.mkdirs(target.getParent())
+    there = files.exists(target)
+
+    def moved(one, other) -> bool:
+        try:
+            return files.rename(one, other)
+        except Py4JJavaError:
+            return False
+
+    if there and not moved(target, aside):
+        raise OSError(f"{old} cannot be renamed")
+    if not moved(source, target):
+        if there:
+            moved(aside, target)
+        raise OSError(f"{new} cannot be renamed to {old}")
+    if there:
+        files.delete(aside, True)
+
+
 @contextmanager
 def shuffle_width(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Shuffles as wide as an input of that many bytes needs, for as long as this lasts."""
@@ -113,3 +142,9 @@ def shuffle_width(spark: SparkSession, input_bytes: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def side_by_side(action: Callable[[str], object], names: Iterable[str]) -> None:
+    """Run an action for several names, some at a time; the first error ends it."""
+    with ThreadPoolExecutor(AT_ONCE) as workers:
+        list(workers.map(action, names))

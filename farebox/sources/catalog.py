@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farebox.schema import CLEANED_PARTITIONS
+from farebox.session import remove_folder
 from farebox.sources.lake import STRAY_FILES
 
 RAW = "raw"
@@ -30,6 +32,13 @@ def _folders_holding(spark: SparkSession, base: str, pattern: str) -> set[str]:
     return {row.folder for row in files.select(folder).distinct().collect()}
 
 
+def folders_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in a folder that is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in files.listStatus(path) if status.isDirectory())
+
+
 def lake_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Table name to folder, for the raw, cleaned, insight and lookup tables."""
     root = root.rstrip("/")
@@ -60,6 +69,39 @@ def _create(spark: SparkSession, table: str, path: str, stray: bool) -> None:
     _recover(spark, table)
 
 
+def create_month_table(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
+    """A table of cleaned trips whose months the catalog knows, if it is not there; a known one
+    gets the columns it lacks."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        months = ", ".join(CLEANED_PARTITIONS)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({months}) LOCATION '{path}'")
+        return
+    known = {name.lower() for name in spark.table(table).columns}
+    new = [f for f in schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
+def point_month(spark: SparkSession, table: str, month: tuple[int, int], folder: str | None) -> None:
+    """Let the catalog find a month in another folder, or not at all. The files of the folder it
+    was in are deleted afterwards."""
+    where = f"pickup_year = {month[0]}, pickup_month = {month[1]}"
+    there = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({where})").head() is not None
+    told = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({where})").collect() if there else []
+    before = next((row.data_type for row in told if row.col_name == "Location"), None)
+    if folder is None:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
+    elif there:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({where}) SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({where}) LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    if before and (folder is None or _without_scheme(before) != _without_scheme(folder)):
+        remove_folder(spark, before)
+
+
 def _described(spark: SparkSession, table: str, entry: str) -> str | None:
     found = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == entry).head()
     return found["data_type"] if found else None

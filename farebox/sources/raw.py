@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 from functools import reduce
@@ -21,6 +22,8 @@ DEFAULT_YEAR = 2025
 # What Spark says of files whose columns have different types.
 CANNOT_MERGE = "CANNOT_MERGE_SCHEMAS"
 
+Month = tuple[int, str]  # year, and the month as its folder is written
+
 
 def months_from(selection: Iterable[str]) -> list[str]:
     """Two-digit months, sorted and unique, from ``MM`` and ``MM-MM`` selections.
@@ -56,17 +59,7 @@ def _as_instants(spark: SparkSession, schema: T.StructType) -> T.StructType:
     )
 
 
-def _declared(df: DataFrame, also: dict[str, set[str]]) -> DataFrame:
-    """Cast the columns on which month files disagree to their declared type."""
-    casts = {
-        name: F.col(name).try_cast(DECLARED_TYPES[name.lower()])
-        for name in df.columns
-        if name.lower() in DECLARED_TYPES and len(also[name.lower()]) > 1
-    }
-    return df.withColumns(casts) if casts else df
-
-
-def raw_months(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+def raw_months(spark: SparkSession, base: str) -> list[Month]:
     """Year and month, the latter as the folder is written, of every month that has files."""
     place = r"/year=(\d+)/month=(\d+)/[^/]+$"
     found = lake_files(spark, base).select(
@@ -75,15 +68,59 @@ def raw_months(spark: SparkSession, base: str) -> list[tuple[int, str]]:
     return sorted((int(row.year), row.month) for row in found.where("year <> ''").distinct().collect())
 
 
-def _trip_columns(spark: SparkSession, reader: DataFrameReader, *paths: str) -> T.StructType:
+def _reader(spark: SparkSession, base: str) -> DataFrameReader:
+    return spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet")
+
+
+def trip_columns(spark: SparkSession, base: str, paths: Iterable[str]) -> T.StructType:
     """The columns of all files there, but for those that folders give."""
-    found = reader.option("mergeSchema", "true").parquet(*paths).schema.fields
+    found = _reader(spark, base).option("mergeSchema", "true").parquet(*paths).schema.fields
     return _as_instants(spark, T.StructType([f for f in found if f.name not in ("year", "month")]))
 
 
-def scan_raw(
-    spark: SparkSession, base: str, months: Iterable[tuple[int, str]] | None = None
-) -> DataFrame:
+def read_alike(spark: SparkSession, base: str, columns: dict[str, str]) -> list[DataFrame]:
+    """One scan for all paths that are to be read with the same columns (path: columns as JSON)."""
+    alike: dict[str, list[str]] = {}
+    for path, found in columns.items():
+        alike.setdefault(found, []).append(path)
+    return [
+        _reader(spark, base).schema(T.StructType.fromJson(json.loads(found))).parquet(*paths)
+        for found, paths in alike.items()
+    ]
+
+
+def whole_columns(parts: list[DataFrame], schemas: Iterable[T.StructType] = ()) -> DataFrame:
+    """All parts as one table: columns on which they, or ``schemas``, disagree are cast to the
+    declared type, what a part lacks is NULL, and names that differ only in case are one column.
+    The table has the columns of ``schemas`` too."""
+    schemas = [*schemas, *(part.schema for part in parts)]
+    types: dict[str, dict[str, T.StructField]] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            types.setdefault(f.name.lower(), {}).setdefault(f.dataType.simpleString(), f)
+    disputed = {name for name, found in types.items() if len(found) > 1 and name in DECLARED_TYPES}
+
+    def whole(part: DataFrame) -> DataFrame:
+        casts = {
+            name: F.col(name).try_cast(DECLARED_TYPES[name.lower()])
+            for name in part.columns
+            if name.lower() in disputed
+        }
+        have = {name.lower() for name in part.columns}
+        for name in types.keys() - have:
+            field = next(iter(types[name].values()))
+            casts[field.name] = F.lit(None).cast(DECLARED_TYPES[name] if name in disputed else field.dataType)
+        return part.withColumns(casts) if casts else part
+
+    table = reduce(lambda a, b: a.unionByName(b), map(whole, parts))
+    if len(types) == len(parts[0].columns):
+        return table
+    # The same order of columns whichever parts are read: what lies beside them comes last.
+    order = [name for name in types if name not in ("year", "month")]
+    return table.select(*order, *[name for name in ("year", "month") if name in types])
+
+
+def scan_raw(spark: SparkSession, base: str, months: Iterable[Month] | None = None) -> DataFrame:
     """Raw trips of all months, or of a list of (year, month) pairs, with int columns ``year``
     and ``month`` from the path.
 
@@ -92,7 +129,6 @@ def scan_raw(
     columns are cast to the declared types before the union. A column that a file or month
     lacks is NULL there; names that differ only in case are one column.
     """
-    reader = spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet")
     whole = months is None
     months = raw_months(spark, base) if whole else list(months)
     paths = [f"{base.rstrip('/')}/year={year}/month={month}" for year, month in months]
@@ -100,24 +136,11 @@ def scan_raw(
         raise ValueError("no months to read")
     try:
         places = [base] if whole else paths
-        return reader.schema(_trip_columns(spark, reader, *places)).parquet(*places)
+        return _reader(spark, base).schema(trip_columns(spark, base, places)).parquet(*places)
     except (PySparkException, Py4JJavaError) as error:
         if CANNOT_MERGE not in str(error) or not paths:
             raise
-
-    alike: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        schema = _trip_columns(spark, reader, path)
-        alike.setdefault(schema.json(), (schema, []))[1].append(path)
-    types: dict[str, set[str]] = {}
-    for schema, _ in alike.values():
-        for f in schema.fields:
-            types.setdefault(f.name.lower(), set()).add(f.dataType.simpleString())
-    parts = [
-        _declared(reader.schema(schema).parquet(*paths), {**types, "year": set(), "month": set()})
-        for schema, paths in alike.values()
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole_columns(read_alike(spark, base, {path: trip_columns(spark, base, [path]).json() for path in paths}))
 
 
 def scan_raw_months(

@@ -422,6 +422,8 @@ def _lake_sql() -> dict[str, str]:
         ),
         "table_audit": over("cleaned", audited),
         "build_lake": over("cleaned", built),
+        "reloaded_insights": over("cleaned", built),
+        "build_in_runs": by_cleaned_month,
     }
 
 

@@ -354,6 +354,44 @@ def _reload_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _reloaded_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key and measure of every insight table after the reload of one month's file."""
+    tables = _reloaded_lake(spark, sf_dir).tables
+    parts = [_long_form(spark.read.parquet(tables[name]), name) for name in INSIGHTS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_once
+def _lake_in_runs(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake whose trips are a table of the catalog, cleaned in some ten runs of months, with
+    one month reloaded after dear trips were added to its file."""
+    root = work_folder(spark, "in-runs")
+    pickup = F.col("tpep_pickup_datetime")
+    trips = raw_trips(spark, sf_dir).withColumns(
+        {"year": F.year(pickup), "month": F.format_string("%02d", F.month(pickup))}
+    )
+    changed = "year = 2023 AND month = '11'"
+    options = {"partitionOverwriteMode": "dynamic"}
+    for rows in (trips.where(f"NOT ({changed}) OR fare_amount < 15"), trips.where(changed)):
+        rows = rows.hint("rebalance", F.col("year"), F.col("month"))
+        lake.write_table(rows, f"{root}/{catalog.RAW}", partition_by=("year", "month"), options=options)
+        size = lake.lake_files(spark, f"{root}/{catalog.RAW}").agg(F.sum("bytes")).head()[0]
+        built = build_lake(
+            spark,
+            root,
+            lookup_frames(spark, sf_dir),
+            months=[(2023, "11")],
+            only_given_months=True,
+            run_bytes=size // 10,
+            table="trips_" + root.rsplit("-", 1)[-1][:8],
+        )
+    return built
+
+
+def _build_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_cleaned_month(spark.table(_lake_in_runs(spark, sf_dir).table))
+
+
 @_once
 def _uneven_lake(spark: SparkSession, sf_dir: str) -> str:
     """Raw months that disagree: whole passengers, an extra column, and one under two names."""
@@ -554,6 +592,8 @@ def queries() -> dict[str, Query]:
         "scan_uneven_months": _scan_uneven_months,
         "table_audit": _table_audit,
         "build_lake": _build_lake,
+        "reloaded_insights": _reloaded_insights,
+        "build_in_runs": _build_in_runs,
     }
     found |= {name: partial(_step, place) for place, (name, _, _) in enumerate(STEPS)}
     found |= {"parse_ts": _parse_ts, "cleaning_funnel": _funnel, "clean_trips": _clean_trips}

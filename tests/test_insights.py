@@ -148,10 +148,10 @@ def test_months_merge_years_unless_asked(spark):
     }
     cleaned = clean_trips(frame(spark, earlier, later))
     assert [r.trip_count for r in ins.insight(cleaned, "monthly_trends").collect()] == [2]
-    rollup = ins.insight_rollup(cleaned)
+    partials = ins.insight_partials(cleaned)
     for table in (
         ins.insight(cleaned, "monthly_trends", by_year=True),
-        ins.from_rollup(rollup, "monthly_trends", by_year=True),
+        ins.from_partials(partials, "monthly_trends", by_year=True),
     ):
         assert [(r.pickup_year, r.pickup_month) for r in table.collect()] == [(2024, 1), (2025, 1)]
 
@@ -172,3 +172,21 @@ def test_unknown_speeds_do_not_count(spark):
     half = cleaned.withColumn("trip_speed_mph", F.when(F.col("fare_amount") > 1, F.col("trip_speed_mph")))
     for table in (ins.insight(half, "trip_speed_by_hour"), ins.insight_tables(half)["trip_speed_by_hour"]):
         assert [(r.trip_count, r.avg_distance) for r in table.collect()] == [(1, 10.0)]
+
+
+@pytest.mark.parametrize("name", ins.INSIGHTS)
+def test_tables_from_months_written_one_by_one(spark, trips, shared, tmp_path_factory, name, written={}):
+    if not written:
+        folder = str(tmp_path_factory.mktemp("partials"))
+        first = (F.col("pickup_year") == 2024) & (F.col("pickup_month") < 7)
+        # Twice over: a month that is written again takes the place of what was there.
+        for months in (first, ~first, first):
+            ins.write_month_partials(trips.where(months), folder)
+        written["partials"] = ins.month_partials(spark, folder)
+    assert_same(ins.from_partials(written["partials"], name, "congestion_surcharge"), shared[name])
+
+
+def test_every_table_is_in_one_grouping():
+    for name, spec in ins.INSIGHTS.items():
+        keys = set(ins.LATTICE[ins.grouping_of(name)]) | set(ins.MONTH_KEYS)
+        assert set(spec.keys) | set(spec.only) <= keys

@@ -276,13 +276,17 @@ def test_the_funnel_stays_as_it_was_counted(spark, sf_dir, tmp_path):
     assert funnel.dtypes == whole.dtypes
 
 
-def test_working_folders_are_removed(spark, sf_dir, tmp_path, monkeypatch):
-    work = tmp_path / "work"
-    monkeypatch.setattr(batch, "work_folder", lambda spark, purpose: f"{work}/{purpose}")
+def test_working_folders_are_removed(spark, sf_dir, tmp_path):
     month_file(spark, str(tmp_path / "lake"), 1, on_day(1, 2))
     for only in (False, True):
         build_lake(spark, str(tmp_path / "lake"), lookup_frames(spark, sf_dir), months=[(2025, "01")], only_given_months=only)
-    assert not work.exists() or not any(work.iterdir())
+        left = {folder.name for folder in (tmp_path / "lake/processed").iterdir()}
+        assert {name for name in left if list((tmp_path / "lake/processed" / name).rglob("*.parquet"))} == {
+            "trips_cleaned",
+            "insight_partials",
+            "raw_files",
+        }
+        assert "batch" not in left
 
 
 def test_a_lookup_file_with_other_columns_order(spark, tmp_path):

@@ -3,7 +3,7 @@
 import pytest
 
 from farebox.operators.cleaning import clean_trips, cleaning_funnel, stage_counts
-from farebox.plans.insights import insight, insight_rollup
+from farebox.plans.insights import LATTICE, grouped_trips, insight
 from farebox.sources import lake
 from farebox.sources.raw import scan_raw
 from lakecheck import registry
@@ -72,14 +72,17 @@ def test_the_funnel_is_one_scan(raw):
     assert plan_of(cleaning_funnel(raw)).count("FileScan") == 1
 
 
-def test_the_rollup_is_one_scan_and_one_shuffle(spark, raw, tmp_path):
+def test_a_grouping_is_one_narrow_scan_and_one_shuffle(spark, raw, tmp_path):
     path = str(tmp_path / "cleaned")
     lake.write_cleaned(clean_trips(raw), path)
     trips = lake.scan_cleaned(spark, path)
-    plan = plan_of(insight_rollup(trips))
-    assert plan.count("FileScan") == 1
-    assert plan.count("Exchange") == 1
-    assert "partial_count" in plan
+    for grouping, columns in (("by_hour", 8), ("by_bill", 9), ("by_zone", 9)):
+        plan = plan_of(grouped_trips(trips, grouping))
+        assert plan.count("FileScan") == plan.count("Exchange") == 1
+        assert "partial_count" in plan and "Expand" not in plan
+        read = plan.split("ReadSchema: struct<")[1].split(">")[0]
+        assert read.count(":") <= columns < len(trips.columns) / 2
+    assert set(LATTICE) == {"by_hour", "by_bill", "by_zone"}
     one = plan_of(insight(trips, "trip_volume_by_hour"))
     read = one.split("ReadSchema: struct<")[1].split(">")[0]
     assert {c.split(":")[0] for c in read.split(",")} == {
