@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = stored(read.mapInArrow(over_batches(_printed), "doc_id bigint, bits bigint"), "fingerprints")
     prints = rows.groupBy("bits").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     prints = stored(prints, "distinct-fingerprints")
-    found = components(linked(prints)).withColumnRenamed("node", "bits")
+    found = components(stored(linked(prints), "links")).withColumnRenamed("node", "bits")
     named = stored(prints.join(found, "bits", "left").withColumn("component", F.coalesce("component", "bits")), "groups")
     least = named.groupBy(F.col("component").alias("key")).agg(
         F.count("*").alias("copies"), F.min("least").alias("value")
