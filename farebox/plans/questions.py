@@ -104,3 +104,17 @@ def create_views(insights: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     return views
+
+
+def create_catalog_views(spark: SparkSession, database: str, views_in: str | None = None) -> list[str]:
+    """Make the views whose insight table is in the database, in it or in another one; they
+    outlive the session where the catalog does. Views of that name are replaced."""
+    made = []
+    for name, (table, renamed) in VIEWS.items():
+        if spark.catalog.tableExists(f"{database}.{table}"):
+            shown = ", ".join(
+                f"`{column}` AS `{renamed.get(column, column)}`" for column in spark.table(f"{database}.{table}").columns
+            )
+            spark.sql(f"CREATE OR REPLACE VIEW {views_in or database}.{name} AS SELECT {shown} FROM {database}.{table}")
+            made.append(name)
+    return made

@@ -148,3 +148,13 @@ def side_by_side(action: Callable[[str], object], names: Iterable[str]) -> None:
     """Run an action for several names, some at a time; the first error ends it."""
     with ThreadPoolExecutor(AT_ONCE) as workers:
         list(workers.map(action, names))
+
+
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which Parquet files are counted by their footers:
+    ``count(*)``, with conditions on partitions or none, is answered by the scan."""
+    counting = apply_settings(spark.newSession())
+    sources = counting.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    counting.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in sources if s.strip() != "parquet"))
+    counting.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return counting

@@ -124,20 +124,27 @@ def _check_ours(spark: SparkSession, table: str, path: str) -> None:
         raise ValueError(f"{table} is a table of another kind or place ({kind}, {place}); it is left alone")
 
 
-def _refresh(spark: SparkSession, table: str, path: str, stray: bool) -> None:
-    """Bring a table's schema and partitions up to date with its folder."""
+def _set_columns(spark: SparkSession, table: str, columns: list[T.StructField]) -> None:
+    """Give a table other columns in the catalog, in place: what else is known of it stays."""
+    database, name = table.rsplit(".", 1)
+    schema = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(T.StructType(columns).json())
+    spark._jsparkSession.sessionState().catalog().externalCatalog().alterTableDataSchema(database, name, schema)
+
+
+def _refresh(spark: SparkSession, table: str, path: str) -> None:
+    """Bring a table's columns and partitions up to date with its folder. New columns are added;
+    where a type has changed, the columns are set anew. The entry is never removed."""
     _check_ours(spark, table, path)
     known = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
     found = spark.read.option("pathGlobFilter", "*.parquet").parquet(path).schema.fields
     if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in found):
-        # Only the entry is remade; the table is external, as was checked, and its files stay.
-        spark.sql(f"DROP TABLE {table}")
-        _create(spark, table, path, stray)
-        return
-    new = [f for f in found if f.name.lower() not in known]
-    if new:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        partitions = {c.name.lower() for c in spark.catalog.listColumns(table) if c.isPartition}
+        _set_columns(spark, table, [f for f in found if f.name.lower() not in partitions])
+    else:
+        new = [f for f in found if f.name.lower() not in known]
+        if new:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     spark.catalog.refreshTable(table)
     _recover(spark, table)
 
@@ -151,8 +158,7 @@ def register_lake(spark: SparkSession, root: str, database: str | None = None) -
     """Make every lake folder a table; returns table names and folders.
 
     With ``database`` they become external tables in it: new ones are created,
-    known ones get new columns and partitions, and none is dropped because its
-    files are gone. A table of that name that is not external, or is elsewhere, is an
+    known ones get new columns, types and partitions in place, and none is dropped. A table of that name that is not external, or is elsewhere, is an
     error, and so are two folders of one name. Without ``database`` they become temporary
     views.
     """
@@ -162,7 +168,7 @@ def register_lake(spark: SparkSession, root: str, database: str | None = None) -
         if database is None:
             spark.read.option("pathGlobFilter", "*.parquet").parquet(path).createOrReplaceTempView(name)
         elif spark.catalog.tableExists(f"{database}.{name}"):
-            _refresh(spark, f"{database}.{name}", path, _same(path, stray))
+            _refresh(spark, f"{database}.{name}", path)
         else:
             _create(spark, f"{database}.{name}", path, _same(path, stray))
     return tables

@@ -9,6 +9,7 @@ pickup time of new files is read.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 from operator import or_
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.trip_columns import event_time
-from farebox.session import folder_exists
+from farebox.session import folder_exists, replace_folder
+from farebox.sources.lake import write_table
 from farebox.sources.raw import CANNOT_MERGE, Month, read_alike, trip_columns, whole_columns
 
 RECORD = (
@@ -113,3 +115,17 @@ def read_files(files: DataFrame, base: str, all_columns: Iterable[str] = ()) ->
     columns = {row.file: row.columns for row in files.select("file", "columns").distinct().collect()}
     schemas = [T.StructType.fromJson(json.loads(found)) for found in all_columns]
     return whole_columns(read_alike(files.sparkSession, base, columns), schemas) if columns else None
+
+
+def scan_recorded(
+    spark: SparkSession, base: str, folder: str, months: Iterable[Month] | None = None
+) -> DataFrame | None:
+    """Raw trips as ``scan_raw`` reads them, by the record kept in ``folder``, which is brought
+    up to date first. Only files that are new or have changed are opened to know their columns.
+    None if there are no files.
+    """
+    now = f"{folder.rstrip('/')}-{uuid.uuid4().hex}"
+    write_table(record(spark, base, [folder]), now)
+    replace_folder(spark, now, folder)
+    files = read_record(spark, folder).where(filed_in(months))
+    return read_files(files, base)

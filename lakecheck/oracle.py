@@ -375,6 +375,7 @@ def _lake_sql() -> dict[str, str]:
     built = " UNION ALL ".join(_long_sql(t, text) for t, text in INSIGHT_SQL.items())
     return {
         "scan_raw": over("trips", f"SELECT {month_of}, {sums} FROM trips GROUP BY 1, 2"),
+        "scan_recorded": over("trips", f"SELECT {month_of}, {sums} FROM trips GROUP BY 1, 2"),
         "scan_raw_months": over(
             "trips",
             f"""SELECT {month_of}, {sums} FROM trips WHERE year(tpep_pickup_datetime) = 2024
@@ -424,6 +425,11 @@ def _lake_sql() -> dict[str, str]:
         "build_lake": over("cleaned", built),
         "reloaded_insights": over("cleaned", built),
         "build_in_runs": by_cleaned_month,
+        "timed_sql": over(
+            "cleaned",
+            """SELECT pickup_hour, count(*) AS trip_count, 'cancelled after 2 seconds' AS endless
+               FROM cleaned GROUP BY 1""",
+        ),
     }
 
 
@@ -599,6 +605,11 @@ def _decode_sql() -> dict[str, str]:
                round(count(*) / count(DISTINCT pickup_date) + 1e-9, 6) AS trips_per_day FROM cleaned""",
         ),
         "views": over("cleaned", views),
+        "catalog_views": over(
+            "cleaned",
+            f"""SELECT *, true AS present, count(*) OVER (PARTITION BY view_name) AS row_count
+                FROM ({views})""",
+        ),
         "run_sql": over(
             "cleaned",
             """SELECT *, CASE WHEN total_rows > 100 THEN 'showing 100 of ' || total_rows || ' rows'

@@ -12,11 +12,11 @@ from farebox.operators import cleaning as cl
 from farebox.operators import decode, metrics
 from farebox.plans.batch import Lake, build_lake
 from farebox.plans.insights import INSIGHTS, insight
-from farebox.plans.questions import QUESTIONS, VIEWS, ask, view_of
-from farebox.plans.sqlrun import run_sql, table_columns
+from farebox.plans.questions import QUESTIONS, VIEWS, ask, create_catalog_views, view_of
+from farebox.plans.sqlrun import OutOfTime, run_sql, table_columns
 from farebox.schema import CRITICAL_COLUMNS, TRIP_IDENTITY
-from farebox.session import apply_settings, work_folder
-from farebox.sources import catalog, lake, lookups, raw
+from farebox.session import apply_settings, counting_session, work_folder
+from farebox.sources import catalog, lake, lookups, raw, raw_files
 from lakecheck.trips import raw_trips, zone_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +176,13 @@ def _scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_raw_month(raw.scan_raw(spark, f"{raw_lake(spark, sf_dir)}/raw"))
 
 
+def _scan_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the record of files, the second time over, when none is new."""
+    base, kept = f"{raw_lake(spark, sf_dir)}/raw", work_folder(spark, "raw-files")
+    raw_files.scan_recorded(spark, base, kept)
+    return _by_raw_month(raw_files.scan_recorded(spark, base, kept))
+
+
 def _scan_raw_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{raw_lake(spark, sf_dir)}/raw"
     return _by_raw_month(raw.scan_raw_months(spark, base, ["02", "04-06", "05"], 2024))
@@ -434,7 +441,19 @@ def _tables(spark: SparkSession, sf_dir: str, text: str) -> dict[str, DataFrame]
     return found | {view: view_of(view, found) for view in VIEWS if view in text}
 
 
+COUNTS = ("sql_row_count", "sql_trips_in_month")
+
+
+def _count(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question that file footers answer."""
+    path = built_lake(spark, sf_dir).tables["trips_cleaned"]
+    counting = counting_session(spark)
+    return ask(counting, name, {"trips_cleaned": counting.read.parquet(path)})
+
+
 def _question(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    if name in COUNTS:
+        return _count(name, spark, sf_dir)
     return presentable(ask(spark, name, _tables(spark, sf_dir, QUESTIONS[name])))
 
 
@@ -472,14 +491,16 @@ def _decode_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decode_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vendor and both zones by name on every cleaned trip, counted by these names."""
+    """Cleaned trips by vendor and zones: counted by code, then named, then summed by name."""
     zones = zone_lookup(spark, sf_dir)
-    trips = decode.decode_vendor(written_trips(spark, sf_dir), lookups.vendors(spark))
+    codes = written_trips(spark, sf_dir).groupBy("vendorid", "pulocationid", "dolocationid")
+    trips = codes.agg(F.count("*").alias("trips"), F.sum("total_amount").alias("billed"))
+    trips = decode.decode_vendor(trips, lookups.vendors(spark))
     trips = decode.decode_zone(trips, zones, "pulocationid", "pickup_")
     trips = decode.decode_zone(trips, zones, "dolocationid", "dropoff_")
     return presentable(
         trips.groupBy("vendor_name", "pickup_borough", "pickup_zone", "dropoff_borough").agg(
-            F.count("*").alias("trip_count"), F.sum("total_amount").alias("total_billed")
+            F.sum("trips").alias("trip_count"), F.sum("billed").alias("total_billed")
         )
     )
 
@@ -543,6 +564,44 @@ def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(parts), **shown)
 
 
+@_once
+def _database_of_views(spark: SparkSession, sf_dir: str) -> str:
+    name = _registered(spark, sf_dir) + "_views"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work_folder(spark, 'views')}'")
+    for _ in range(2):  # the second time replaces them
+        create_catalog_views(spark, _registered(spark, sf_dir), name)
+    return name
+
+
+def _catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five views of the catalog, as key, trips and mean fare, each audited."""
+    database = _database_of_views(spark, sf_dir)
+    parts = [
+        f"SELECT '{name}' AS view_name, CAST({spark.table(f'{database}.{name}').columns[0]} AS STRING) AS view_key, "
+        f"trip_count_ AS trip_count, round(avg_fare + 1e-9, 6) AS avg_fare FROM {database}.{name}"
+        .replace("trip_count_", spark.table(f"{database}.{name}").columns[1])
+        for name in VIEWS
+    ]
+    audit = catalog.table_audit(spark, VIEWS, database).select(
+        F.col("table_name").alias("view_name"), "present", "row_count"
+    )
+    return spark.sql(" UNION ALL ".join(parts)).join(audit, "view_name")
+
+
+def _timed_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips of each hour, and a question without end over them, which is cancelled."""
+    by_hour = written_insight(spark, sf_dir, "trip_volume_by_hour")
+    endless = """SELECT count(*) FROM range(10000000000000) AS r
+                 JOIN {by_hour} ON r.id % 24 = pickup_hour WHERE r.id % 1000003 % 7 = 8 + trip_count"""
+    try:
+        ended = str(run_sql(spark, endless, seconds=2, by_hour=by_hour).total)
+    except OutOfTime as late:
+        ended = str(late)
+    answer = run_sql(spark, "SELECT pickup_hour, trip_count FROM {by_hour} ORDER BY 1", by_hour=by_hour)
+    rows = spark.createDataFrame(answer.rows, "pickup_hour INT, trip_count BIGINT")
+    return rows.withColumn("endless", F.lit(ended))
+
+
 def _run_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone pairs leaving a zone matched without regard to case: the rows shown, how many
     there are in all, and the note that says so."""
@@ -580,6 +639,7 @@ def _in_settings(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "scan_raw": _scan_raw,
+        "scan_recorded": _scan_recorded,
         "scan_raw_months": _scan_raw_months,
         "scan_cleaned": _scan_cleaned,
         "scan_lookup_csv": _scan_lookup_csv,
@@ -609,6 +669,8 @@ def queries() -> dict[str, Query]:
         "key_metrics": _key_metrics,
         "utilization": _utilization,
         "views": _views,
+        "catalog_views": _catalog_views,
+        "timed_sql": _timed_sql,
         "run_sql": _run_sql,
         "table_columns": _table_columns,
     }

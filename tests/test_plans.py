@@ -10,6 +10,9 @@ from lakecheck import registry
 from trip_rows import frame, trip
 
 WRITES = {
+    "scan_recorded",
+    "reloaded_insights",
+    "build_in_runs",
     "scan_raw",
     "scan_raw_months",
     "scan_cleaned",
@@ -128,3 +131,10 @@ def test_the_funnel_of_the_batch_shuffles_counts_alone(raw):
     assert plan.count("Exchange") == 1
     keys = plan.split("hashpartitioning(")[1].split("), ENSURE")[0]
     assert keys.count(",") == 1 and "tpep" not in keys and "locationid" not in keys.lower()
+
+
+@pytest.mark.parametrize("name", ["sql_row_count", "sql_trips_in_month"])
+def test_counts_come_from_footers(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    assert "PushedAggregation: [COUNT(*)]" in plan and "FileScan" not in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

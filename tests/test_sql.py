@@ -1,11 +1,14 @@
+import threading
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from farebox.operators import decode, metrics
 from farebox.operators.cleaning import clean_trips
 from farebox.plans.insights import insight
-from farebox.plans.questions import QUESTIONS, ask, create_views
-from farebox.plans.sqlrun import run_sql, table_columns
+from farebox.plans.questions import QUESTIONS, ask, create_catalog_views, create_views
+from farebox.plans.sqlrun import OutOfTime, run_sql, table_columns
 from farebox.sources import lake, lookups
 from lakecheck.trips import raw_trips, zone_lookup
 from trip_rows import frame, trip
@@ -138,3 +141,60 @@ def test_views(spark, trips):
     tables = {n: insight(trips, n) for n in ("trip_volume_by_zone", "trip_volume_by_hour")}
     assert set(create_views(tables)) == {"view_trip_volume_by_zone", "view_trip_volume_by_hour"}
     assert "location_id" in spark.table("view_trip_volume_by_zone").columns
+
+
+def tags_of_active_jobs(spark):
+    tracker = spark.sparkContext.statusTracker()
+    return [job for job in tracker.getActiveJobsIds()]
+
+
+def test_a_query_without_end_is_cancelled_and_others_go_on(spark, trips):
+    others = []
+    helper = threading.Thread(target=lambda: others.append(spark.range(3 * 10**9).where("id % 7 = 8").count()))
+    helper.start()
+    started = time.perf_counter()
+    with pytest.raises(OutOfTime, match="1 seconds"):
+        run_sql(spark, "SELECT count(*) FROM range(100000000000000) WHERE id % 1000003 % 7 = 8", seconds=1)
+    assert time.perf_counter() - started < 20
+    helper.join()
+    assert others == [0]
+    for _ in range(50):
+        if not tags_of_active_jobs(spark):
+            break
+        time.sleep(0.1)
+    assert tags_of_active_jobs(spark) == [] and not list(spark.sparkContext.getJobTags())
+    assert run_sql(spark, "SELECT count(*) FROM {trips}", seconds=60, trips=trips).rows[0][0] == trips.count()
+
+
+def test_an_error_in_time_is_itself(spark):
+    with pytest.raises(Exception, match="nowhere"):
+        run_sql(spark, "SELECT * FROM nowhere", seconds=60)
+
+
+def test_a_long_sorted_answer_runs_once(spark, trips, monkeypatch):
+    monkeypatch.setattr(type(trips), "count", lambda self: pytest.fail("counted by another run"))
+    text = "SELECT pulocationid, dolocationid AS _place, fare_amount FROM {trips} ORDER BY 3 DESC, 1, 2"
+    answer = run_sql(spark, text, max_rows=7, trips=trips)
+    expected = spark.sql(text, trips=trips).collect()
+    assert answer.rows == expected[:7] and answer.total == len(expected)
+    assert answer.note == f"showing 7 of {len(expected)} rows" and answer.columns[1] == "_place"
+    all_ = run_sql(spark, text, max_rows=len(expected), trips=trips)
+    assert (all_.rows, all_.note) == (expected, "")
+
+
+def test_two_columns_of_one_name(spark):
+    answer = run_sql(spark, "SELECT id, id FROM range(500) ORDER BY id", max_rows=3)
+    assert [tuple(r) for r in answer.rows] == [(0, 0), (1, 1), (2, 2)] and answer.total == 500
+
+
+def test_views_of_the_catalog(spark, trips, tmp_path):
+    for name in ("tables", "shown"):
+        spark.sql(f"CREATE DATABASE view_{name} LOCATION '{tmp_path}/{name}'")
+    insight(trips, "trip_volume_by_zone").write.saveAsTable("view_tables.trip_volume_by_zone")
+    for _ in range(2):
+        assert create_catalog_views(spark, "view_tables", "view_shown") == ["view_trip_volume_by_zone"]
+    other = spark.newSession()
+    shown = other.table("view_shown.view_trip_volume_by_zone")
+    assert shown.columns[:2] == ["location_id", "trip_count"]
+    assert shown.agg(F.sum("trip_count")).head()[0] == trips.count()
+    assert create_catalog_views(spark, "view_tables") and spark.catalog.tableExists("view_tables.view_trip_volume_by_zone")
