@@ -153,31 +153,23 @@ def _set_bits(keys: np.ndarray, steps: np.ndarray, size: int) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def build_filter(ngrams: DataFrame, size: int, most: int = 1 << 62) -> LogFrequencyFilter:
-    """A filter of ``size`` bytes at the driver with (key, n) rows, of which ``most`` are
-    entered; every segment is filled by the task that has its keys."""
-    doublings = ngrams.groupBy(F.floor(F.log2("n")).cast("int").alias("doubling")).count().collect()
-    least = 1
-    above = sum(row["count"] for row in doublings)
-    for row in sorted(doublings, key=lambda row: row.doubling):
-        if above <= most:
-            break
-        above -= row["count"]
-        least = 2 << row.doubling
+def build_filter(ngrams: DataFrame, size: int) -> LogFrequencyFilter:
+    """A filter of ``size`` bytes at the driver with all (key, n) rows; every segment is filled
+    by the task that has its keys."""
     size_of_segment = size * 8 // SEGMENTS
 
     def fill(key: tuple, group: pa.Table) -> pa.Table:
-        steps = step_of(group["n"].to_numpy() / least)
-        packed = _set_bits(group["key"].to_numpy().view(np.uint64), steps, size_of_segment)
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
+        steps = step_of(group["n"].to_numpy())
+        made = _set_bits(group["key"].to_numpy().view(np.uint64), steps, size_of_segment)
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([made], pa.binary())})
 
     shift = 64 - int(math.log2(SEGMENTS))
-    entered = ngrams.where(F.col("n") >= least).withColumn("segment", F.shiftrightunsigned("key", shift))
+    entered = ngrams.withColumn("segment", F.shiftrightunsigned("key", shift))
     filled = entered.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary").collect()
     bits = np.zeros((SEGMENTS, size_of_segment // 8), dtype=np.uint8)
     for row in filled:
         bits[row.segment] = np.frombuffer(row.bits, dtype=np.uint8)
-    return LogFrequencyFilter(bits.ravel(), least)
+    return LogFrequencyFilter(bits.ravel(), 1)
 
 
 # --- the filter as rows: keys are packed, without what their segment says ---
@@ -194,6 +186,18 @@ def unpacked(held: bytes | pa.Buffer) -> np.ndarray:
     return keys.view(np.uint64).ravel()
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; one too large for it is a zero there, and follows behind all."""
+    large = counts > 255
+    return np.where(large, 0, counts).astype(np.uint8).tobytes() + counts[large].astype(np.uint32).tobytes()
+
+
+def unpacked_counts(held: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(held, np.uint8, n).astype(np.int64)
+    counts[counts == 0] = np.frombuffer(held, np.uint8)[n:].view(np.uint32)
+    return counts
+
+
 def segments_for(tokens: int, size: int) -> int:
     """How many segments keep to ``size`` tokens each: a power of two."""
     segments = SEGMENTS
@@ -225,7 +229,7 @@ def _parts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Reco
         columns = [
             pa.array(found),
             pa.array([packed(part) for part in np.split(keys, starts[1:])], pa.binary()),
-            pa.array([part.tobytes() for part in np.split(counts.astype(np.uint32), starts[1:])], pa.binary()),
+            pa.array([packed_counts(part) for part in np.split(counts, starts[1:])], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["segment", "keys", "counts"])
 
@@ -246,8 +250,10 @@ def filter_rows(texts: DataFrame, segments: int, bits: int = BITS) -> DataFrame:
         return _parts(batches, segments)
 
     def fill(key: tuple, group: pa.Table) -> pa.Table:
-        keys = unpacked(b"".join(group["keys"].to_pylist()))
-        counts = np.frombuffer(b"".join(group["counts"].to_pylist()), np.uint32)
+        held, counted = group["keys"].to_pylist(), group["counts"].to_pylist()
+        keys = unpacked(b"".join(held))
+        sizes = (len(part) // KEY_BYTES for part in held)
+        counts = np.concatenate([unpacked_counts(part, n) for part, n in zip(counted, sizes, strict=True)])
         made = filled_segment(keys, counts, bits)
         return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([made], pa.binary())})
 
@@ -456,7 +462,8 @@ def lm_scores(
     def score(chunk: pa.Table) -> pa.Table:
         return _scored(chunk, sent.value)
 
-    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks")
+    # Places of words repeat much: they take a fraction of their size when compressed well.
+    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", compression="zstd")
     asked = chunks.select("chunk", "kinds", "place", "n_tokens").mapInArrow(ask, "segment bigint, chunk bigint, data binary")
     no_chunk = F.lit(-1).cast("bigint").alias("chunk")
     filled = filter_rows(learned, segments, bits).select("segment", no_chunk, F.col("bits").alias("data"))

@@ -78,12 +78,12 @@ def test_the_filter_forgets_nothing_and_errs_seldom(session):
     assert (model.counts(mixed(np.arange(30_000, 60_000, dtype=np.uint64))) > 0).mean() < 0.02
 
 
-def test_a_full_filter_raises_the_least_count(session):
-    rows = session.createDataFrame([(i * 7919 << 40, 1 + i % 16) for i in range(1000)], "key BIGINT, n BIGINT")
-    model = lm.build_filter(rows, SMALL, most=600)
-    assert model.least > 1
-    sure = lm.build_filter(rows, SMALL, most=1 << 62)
-    assert sure.least == 1
+def test_counts_take_a_byte_unless_they_are_large():
+    counts = np.array([1, 255, 256, 7, 1 << 20, 254, (1 << 32) - 1])
+    held = lm.packed_counts(counts)
+    assert len(held) == len(counts) + 3 * 4
+    assert lm.unpacked_counts(held, len(counts)).tolist() == counts.tolist()
+    assert lm.unpacked_counts(lm.packed_counts(counts[:0]), 0).tolist() == []
 
 
 def test_steps():
