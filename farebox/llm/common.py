@@ -72,24 +72,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The rows written to the shared folder and read again: computed once, lineage cut."""
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hashed_sample(rows: DataFrame, most: int) -> DataFrame:
     """At most ``most`` distinct rows: those with the smallest hashes, so that a sample does
-    not depend on order or partitions.
+    not depend on order, partitions or copies. It is empty only if there are no rows.
 
-    Rows are counted first, and only a share expected to hold four times as many is ordered:
-    what meets in one task or at the driver is bounded, however many partitions there are.
+    Distinct rows are counted first, to within some hundredths, and only a share expected to hold
+    four times as many is ordered: what meets in one task or at the driver is bounded, however
+    many partitions and copies there are.
     """
-    n = rows.count()
+    place = F.xxhash64(*rows.columns)
+    n = rows.agg(F.approx_count_distinct(place)).head()[0]
     share = min(1.0, 4 * most / max(n, 1))
     limit = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
-    place = F.xxhash64(*rows.columns)
     return rows.where(place <= F.lit(limit)).distinct().orderBy(place, *rows.columns).limit(most)
 
 
@@ -98,7 +99,8 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``most`` labelled documents outside the held-out fold, as (doc_id, label, text).
 
-    Only the bounded list of ids and labels is broadcast. Rows with NULL id or label teach
+    Only the bounded list of ids and labels is broadcast, and the documents are read for it once,
+    however often the sample is used. Rows with NULL id or label teach
     nothing; of several labels of an id the greatest counts, of several texts the least.
     """
     known = (
@@ -107,12 +109,13 @@ def labelled_sample(
         .agg(F.max(target).cast("int").alias("label"))
     )
     chosen = hashed_sample(known, most)
-    return (
+    found = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
     )
+    return stored(found, "labelled")
 
 
 # --- words as hashes ---
