@@ -3,10 +3,16 @@
 The words of a batch lie in one ragged array of symbols. In each round every word's
 lowest-ranked pair is found and merged wherever it occurs in that word, all words in step;
 words with nothing left to merge are set aside. What is counted is the surviving symbols.
+
+A round looks at all symbols of the words that are left, and a word has as many rounds as ranks
+that it merges: fine for words, not for one of a million letters. Words from ``LONG_WORD`` bytes
+on keep the places of each rank instead, so that a round touches the places it merges and their
+neighbours; merges, and counts, are the same.
 """
 
 from __future__ import annotations
 
+import heapq
 from functools import cache
 
 import numpy as np
@@ -19,6 +25,15 @@ from farebox.llm.word_vocab import WordVocabulary, chunks, vocabulary
 KEPT_CHUNKS = 500_000
 LONGEST_KEPT = 48
 NO_MERGE = np.int64(1 << 40)
+LONG_WORD = 2000
+
+
+def _every_second(picked: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Of places in order, in each run of which every place follows on the one before, the first,
+    third and so on: in a run like aaa the pairs overlap."""
+    at = np.arange(len(picked))
+    run_start = np.maximum.accumulate(np.where(follows, 0, at))
+    return picked[(at - run_start) % 2 == 0]
 
 
 class MergeCounter:
@@ -36,18 +51,69 @@ class MergeCounter:
     def _pair_ranks(self, symbols: np.ndarray) -> np.ndarray:
         """The rank of each neighbouring pair, and no merge for the last symbol."""
         ranks = np.full(len(symbols), NO_MERGE)
-        keys = (symbols[:-1] << 20) | symbols[1:]
-        place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        ranks[:-1] = np.where(self._keys[place] == keys, self._ranks[place], NO_MERGE)
+        ranks[:-1] = self._ranks_of(symbols[:-1], symbols[1:])
         return ranks
 
+    def _ranks_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The rank of each pair; a second symbol of -1, the end, merges with nothing."""
+        keys = (first << 20) | second
+        place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where(self._keys[place] == keys, self._ranks[place], NO_MERGE)
+
+    def count_long(self, word: bytes) -> int:
+        """Tokens of one word, whose symbols are a chain: merging takes places out of it."""
+        data = np.frombuffer(word, dtype=np.uint8)
+        n = len(data)
+        symbols = np.append(self.vocab.inner[data], -1)
+        symbols[n - 1] = self.vocab.final[data[-1]]
+        ranks = np.append(self._pair_ranks(symbols[:n]), NO_MERGE)
+        onward, back = np.arange(1, n + 2), np.arange(-1, n)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def found(at: np.ndarray) -> None:
+            """Note the places whose pair can be merged, by rank."""
+            at = at[ranks[at] != NO_MERGE]
+            at = at[np.argsort(ranks[at], kind="stable")]
+            kinds, first = np.unique(ranks[at], return_index=True)
+            for rank, held in zip(kinds.tolist(), np.split(at, first[1:]), strict=False):
+                if rank not in places:
+                    places[rank] = []
+                    heapq.heappush(waiting, rank)
+                places[rank].append(held)
+
+        found(np.arange(n))
+        left = n
+        while waiting:
+            rank = heapq.heappop(waiting)
+            held = np.unique(np.concatenate(places.pop(rank)))
+            held = held[ranks[held] == rank]
+            if not len(held):
+                continue
+            follows = np.append(False, onward[held[:-1]] == held[1:])
+            picked = _every_second(held, follows)
+            gone = onward[picked]
+            symbols[picked] = self._made[rank]
+            onward[picked] = onward[gone]
+            back[onward[gone]] = picked
+            ranks[gone] = NO_MERGE
+            left -= len(gone)
+            before = back[picked]
+            touched = np.unique(np.concatenate((picked, before[before >= 0])))
+            ranks[touched] = self._ranks_of(symbols[touched], symbols[onward[touched]])
+            found(touched)
+        return left
+
     def count_words(self, words: list[bytes]) -> np.ndarray:
         """Tokens of each word."""
         counts = np.zeros(len(words), dtype=np.int64)
         lengths = np.array([len(w) for w in words], dtype=np.int64)
-        left = np.flatnonzero(lengths)
+        for place in np.flatnonzero(lengths >= LONG_WORD):
+            counts[place] = self.count_long(words[place])
+        short = lengths < LONG_WORD
+        left = np.flatnonzero((lengths > 0) & short)
         sizes = lengths[left]
-        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        data = np.frombuffer(b"".join(w for w, kept in zip(words, short, strict=True) if kept), dtype=np.uint8)
         symbols = self.vocab.inner[data]
         last = np.cumsum(sizes) - 1
         symbols[last] = self.vocab.final[data[last]]
@@ -60,10 +126,7 @@ class MergeCounter:
             counts[left[done]] = sizes[done]
             of_word = np.repeat(np.arange(len(sizes)), sizes)
             picked = np.flatnonzero((ranks == lowest[of_word]) & ~done[of_word])
-            # In a run like aaa the pairs overlap: every second one from the left is taken.
-            new_run = np.concatenate(([True], np.diff(picked) != 1))
-            run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(picked)), 0))
-            picked = picked[(np.arange(len(picked)) - run_start) % 2 == 0]
+            picked = _every_second(picked, np.append(False, np.diff(picked) == 1)[: len(picked)])
             symbols[picked] = self._made[ranks[picked]]
             stay = ~done[of_word]
             stay[picked + 1] = False

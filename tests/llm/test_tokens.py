@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -85,3 +86,29 @@ def test_queries(session, sf_dir, name):
 
 def test_no_rows(session):
     assert no_documents(session).select(bpe.bpe_digests("text", PATH), F.lit(1)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "word",
+    ["x" * 5000, "ab" * 3000, "aab" * 3000, "a" * 2001, "é" * 3000, "the" * 2000, "A1" * 4000, "w" * 2000 + "!"],
+)
+def test_long_words_that_merge(word):
+    assert token_count.counter(PATH).count_texts([word, f"a {word} b"]) == [len(library(t)[0]) for t in (word, f"a {word} b")]
+    assert [len(p) // 4 for p in bpe.encode_texts(pa.array([word]), PATH)] == [len(library(word)[0])]
+
+
+def test_words_as_chains_equal_words_as_rows(monkeypatch):
+    monkeypatch.setattr(token_count, "LONG_WORD", 2)
+    fresh = token_count.MergeCounter(token_count.counter(PATH).vocab)
+    texts = TEXTS + made_up(11, 300)
+    assert fresh.count_texts(texts) == [len(library(t)[0]) for t in texts]
+
+
+def test_a_million_letters_without_a_space():
+    rng = np.random.default_rng(6)
+    word = "".join(np.array(list("abcdefghijklmnopqrstuvwxyz"))[rng.integers(0, 26, 10**6)])
+    expected = len(library(word)[0])
+    started = time.perf_counter()
+    assert token_count.counter(PATH).count_texts([word]) == [expected]
+    assert len(bpe.encode_texts(pa.array([word]), PATH)[0]) == 4 * expected
+    assert time.perf_counter() - started < 60
