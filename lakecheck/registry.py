@@ -506,11 +506,12 @@ def _decode_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips in each hour, day and month that has any."""
-    parts = [
-        metrics.utilization(written_trips(spark, sf_dir), unit).select(F.lit(unit).alias("unit"), "period", "trip_count")
-        for unit in ("hour", "day", "month")
-    ]
+    """Trips in each hour, day and month that has any; days and months are summed from the hours."""
+    hours = metrics.utilization(written_trips(spark, sf_dir), "hour").select("period", "trip_count")
+    parts = [hours.select(F.lit("hour").alias("unit"), "period", "trip_count")]
+    for unit in ("day", "month"):
+        summed = hours.groupBy(F.date_trunc(unit, "period").alias("period")).agg(F.sum("trip_count").alias("trip_count"))
+        parts.append(summed.select(F.lit(unit).alias("unit"), "period", "trip_count"))
     return presentable(reduce(DataFrame.unionByName, parts))
 
 
