@@ -29,9 +29,10 @@ from farebox.llm.common import hashed_sample
 from farebox.llm.dom import Forest, flags, numbers, parse
 
 MOST_PAGES = 150  # sampled to learn from
-LONGEST_PAGE = 60_000  # characters of a page that may be learned from; longer ones are not
-LAYOUTS = 4  # arrangements of each
-MOST_TOKENS = 160
+LONGEST_PAGE = 60_000  # characters of a page that is learned from, unless all pages are longer
+MOST_LONG = 5
+LAYOUTS = 8  # arrangements of each
+MOST_TOKENS = 400
 LEAST_SEEN = 4
 MARK = ""  # begins a run of article text in a page laid out anew
 
@@ -101,11 +102,36 @@ def decode(forest: Forest, logits: np.ndarray) -> list[bool]:
     return kept
 
 
+def agreed(forest: Forest, logits: np.ndarray) -> np.ndarray:
+    """Logits in which blocks that look alike under one parent, with few links each, have their
+    mean, by length of text: the paragraphs of a text are kept together or not at all."""
+    alike: dict[tuple, list[int]] = {}
+    inner = {parent for parent, text in zip(forest.parent, forest.text, strict=True) if not text}
+    texts = [len(t) for t in forest.text]
+    links = list(forest.links)
+    for node in range(len(texts) - 1, 0, -1):
+        if forest.parent[node] >= 0:
+            texts[forest.parent[node]] += texts[node]
+            links[forest.parent[node]] += links[node]
+    together = tied(forest)
+    for node, parent in enumerate(forest.parent):
+        if parent >= 0 and node not in inner and 2 * links[node] < texts[node]:
+            # The run that is all of a block is like the runs of the blocks beside it.
+            block = parent if together[node] else node
+            key = (forest.parent[block], together[node], bool(forest.text[node]), *forest.tokens[block])
+            alike.setdefault(key, []).append(node)
+    made = logits.copy()
+    for nodes in alike.values():
+        if len(nodes) > 1:
+            made[nodes] = np.average(logits[nodes], weights=[texts[node] + 1 for node in nodes])
+    return made
+
+
 def main_texts(pages: list[str], model: BlockModel) -> list[str]:
     forest = parse(pages)
     found: list[list[str]] = [[] for _ in pages]
     if forest.page:
-        for node, keep in enumerate(decode(forest, model.logits(forest))):
+        for node, keep in enumerate(decode(forest, agreed(forest, model.logits(forest)))):
             if keep and forest.text[node]:
                 found[forest.page[node]].append(forest.text[node])
     return [" ".join(runs) for runs in found]
@@ -143,6 +169,10 @@ def _element(rng: random.Random, tags: list[str], names: list[str], inner: str)
     return f"<{tag}{attribute}>{inner}</{tag}>"
 
 
+def _random_name(rng: random.Random) -> str:
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(3, 8)))
+
+
 def laid_out(rng: random.Random, article: list[str], other: list[str]) -> str:
     """A page with ``article`` as its text, marked, and ``other`` in the parts around it."""
 
@@ -179,34 +209,50 @@ def laid_out(rng: random.Random, article: list[str], other: list[str]) -> str:
         )
         return _element(rng, ["section", "div", "ol"], COMMENT_NAMES, comments)
 
+    def block(text: str, habit: str) -> str:
+        shape = rng.random()
+        if habit != "mixed" and shape < 0.85:
+            return {"p": f"<p>{text}</p>", "div": f"<div>{text}</div>", "open": f"<p>{text}", "br": f"{text}<br><br>"}[habit]
+        half, tag = len(text) // 2, rng.choice(["ol", "ul"])
+        items = [f"<li>{MARK}{words(rng.randint(1, 7))}</li>" for _ in range(rng.randint(2, 5))]
+        shapes = [
+            f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}</b><br>", f"<h2>{text}</h2>", f"<ul><li>{text}</li></ul>",
+            f"<{tag}><li>{text}</li><li>{text}</li></{tag}>", f"<{tag}>{''.join(items)}</{tag}>", f"<blockquote>{text}</blockquote>", f"<div>{text}</div>",
+            f"<blockquote><p>{text}</p></blockquote>", f"<section><p>{text}</p></section>",
+            f"<table><tr><td>{text}</td><td>{text}</td></tr></table>",
+            f"<dl><dt>{MARK}{words(2)}</dt><dd>{text}</dd></dl>", f"<pre><code>{text}</code></pre>",
+            f"<figure><img src=x><figcaption>{text}</figcaption></figure>",
+            f"<details open><summary>{MARK}{words(3)}</summary><p>{text}</p></details>",
+            f"<p>{text[:half]}<a href='/x'>{text[half:]}</a></p>" if "&" not in text else f"<p>{text}</p>",
+        ]
+        return rng.choice(shapes)
+
+    habit = rng.choice(["p", "p", "p", "div", "div", "div", "br", "open", "mixed", "mixed"])
     blocks = []
     for place, text in enumerate(article):
-        if rng.random() < 0.1:  # articles have short paragraphs too
-            text = " ".join(text.split()[: rng.randint(1, 4)])
-        text, shape = MARK + escape(text), rng.random()
-        if place == 0 and rng.random() < 0.8:
-            blocks.append(f"<h1>{text}</h1>")
-        elif shape < 0.75:
-            blocks.append(rng.choice([f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}</b><br>"]))
-        elif shape < 0.8:
-            blocks.append(f"<h2>{text}</h2>")
-        elif shape < 0.85:
-            blocks.append(f"<ul><li>{text}</li></ul>")
-        elif shape < 0.9:
-            blocks.append(f"<blockquote>{text}</blockquote>")
-        elif shape < 0.95:
-            blocks.append(f"<div>{text}</div>")
-        else:
-            blocks.append(f"<table><tr><td>{text}</td></tr></table>")
+        if rng.random() < 0.15:  # articles have short paragraphs too
+            text = " ".join(text.split()[: rng.randint(1, 9)])
+        text = MARK + escape(text)
+        blocks.append(f"<h1>{text}</h1>" if place == 0 and rng.random() < 0.6 else block(text, habit))
         if rng.random() < 0.06:
             blocks.append(part(rng.choice(["advert", "social", "side", "form", "notice"])))
     if rng.random() < 0.2:
         blocks.append(part("comments"))
-    story = _element(rng, ["article", "article", "main", "div", "div", "section"], ARTICLE_NAMES, "".join(blocks))
-    for _ in range(rng.randint(0, 2)):
-        story = _element(rng, ["div", "main", "section"], [*ARTICLE_NAMES, "wrapper", "container", "row", "page"], story)
+    # The names of many containers say nothing, or there is none: the text stands in the body.
+    story, frame = "".join(blocks), rng.random()
+    if frame < 0.4:
+        story = _element(rng, ["article", "article", "main", "div", "div", "section"], ARTICLE_NAMES, story)
+    elif frame < 0.65:
+        said = rng.choice(["", "", f' class="{_random_name(rng)}"'])
+        tag = rng.choice(["div", "div", "section", "center", "main"])
+        story = f"<{tag}{said}>{story}</{tag}>"
+    for _ in range(rng.randint(0, 2) if frame < 0.65 else 0):
+        names = [*ARTICLE_NAMES, "wrapper", "container", "row", "page", _random_name(rng)]
+        story = f"<div>{story}</div>" if rng.random() < 0.4 else _element(rng, ["div", "main", "section"], names, story)
     before = [k for k in ("menu", "header", "notice", "advert", "form") if rng.random() < 0.45]
     after = [k for k in ("side", "comments", "advert", "social", "form", "footer", "footer") if rng.random() < 0.4]
+    if rng.random() < 0.2:  # a page may have nothing but its text
+        before, after = [], []
     rng.shuffle(before)
     body = "".join(map(part, before)) + story + "".join(map(part, after))
     return f"<html><head><title>{words(5)}</title></head><body>{body}</body></html>"
@@ -241,9 +287,12 @@ def learn(pages: list[str], seed: int = 5) -> BlockModel:
 
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html") -> BlockModel:
-    """Learn from at most ``MOST_PAGES`` pages."""
-    usable = pages.where(F.length(html).between(1, LONGEST_PAGE)).select(html)
-    return learn(sorted(row[0] for row in hashed_sample(usable, MOST_PAGES).collect()))
+    """Learn from at most ``MOST_PAGES`` pages, or from ``MOST_LONG`` where all are long."""
+    length = F.length(html)
+    sample = hashed_sample(pages.where(length.between(1, LONGEST_PAGE)).select(html), MOST_PAGES).collect()
+    if not sample:
+        sample = hashed_sample(pages.where(length > LONGEST_PAGE).select(html), MOST_LONG).collect()
+    return learn(sorted(row[0] for row in sample))
 
 
 def main_text(html: str, model: BlockModel, pages: DataFrame) -> Column:

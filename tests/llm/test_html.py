@@ -108,3 +108,69 @@ def test_a_head_may_lack_its_end(after_title):
     for start in ("<html><head>", "<head><meta charset=utf-8><style>p {}</style>"):
         forest = parse([start + "<title>Hidden</title>" + after_title])
         assert [text for text in forest.text if text] == ["Shown."]
+
+
+# Pages written by hand, in layouts that no generator made: every block of the text, and nothing else.
+STORY = [
+    "The river rose two metres in a single night last week.",
+    "Nobody in the village had seen anything like it before.",
+    "Farmers moved their cattle to the higher fields by torchlight.",
+    "By morning the old stone bridge was gone, and the road with it.",
+    "The council has promised a temporary crossing within a month.",
+    "Until then, children will go to school by boat, which they love.",
+]
+MENU = '<ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">Sport</a></li></ul>'
+FOOT = '<footer>&copy; 2024 Example Media. <a href="/t">Terms</a></footer>'
+IN_P = "".join(f"<p>{s}</p>" for s in STORY)
+IN_DIV = "".join(f"<div>{s}</div>" for s in STORY)
+BY_HAND = {
+    "paragraphs in the body": (IN_P, []),
+    "a div each in the body": (IN_DIV, []),
+    "a div each in a div": (f"<div>{IN_DIV}</div>", []),
+    "paragraphs in two divs": (f"<div><div>{IN_P}</div></div>", []),
+    "paragraphs in a section": (f"<section>{IN_P}</section>", []),
+    "a link bar and a plain div": (f"<nav>{MENU}</nav><div>{IN_P}</div>{FOOT}", []),
+    "an article": (f"<nav>{MENU}</nav><article>{IN_P}</article>{FOOT}", []),
+    "an ordered list": (f"<article>{IN_P}<ol><li>Bring boots.</li><li>Bring a torch.</li></ol></article>", ["Bring boots.", "Bring a torch."]),
+    "a definition": (f"<article>{IN_P}<dl><dt>Ford</dt><dd>A place where one can cross.</dd></dl></article>", ["Ford", "A place where one can cross."]),
+    "a caption": (f"<article>{IN_P}<figure><img src=x><figcaption>The bridge before it fell.</figcaption></figure></article>", ["The bridge before it fell."]),
+    "details": (f"<article>{IN_P}<details><summary>More on this</summary><p>The bridge was old.</p></details></article>", ["More on this", "The bridge was old."]),
+    "names that say nothing": (f'<div class="x9k2"><div class="q77">{IN_DIV}</div></div><div class="footer">Copyright 2024</div>', []),
+    "a heading and comments": (
+        f'<div class="menu">{MENU}</div><h1>Flood takes bridge</h1>{IN_P}<div class="comments">'
+        '<div class="comment">I saw it too, so sad.</div><div class="comment">Great pictures, thanks.</div></div>',
+        ["Flood takes bridge"],
+    ),
+    "a form": (f'<header><a href="/">Logo</a></header><main>{IN_P}</main><form><label>Your email</label><button>Send</button></form>', []),
+    "line breaks": (f"<div id=content>{'<br><br>'.join(STORY)}</div>", []),
+    "a table": (f"<table><tr><td>{MENU}</td><td>{IN_P}</td></tr></table>", []),
+}
+
+
+@pytest.mark.parametrize("layout", BY_HAND)
+def test_pages_written_by_hand(model, layout):
+    body, more = BY_HAND[layout]
+    found = h.main_texts([f"<html><head><title>Hidden</title></head><body>{body}</body></html>"], model)[0]
+    for text in (*STORY, *more):
+        assert text in found
+        found = found.replace(text, "", 1)
+    assert found.split() == []
+
+
+def test_alike_blocks_are_kept_together_or_not_at_all():
+    forest = parse([f"<div>{IN_P}</div>", IN_DIV])
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        kept = h.decode(forest, h.agreed(forest, rng.normal(0.2, 1, len(forest.page))))
+        for page in (0, 1):
+            assert len({k for k, t, p in zip(kept, forest.text, forest.page, strict=True) if t and p == page}) == 1
+
+
+def test_copies_and_long_pages_are_learned_from(session, pages):
+    copies = session.createDataFrame([(i, html) for i, html in enumerate(pages[:3])] * 300, "page_id BIGINT, html STRING")
+    long = session.createDataFrame([(1, pages[0].replace("</article>", "<p>More of it, as long as it is.</p>" * 2000 + "</article>"))], "page_id BIGINT, html STRING")
+    for table in (copies, long):
+        fitted = h.fit(table)
+        assert fitted.trees.trees
+        found = table.limit(3).select(h.main_text("html", fitted, table).alias("text")).collect()
+        assert all(len(row.text) > 40 for row in found)
