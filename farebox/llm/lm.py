@@ -466,7 +466,9 @@ def lm_scores(
     chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", compression="zstd")
     asked = chunks.select("chunk", "kinds", "place", "n_tokens").mapInArrow(ask, "segment bigint, chunk bigint, data binary")
     no_chunk = F.lit(-1).cast("bigint").alias("chunk")
-    filled = filter_rows(learned, segments, bits).select("segment", no_chunk, F.col("bits").alias("data"))
+    # Written before anything is asked, so that the shuffle it is counted by is gone by then.
+    filled = stored(filter_rows(learned, segments, bits), "filter", drop_shuffles=True)
+    filled = filled.select("segment", no_chunk, F.col("bits").alias("data"))
     by_segment = filled.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
     answers = by_segment.mapInArrow(_answered, "segment bigint, chunk bigint, data binary")
     own = chunks.withColumn("segment", F.lit(-1).cast("bigint"))
