@@ -8,7 +8,9 @@ outcomes; its strength comes from how far groups differ beyond chance, and is no
 the outcomes behind it. A host is blocked when the lower bound of
 its bad rate is above ``BLOCK_ABOVE``; a host without outcomes has its domain's rate.
 
-The same SQL runs on Spark and, as the check, on DuckDB.
+A host's labels and a path's beginnings are looked up in the table of rules by equal joins, so
+there may be any number of rules. The rest is SQL, which runs on Spark and, as the check, on
+DuckDB; there, rules are one long CASE.
 """
 
 from __future__ import annotations
@@ -16,13 +18,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.llm.common import stored
 
 BLOCK_ABOVE = 0.5
 DEVIATIONS = 1.645  # of the one-sided 95 % bound
 STRONGEST = 1000.0  # prior strength where groups do not differ
-MOST_RULES = 500  # they become one CASE expression
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,8 +46,6 @@ def _quoted(text: str) -> str:
 
 def _by_rule(rules: list[Rule], give: str) -> str:
     """CASE over the rules, longest first; gives an attribute of the first that fits."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} can be given")
     cases = []
     for rule in sorted(rules, key=lambda r: (-len(r.text), r.text)):
         below = "." + rule.host
@@ -63,7 +63,8 @@ def parts_sql(pages: str) -> str:
            CASE WHEN regexp_extract(host, '[^.]+[.][^.]+$', 0) <> ''
                 THEN regexp_extract(host, '[^.]+[.][^.]+$', 0) ELSE host END AS domain,
            regexp_extract(host, '[^.]*$', 0) AS suffix,
-           CAST(nullif(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1), '') AS BIGINT) AS shown_doc
+           CASE WHEN length(regexp_extract(path, '^/[^/]*/([0-9]+)', 1)) BETWEEN 1 AND 18
+                THEN CAST(regexp_extract(path, '^/[^/]*/([0-9]+)', 1) AS BIGINT) END AS shown_doc
     FROM (
         SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{UPPER}', '{LOWER}') AS host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
@@ -132,14 +133,44 @@ def levels_sql(hosts: str) -> str:
                rate - {DEVIATIONS} * sqrt(rate * (1 - rate) / (total + 1)) AS bad_bound FROM posterior)"""
 
 
-def verdict_sql(rules: list[Rule], parts: str) -> str:
+def verdict_sql(matched: str) -> str:
+    """Verdicts of pages with the rule that fits and what it says."""
     return f"""
     SELECT page_id, host, path, rule,
            CASE WHEN rule IS NOT NULL THEN ruled WHEN bad_bound > {BLOCK_ABOVE} THEN 'block' ELSE 'allow'
            END AS verdict
-    FROM (SELECT *, {_by_rule(rules, "text")} AS rule, {_by_rule(rules, "verdict")} AS ruled
-          FROM {parts} AS addressed) AS matched
-    LEFT JOIN reputation ON host = judged_host"""
+    FROM {matched} AS matched LEFT JOIN reputation ON host = judged_host"""
+
+
+def by_rules(parts: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``parts`` with the text of the longest rule that fits and its verdict, NULL without one.
+
+    Every address is looked up once: each of its host's endings with each of its path's
+    beginnings that are as long as some rule's path. Of rules of one length the first by text
+    counts, and of equal ones the first given.
+    """
+    spark = parts.sparkSession
+    if not rules:
+        none = F.lit(None).cast("string")
+        return parts.withColumns({"rule": none, "ruled": none})
+    rows = [(r.host, r.path, -len(r.text), r.text, n, r.verdict) for n, r in enumerate(rules)]
+    schema = "rule_host STRING, rule_path STRING, shorter INT, rule STRING, given INT, ruled STRING"
+    table = spark.createDataFrame(rows, schema)
+    lengths = F.array(*[F.lit(n) for n in sorted({len(r.path) for r in rules})])
+    endings = F.expr("transform(sequence(1, size(split(host, '[.]'))), k -> substring_index(host, '.', -k))")
+    beginnings = F.transform(
+        F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
+    )
+    addresses = parts.select("host", "path").distinct().select("host", "path", F.explode(endings).alias("rule_host"))
+    addresses = addresses.join(table.select("rule_host").distinct(), "rule_host", "left_semi")
+    found = (
+        addresses.select("host", "path", "rule_host", F.explode(beginnings).alias("rule_path"))
+        .join(table, ["rule_host", "rule_path"])
+        .groupBy("host", "path")
+        .agg(F.min(F.struct("shorter", "rule", "given", "ruled")).alias("best"))
+        .select("host", "path", "best.rule", "best.ruled")
+    )
+    return parts.join(found, ["host", "path"], "left")
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -151,16 +182,17 @@ def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules:
     a bound below it, so nothing is blocked but by rule. Only ``page_id`` and ``url`` of
     ``pages`` are read. The join by host is left to Spark, which splits a hot host.
     """
-    parts = spark.sql(parts_sql("{pages}").replace("{1,18}", "{{1,18}}"), pages=pages.select("page_id", "url"))
+    parts = spark.sql(parts_sql("{pages}"), pages=pages.select("page_id", "url"))
     hosts = stored(
         spark.sql(hosts_sql("{parts}", "{labels}"), parts=parts, labels=labels), "host-outcomes"
     )
-    text = f"WITH {levels_sql('{hosts}')} {verdict_sql(rules, '{parts}')}"
-    return spark.sql(text, hosts=hosts, parts=parts)
+    text = f"WITH {levels_sql('{hosts}')} {verdict_sql('{matched}')}"
+    return spark.sql(text, hosts=hosts, matched=by_rules(parts, rules))
 
 
 def oracle(rules: list[Rule]) -> str:
+    matched = f"SELECT *, {_by_rule(rules, 'text')} AS rule, {_by_rule(rules, 'verdict')} AS ruled FROM parts"
     return (
         f"WITH parts AS ({parts_sql('pages')}), hosts AS ({hosts_sql('parts', 'labels')}), "
-        f"{levels_sql('hosts')} {verdict_sql(rules, 'parts')}"
+        f"ruled_pages AS ({matched}), {levels_sql('hosts')} {verdict_sql('ruled_pages')}"
     )

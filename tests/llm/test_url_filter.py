@@ -1,5 +1,7 @@
 """URL verdicts: the same SQL in DuckDB, edge addresses, and rates worked out by hand."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -72,7 +74,35 @@ def test_rates_shrink_to_the_level_above():
     assert rows["a.x.net"] - 0.05 < rows["c.x.net"] < rows["b.x.net"]
 
 
-def test_too_many_rules():
-    rule = url_filter.Rule("block", "a.org", "/")
-    with pytest.raises(ValueError):
-        url_filter.verdict_sql([rule] * 501, "parts")
+def fitting(rules, host, path):
+    """The longest rule that fits, comparing all."""
+    fits = [
+        (-len(r.text), r.text, n)
+        for n, r in enumerate(rules)
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    return min(fits)[2] if fits else None
+
+
+def test_a_hundred_thousand_rules(session):
+    rng = random.Random(8)
+    hosts = [".".join(rng.choices(["a", "b", "shop", "x1", "é"], k=rng.randint(1, 4))) for _ in range(300)]
+    paths = ["", "/", *("/" + "/".join(rng.choices(["en", "de", "1", "12", "q"], k=rng.randint(1, 5))) for _ in range(200))]
+    rules = [
+        url_filter.Rule(rng.choice(["allow", "block"]), f"{i}.{rng.choice(hosts)}" if i >= 2000 else rng.choice(hosts), rng.choice(paths))
+        for i in range(100_000)
+    ]
+    addresses = [(i, f"http://{rng.choice(['', 'www.', f'{rng.randrange(10**5)}.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '/more', '?q'])}") for i in range(60)]
+    pages = session.createDataFrame(addresses * 2, "page_id BIGINT, url STRING")
+    none = session.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
+    found = url_filter.judge_urls(session, pages, none, rules).collect()
+    assert len(found) == 120 and sum(r.rule is not None for r in found) > 30
+    for row in found:
+        best = fitting(rules, row.host, row.path)
+        assert (row.rule, row.verdict) == ((rules[best].text, rules[best].verdict) if best is not None else (None, "allow"))
+
+
+def test_a_number_too_long_is_no_document(session):
+    pages = session.createDataFrame([(1, "http://a.org/en/1234567890123456789"), (2, "http://a.org/en/123456789012345678")], "page_id BIGINT, url STRING")
+    shown = session.sql(url_filter.parts_sql("{pages}"), pages=pages).collect()
+    assert {r.page_id: r.shown_doc for r in shown} == {1: None, 2: 123456789012345678}
