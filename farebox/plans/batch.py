@@ -9,6 +9,7 @@ stopped goes on after its last commit, as long as raw files, rules and months ar
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -119,6 +120,7 @@ class _Batch:
         self.partials = f"{self.root}/processed/insight_partials"
         self.known = f"{self.root}/processed/raw_files"
         self.state = f"{self.root}/processed/batch"
+        self.staged = f"{self.root}/processed/trips_cleaned_months"
         has_lake = folder_exists(self.spark, self.cleaned) or (self.table and self.spark.catalog.tableExists(self.table))
         self.reloading = bool(
             self.only_given_months and self.months is not None and has_lake and folder_exists(self.spark, self.known)
@@ -182,11 +184,12 @@ class _Batch:
     def clean(self, run: int, months: list[Month], files: DataFrame, all_columns: list[str]) -> None:
         """Clean the months of one run, put them in place with their groupings, and commit."""
         held = files.where(in_months(months, "pickup_year", "pickup_month"))
-        expected, size = held.agg(F.sum("trips"), F.sum("bytes")).head()
+        by_file = held.groupBy("file").agg(F.sum("trips").alias("trips"), F.max("bytes").alias("bytes"))
+        expected, size = by_file.agg(F.sum("trips"), F.sum("bytes")).head()
         raw = read_files(held, self.raw, all_columns)
         counts, there = {}, {}
-        # A later try must not find what an earlier one has left.
-        staged = f"{self.root}/processed/trips_cleaned_months/{self.name}-{run}"
+        # Never where an earlier try has written: months may be in place there already.
+        staged = f"{self.staged}/{self.name}-{run}-{uuid.uuid4().hex[:8]}"
         if raw is not None:
             raw = raw.where(picked_up_in(months))
             with shuffle_width(self.spark, size):
@@ -268,6 +271,12 @@ class _Batch:
             write_table(now.unionByName(before), held)
         replace_folder(self.spark, held, self.known)
         remove_folder(self.spark, self.state)
+        # What tries that failed have written and no month was pointed to.
+        used = catalog.month_folders(self.spark, self.table) if self.table else []
+        used = {folder.split("/pickup_year=")[0].rsplit("/", 1)[-1] for folder in used}
+        if folder_exists(self.spark, self.staged):
+            for folder in set(catalog.folders_in(self.spark, self.staged)) - used:
+                remove_folder(self.spark, f"{self.staged}/{folder}")
 
 
 def _by_month(rows: DataFrame) -> DataFrame:

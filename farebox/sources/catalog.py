@@ -84,16 +84,30 @@ def create_month_table(spark: SparkSession, table: str, path: str, schema: T.Str
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
+def _month_folder(spark: SparkSession, table: str, where: str) -> str | None:
+    """Where the catalog finds a month, or None if it knows of none."""
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({where})").head() is None:
+        return None
+    told = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({where})").collect()
+    return next((row.data_type for row in told if row.col_name == "Location"), None)
+
+
+def month_folders(spark: SparkSession, table: str) -> list[str]:
+    """Where the catalog finds each month of a table that may not be there."""
+    if not spark.catalog.tableExists(table):
+        return []
+    months = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [folder for row in months if (folder := _month_folder(spark, table, row.partition.replace("/", ", ")))]
+
+
 def point_month(spark: SparkSession, table: str, month: tuple[int, int], folder: str | None) -> None:
     """Let the catalog find a month in another folder, or not at all. The files of the folder it
     was in are deleted afterwards."""
     where = f"pickup_year = {month[0]}, pickup_month = {month[1]}"
-    there = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({where})").head() is not None
-    told = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({where})").collect() if there else []
-    before = next((row.data_type for row in told if row.col_name == "Location"), None)
+    before = _month_folder(spark, table, where)
     if folder is None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
-    elif there:
+    elif before:
         spark.sql(f"ALTER TABLE {table} PARTITION ({where}) SET LOCATION '{folder}'")
     else:
         spark.sql(f"ALTER TABLE {table} ADD PARTITION ({where}) LOCATION '{folder}'")

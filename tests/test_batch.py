@@ -283,6 +283,8 @@ def test_a_failure_between_two_months_leaves_each_old_or_new(spark, lookups, tmp
     assert sorted_insights(spark, root) == sorted_insights(spark, other)
     places = {r.f for r in spark.table(table).select(F.regexp_extract("_metadata.file_path", "^(.*)/pickup_year", 1).alias("f")).distinct().collect()}
     assert len(places) == 2
+    staged = tmp_path / "one/processed/trips_cleaned_months"
+    assert {folder.name for folder in staged.iterdir()} == {place.rsplit("/", 1)[-1] for place in places}
 
 
 def test_a_failed_renaming_is_taken_back(spark, lookups, tmp_path):
