@@ -377,7 +377,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.count("*").alias("times"), F.max(F.col("order") == F.col("first")).alias("stays")
     )
     judged = stored(judged.where("times > 1 OR NOT stays").select("row", "stays"), "rows-to-judge")
-    sieve = build_filter(judged.select(F.col("row").alias("key"), F.lit(1).alias("n")), SIEVE_BYTES, most=1 << 62)
+    sieve = build_filter(judged.select(F.col("row").alias("key"), F.lit(1).alias("n")), SIEVE_BYTES)
     sent = docs.sparkSession.sparkContext.broadcast(sieve)
 
     @F.arrow_udf("boolean")
