@@ -72,7 +72,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, purpose: str, compression: str = "snappy", drop_shuffles: bool = False) -> DataFrame:
+def stored(df: DataFrame, purpose: str, drop_shuffles: bool = False) -> DataFrame:
     """The rows written to the shared folder and read again: computed once, lineage cut. With
     ``drop_shuffles`` the shuffle files of the write go when it ends, and not when the driver
     happens to collect its garbage."""
@@ -80,7 +80,7 @@ def stored(df: DataFrame, purpose: str, compression: str = "snappy", drop_shuffl
     path, before = work_folder(spark, purpose), spark.conf.get(key)
     spark.conf.set(key, str(drop_shuffles or before == "true").lower())
     try:
-        df.write.parquet(path, compression=compression)
+        df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)

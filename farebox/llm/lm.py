@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -328,6 +329,10 @@ SUMMED = (
 )
 
 
+def _place_type(kinds: int) -> type:
+    return np.uint16 if kinds <= 1 << 16 else np.int32
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of (doc_id, held_out, text) as a chunk."""
     chunk = TaskContext.get().partitionId() << 32
@@ -336,7 +341,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(words):
             continue
         kinds, place = np.unique(words, return_inverse=True)
-        columns = [pa.array([chunk], pa.int64()), *(pa.array([x.tobytes()]) for x in (kinds, place.astype(np.int32)))]
+        # Common words make places compress to a fraction; keys are as good as random.
+        places = zstandard.compress(place.astype(_place_type(len(kinds))).tobytes())
+        columns = [pa.array([chunk], pa.int64()), pa.array([kinds.tobytes()]), pa.array([places])]
         for values in (batch.column(0), batch.column(1), pa.array(counts, pa.int64())):
             columns.append(pa.array([values.to_pylist()], pa.list_(values.type)))
         yield pa.RecordBatch.from_arrays(columns, ["chunk", "kinds", "place", "doc_id", "held_out", "n_tokens"])
@@ -345,7 +352,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tokens_in(kinds: bytes, place: bytes, counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's tokens, what stands before each, and where each document begins."""
-    tokens = np.frombuffer(kinds, np.uint64)[np.frombuffer(place, np.int32)]
+    words = np.frombuffer(kinds, np.uint64)
+    tokens = words[np.frombuffer(zstandard.decompress(place), _place_type(len(words)))]
     starts = row_starts(np.array(counts))[:-1]
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
@@ -462,8 +470,7 @@ def lm_scores(
     def score(chunk: pa.Table) -> pa.Table:
         return _scored(chunk, sent.value)
 
-    # Places of words repeat much: they take a fraction of their size when compressed well.
-    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", compression="zstd")
+    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks")
     asked = chunks.select("chunk", "kinds", "place", "n_tokens").mapInArrow(ask, "segment bigint, chunk bigint, data binary")
     no_chunk = F.lit(-1).cast("bigint").alias("chunk")
     # Written before anything is asked, so that the shuffle it is counted by is gone by then.
