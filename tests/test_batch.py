@@ -1,7 +1,7 @@
 """The batch in runs of months: resumed, counted on the way, reading what it must, replacing safely."""
 
 import re
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -253,6 +253,17 @@ def months_in(spark, table):
     return {tuple(r) for r in spark.table(table).groupBy("pickup_year", "pickup_month").count().collect()}
 
 
+def test_a_run_that_keeps_no_trip(spark, lookups, tmp_path):
+    late = {"tpep_pickup_datetime": datetime(2026, 2, 3, 9), "tpep_dropoff_datetime": datetime(2026, 2, 3, 10)}
+    month_file(spark, str(tmp_path), 1, trip(), trip(trip_distance=0.0))
+    month_file(spark, str(tmp_path), 2, trip(**late), trip(**late, passenger_count=None))
+    built = build_lake(spark, str(tmp_path), lookups, run_bytes=0)
+    assert {(r.stage, r.rows_left) for r in built.funnel.collect()} == {
+        ("raw", 4), ("nulls", 3), ("times", 2), ("duration", 2), ("speed", 1), ("fare_distance", 1), ("passengers", 1), ("dedup", 1)
+    }
+    assert len(trips_of(spark, str(tmp_path))) == 1
+
+
 def test_a_failure_between_two_months_leaves_each_old_or_new(spark, lookups, tmp_path, monkeypatch):
     root, other = (files_at(spark, str(tmp_path / name)) for name in ("one", "other"))
     table = in_database(spark, "pointed", tmp_path) + ".trips"
