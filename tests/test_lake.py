@@ -202,6 +202,24 @@ def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions_for(100 * 1024**4) == 2_457_600
 
 
+def test_the_tasks_of_a_batch_can_sort_in_memory(spark):
+    with session.shuffle_width(spark, 10 * 1024**3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "640"
+
+
+def test_months_are_written_without_a_sort(spark, tmp_path):
+    spark.sql(f"CREATE TABLE unsorted_months (id BIGINT, m BIGINT) USING parquet PARTITIONED BY (m) LOCATION '{tmp_path}/t'")
+    plan = spark.sql("EXPLAIN INSERT INTO unsorted_months SELECT id, id % 3 FROM range(10)").head()[0]
+    spark.sql("DROP TABLE unsorted_months")
+    assert "Insert" in plan and "Sort" not in plan
+    many = spark.range(0, 6000, 1, 1).selectExpr("id", "id % 12 + 1 AS pickup_month", "2000 + id % 60 DIV 12 AS pickup_year")
+    lake.write_cleaned(many, f"{tmp_path}/many", gathered=True)
+    found = spark.read.parquet(f"{tmp_path}/many").groupBy("pickup_year", "pickup_month").agg(F.count("*"), F.sum("id"))
+    assert sorted(map(tuple, found.collect())) == sorted(
+        map(tuple, many.groupBy("pickup_year", "pickup_month").agg(F.count("*"), F.sum("id")).collect())
+    ) and found.count() == 60
+
+
 def test_the_batch_sets_the_width_of_its_shuffle(spark, sf_dir, built, monkeypatch):
     plans = []
 
