@@ -6,7 +6,8 @@ step q is entered with 1, 2, ... q, so that probing until the first miss gives i
 back. The filter has the same number of bits for every entry, whatever the corpus, and is
 kept as rows, one for each segment of keys. No task and no broadcast ever holds more than a
 segment: a chunk of documents asks each segment for its distinct n-grams in one row, and the
-steps come back to the chunk.
+steps come back to the chunk. Texts are cut into words once, for the chunks; these are counted,
+and then ask in a few rounds, so that only a share of all questions is on disk at a time.
 
 A pair's probability is (count(u, w) + weight * p(w)) / (count(u) + weight), where p(w) is
 the add-one estimate; the weight is the one that explains all training documents best when
@@ -18,9 +19,11 @@ table of bounded size, all others are joined.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +40,10 @@ BITS = 24  # of the filter for each entry
 KEY_BYTES = 5  # of a key that tell it apart within its segment
 HEAD_WORDS = 1 << 18  # most frequent words, whose exact counts are broadcast
 HELD_KEYS = 2_000_000  # n-grams a task holds before it counts and hands them on
+ROUNDS = 4  # in which chunks ask, one after another
 STEPS = 2  # quantisation steps per doubling
 PROBES = 2  # bits per entry
+AT_ONCE = 8  # probabilities multiplied before their logarithm is taken
 WEIGHTS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5, 1e6)
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -47,17 +52,10 @@ _LEVEL = np.uint64(0x9E3779B97F4A7C15)
 _PROBE = np.uint64(0xD1B54A32D192ED03)
 
 
-def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed tokens with an end for each row, how many each row has, and what stands before
-    each: the token to its left, or the start."""
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed tokens with an end for each row, and how many each row has."""
     words, counts = words_hashed(texts)
-    ends = np.cumsum(counts)
-    tokens = np.insert(words, ends, END)
-    counts = counts + 1
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[row_starts(counts)[:-1]] = START
-    return tokens, counts, before
+    return np.insert(words, np.cumsum(counts), END), counts + 1
 
 
 def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -65,25 +63,23 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         return mixed(before * _PAIR + tokens)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
-
-    def handed_on() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+def summed_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of each one's counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(first)
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts
 
-    for batch in batches:
-        held.append(tokens_of(batch.column(0))[0])
-        if sum(map(len, held)) >= HELD_KEYS:
-            yield handed_on()
-    if held:
-        yield handed_on()
 
-
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """(key, n) of every word; tasks count what they hold before the shuffle."""
-    return texts.mapInArrow(_counted, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+def distinct_keys(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order, by sorting: of mostly different ones, numpy's own way by a hash
+    table takes ten times as long."""
+    keys = np.sort(keys)
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return keys[first]
 
 
 @dataclass
@@ -219,49 +215,6 @@ def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray
     return np.unique(_segment(keys, segments), return_index=True)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """Words and pairs with their counts in what a task holds, a row for each segment."""
-    held: list[np.ndarray] = []
-
-    def handed_on() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        found, starts = _by_segment(keys, segments)
-        columns = [
-            pa.array(found),
-            pa.array([packed(part) for part in np.split(keys, starts[1:])], pa.binary()),
-            pa.array([packed_counts(part) for part in np.split(counts, starts[1:])], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["segment", "keys", "counts"])
-
-    for batch in batches:
-        tokens, _, before = tokens_of(batch.column(0))
-        held += [tokens, pair_keys(before, tokens)]
-        if sum(map(len, held)) >= HELD_KEYS:
-            yield handed_on()
-    if sum(map(len, held)):
-        yield handed_on()
-
-
-def filter_rows(texts: DataFrame, segments: int, bits: int = BITS) -> DataFrame:
-    """(segment, bits) of all words and pairs; every segment is counted, sized and filled by
-    the task that has its parts."""
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _parts(batches, segments)
-
-    def fill(key: tuple, group: pa.Table) -> pa.Table:
-        held, counted = group["keys"].to_pylist(), group["counts"].to_pylist()
-        keys = unpacked(b"".join(held))
-        sizes = (len(part) // KEY_BYTES for part in held)
-        counts = np.concatenate([unpacked_counts(part, n) for part, n in zip(counted, sizes, strict=True)])
-        made = filled_segment(keys, counts, bits)
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([made], pa.binary())})
-
-    parts = texts.mapInArrow(part, "segment bigint, keys binary, counts binary")
-    return parts.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary")
-
-
 @dataclass
 class LanguageModel:
     segments: int  # of the filter
@@ -270,17 +223,24 @@ class LanguageModel:
     head_keys: np.ndarray  # most frequent words, sorted
     head_counts: np.ndarray
 
-    def logs(self, words: np.ndarray, pairs: np.ndarray, context: np.ndarray, weight: float) -> np.ndarray:
-        """log10 of the smoothed probability; 0 where nothing was learned."""
+    def odds(self, words: np.ndarray, pairs: np.ndarray, context: np.ndarray, weight: float) -> np.ndarray:
+        """The smoothed probability; 1 where nothing was learned."""
         alone = (words + 1) / (self.total + self.distinct + 1)
         # The filter can give a pair more than its context; the context then is what counts.
-        return np.log10((pairs + weight * alone) / (np.maximum(context, pairs) + weight))
-
-    def sums(self, row: np.ndarray, n: int, words: np.ndarray, pairs: np.ndarray, context: np.ndarray) -> pa.Array:
-        """The sum of each row's logs under each weight."""
-        summed = [np.bincount(row, self.logs(words, pairs, context, w), minlength=n) for w in WEIGHTS]
-        starts = np.arange(0, (n + 1) * len(WEIGHTS), len(WEIGHTS))
-        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.stack(summed, axis=1).ravel()))
+        return (pairs + weight * alone) / (np.maximum(context, pairs) + weight)
+
+    def sums(self, counts: np.ndarray, words: np.ndarray, pairs: np.ndarray, context: np.ndarray) -> pa.Array:
+        """The sum of log10 of each row's probabilities under each weight. Logarithms are of the
+        products of a few, none of which is so small that they leave the range of a double."""
+        groups = -(-counts // AT_ONCE)
+        row, first = np.repeat(np.arange(len(counts)), groups), row_starts(groups)[:-1]
+        starts = row_starts(counts)[row] + AT_ONCE * (np.arange(len(row)) - first[row])
+        summed = []
+        for weight in WEIGHTS:
+            together = np.multiply.reduceat(self.odds(words, pairs, context, weight), starts)
+            summed.append(np.bincount(row, np.log10(together), minlength=len(counts)))
+        ends = np.arange(0, (len(counts) + 1) * len(WEIGHTS), len(WEIGHTS))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.stack(summed, axis=1).ravel()))
 
     def head(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact counts of tokens, and which are among the most frequent words."""
@@ -291,10 +251,10 @@ class LanguageModel:
         return np.where(known, self.head_counts[at], 0), known
 
 
-def _times_in_row(row: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """How often each entry's key occurs in its row."""
-    _, place, times = np.unique(mixed(keys ^ mixed(row)), return_inverse=True, return_counts=True)
-    return times[place]
+def _times_in_row(row: np.ndarray, place: np.ndarray, kinds: int) -> np.ndarray:
+    """How often what stands at each place, one of so many kinds, occurs in its row."""
+    _, at, times = np.unique(row * kinds + place, return_inverse=True, return_counts=True)
+    return times[at]
 
 
 def _least_frequent(words: DataFrame, most: int) -> int:
@@ -310,19 +270,12 @@ def _least_frequent(words: DataFrame, most: int) -> int:
     return least
 
 
-def train(texts: DataFrame, size: int = SEGMENT_TOKENS, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
-    """The model of column ``text``, and the exact count of every word as (key, n)."""
-    words = stored(ngram_counts(texts), "word-counts")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
-    frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
-    keys = frequent["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    segments = segments_for(int(total), size)
-    return LanguageModel(segments, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order]), words
-
-
 # A chunk of documents: its distinct words in order and, for each token, its place there.
-CHUNKS = "chunk bigint, kinds binary, place binary, doc_id array<bigint>, held_out array<boolean>, n_tokens array<bigint>"
+CHUNKS = (
+    "chunk bigint, round int, kinds binary, place binary, doc_id array<bigint>, held_out array<boolean>, "
+    "n_tokens array<bigint>"
+)
+LEARNED = ("kinds", "place", "held_out", "n_tokens")
 SUMMED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_head bigint, head_sum double, scores array<double>, "
     "left_out array<double>, rare array<bigint>"
@@ -335,43 +288,147 @@ def _place_type(kinds: int) -> type:
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of (doc_id, held_out, text) as a chunk."""
-    chunk = TaskContext.get().partitionId() << 32
+    task = TaskContext.get().partitionId()
+    chunk = task << 32
     for batch in batches:
-        words, counts, _ = tokens_of(batch.column(2))
+        words, counts = tokens_of(batch.column(2))
         if not len(words):
             continue
         kinds, place = np.unique(words, return_inverse=True)
         # Common words make places compress to a fraction; keys are as good as random.
         places = zstandard.compress(place.astype(_place_type(len(kinds))).tobytes())
-        columns = [pa.array([chunk], pa.int64()), pa.array([kinds.tobytes()]), pa.array([places])]
+        turn = pa.array([(task + chunk) % ROUNDS], pa.int32())
+        columns = [pa.array([chunk], pa.int64()), turn, pa.array([kinds.tobytes()]), pa.array([places])]
         for values in (batch.column(0), batch.column(1), pa.array(counts, pa.int64())):
             columns.append(pa.array([values.to_pylist()], pa.list_(values.type)))
-        yield pa.RecordBatch.from_arrays(columns, ["chunk", "kinds", "place", "doc_id", "held_out", "n_tokens"])
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "round", "kinds", "place", "doc_id", "held_out", "n_tokens"])
         chunk += 1
 
 
-def _tokens_in(kinds: bytes, place: bytes, counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's tokens, what stands before each, and where each document begins."""
-    words = np.frombuffer(kinds, np.uint64)
-    tokens = words[np.frombuffer(zstandard.decompress(place), _place_type(len(words)))]
-    starts = row_starts(np.array(counts))[:-1]
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[starts] = START
-    return tokens, before, starts
+@dataclass
+class Chunk:
+    """The tokens of some documents, as places among their distinct words."""
+
+    kinds: np.ndarray
+    place: np.ndarray
+    counts: np.ndarray  # tokens of each document
+
+    @classmethod
+    def of(cls, row: dict) -> Chunk:
+        kinds = np.frombuffer(row["kinds"], np.uint64)
+        place = np.frombuffer(zstandard.decompress(row["place"]), _place_type(len(kinds)))
+        return cls(kinds, place, np.array(row["n_tokens"]))
+
+    @property
+    def starts(self) -> np.ndarray:
+        return row_starts(self.counts)[:-1]
+
+    def pairs(self) -> np.ndarray:
+        """The key of each token with what stands before it."""
+        tokens = self.kinds[self.place]
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[self.starts] = START
+        return pair_keys(before, tokens)
+
+    def asks(self, pairs: np.ndarray) -> np.ndarray:
+        """What it asks for, given its distinct pairs: its words, the start and these."""
+        return np.concatenate([self.kinds, [START], pairs])
+
 
+def _learned(rows: pa.RecordBatch) -> Iterator[tuple[Chunk, np.ndarray]]:
+    """Chunks, and which of their tokens are to be learned from."""
+    for row in rows.to_pylist():
+        chunk = Chunk.of(row)
+        yield chunk, np.repeat([held_out is False for held_out in row["held_out"]], chunk.counts)
 
-def _ngrams(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """What a chunk asks for: its tokens, their pairs, and the start."""
-    return np.concatenate([tokens, pair_keys(before, tokens), [START]])
+
+Counts = tuple[np.ndarray, np.ndarray]  # of keys
+
+
+def _words_of(chunk: Chunk, learned: np.ndarray) -> Counts:
+    times = np.bincount(chunk.place[learned], minlength=len(chunk.kinds))
+    return chunk.kinds[times > 0], times[times > 0]
+
+
+def _pairs_of(chunk: Chunk, learned: np.ndarray) -> Counts:
+    return np.unique(chunk.pairs()[learned], return_counts=True)
+
+
+def _counted(
+    batches: Iterator[pa.RecordBatch], kinds: tuple[Callable[[Chunk, np.ndarray], Counts], ...]
+) -> Iterator[Counts]:
+    """What chunks have to learn from, counted in what a task holds."""
+    held: list[Counts] = []
+    for batch in batches:
+        for chunk, learned in _learned(batch):
+            held += [kind(chunk, learned) for kind in kinds]
+            if sum(len(keys) for keys, _ in held) >= HELD_KEYS:
+                yield summed_by_key(*map(np.concatenate, zip(*held, strict=True)))
+                held.clear()
+    if sum(len(keys) for keys, _ in held):
+        yield summed_by_key(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for keys, counts in _counted(batches, (_words_of,)):
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+
+
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """(key, n) of every word; tasks count what they hold before the shuffle."""
+    counted = chunks.select(*LEARNED).mapInArrow(_word_counts, "key bigint, n bigint")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Words and pairs with their counts in what a task holds, a row for each segment."""
+    for keys, counts in _counted(batches, (_words_of, _pairs_of)):
+        found, starts = _by_segment(keys, segments)
+        columns = [
+            pa.array(found),
+            pa.array([packed(part) for part in np.split(keys, starts[1:])], pa.binary()),
+            pa.array([packed_counts(part) for part in np.split(counts, starts[1:])], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["segment", "keys", "counts"])
+
+
+def filter_rows(chunks: DataFrame, segments: int, bits: int = BITS) -> DataFrame:
+    """(segment, bits) of all words and pairs; every segment is counted, sized and filled by
+    the task that has its parts."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _parts(batches, segments)
+
+    def fill(key: tuple, group: pa.Table) -> pa.Table:
+        held, counted = group["keys"].to_pylist(), group["counts"].to_pylist()
+        keys = unpacked(b"".join(held))
+        sizes = (len(part) // KEY_BYTES for part in held)
+        counts = np.concatenate([unpacked_counts(part, n) for part, n in zip(counted, sizes, strict=True)])
+        made = filled_segment(keys, counts, bits)
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([made], pa.binary())})
+
+    parts = chunks.select(*LEARNED).mapInArrow(part, "segment bigint, keys binary, counts binary")
+    return parts.groupBy("segment").applyInArrow(fill, "segment bigint, bits binary")
+
+
+def train(chunks: DataFrame, size: int = SEGMENT_TOKENS, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
+    """The model of the rows that are not held out, and the exact count of every word as (key, n)."""
+    words = stored(word_counts(chunks), "word-counts", drop_shuffles=True)
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
+    frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
+    keys = frequent["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    segments = segments_for(int(total), size)
+    return LanguageModel(segments, int(total), int(distinct), keys[order], frequent["n"].to_numpy()[order]), words
 
 
 def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
     """The distinct n-grams of each chunk in order, a row for each segment."""
     for batch in batches:
         for row in batch.to_pylist():
-            tokens, before, _ = _tokens_in(row["kinds"], row["place"], row["n_tokens"])
-            keys = np.unique(_ngrams(tokens, before))
+            chunk = Chunk.of(row)
+            keys = np.sort(chunk.asks(distinct_keys(chunk.pairs())))
             found, starts = _by_segment(keys, segments)
             columns = [
                 pa.array(found),
@@ -383,35 +440,45 @@ def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Reco
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Steps for the keys of rows (segment, chunk, data), sorted by these: a segment's bits
-    come first, as chunk -1. A segment without bits has none of its keys."""
+    come first, as chunk -1. A segment without bits has none of its keys. All that a batch asks of
+    a segment is looked up at once."""
     have, held = -1, None
     for batch in batches:
-        segments, chunks, data = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        made = []
-        for i, segment in enumerate(segments):
-            if segment != have:
-                have, held = segment, None
-            if chunks[i] < 0:
-                held = LogFrequencyFilter(np.frombuffer(data[i].as_py(), np.uint8), 1, segments=1)
+        segments, chunks = (batch.column(c).to_numpy() for c in range(2))
+        data = batch.column(2)
+        cuts = np.flatnonzero(segments[1:] != segments[:-1]) + 1
+        for a, b in itertools.pairwise([0, *cuts.tolist(), len(segments)]):
+            if a < b and segments[a] != have:
+                have, held = segments[a], None
+            if a < b and chunks[a] < 0:
+                held = LogFrequencyFilter(np.frombuffer(data[a].as_py(), np.uint8), 1, segments=1)
+                a += 1
+            if a == b:
                 continue
-            keys = unpacked(data[i].as_buffer())
+            asked = data.slice(a, b - a).to_pylist()
+            keys = unpacked(b"".join(asked))
             steps = held.steps(keys) if held else np.zeros(len(keys))
-            made.append((segment, chunks[i], steps.astype(np.uint8).tobytes()))
-        if made:
-            columns = zip(*made, strict=True)
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["segment", "chunk", "data"])
+            parts = np.split(steps.astype(np.uint8), np.cumsum([len(part) // KEY_BYTES for part in asked])[:-1])
+            columns = [
+                pa.array(segments[a:b]),
+                pa.array(chunks[a:b]),
+                pa.array([part.tobytes() for part in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["segment", "chunk", "data"])
 
 
-def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
+def _scored(rows: pa.Table, model: LanguageModel) -> pa.Table:
     """The sums of a chunk's rows, from its own row and the answers of all segments."""
-    chunk = chunk.sort_by("segment").combine_chunks()
-    own = chunk.slice(0, 1).to_pylist()[0]
-    tokens, before, starts = _tokens_in(own["kinds"], own["place"], own["n_tokens"])
-    n, counts = len(tokens), np.array(own["n_tokens"])
-    _, place = np.unique(_ngrams(tokens, before), return_inverse=True)
-    found = stands_for(np.frombuffer(b"".join(chunk["data"].slice(1).to_pylist()), np.uint8).astype(np.int64))[place]
-    words, pairs, start = found[:n], found[n : 2 * n], found[2 * n]
+    rows = rows.sort_by("segment").combine_chunks()
+    own = rows.slice(0, 1).to_pylist()[0]
+    chunk = Chunk.of(own)
+    place, counts, starts, kinds = chunk.place, chunk.counts, chunk.starts, len(chunk.kinds)
+    keys = chunk.pairs()
+    distinct, pair = np.unique(keys, return_inverse=True)
+    steps = np.empty(kinds + 1 + len(distinct), np.uint8)
+    steps[np.argsort(chunk.asks(distinct))] = np.frombuffer(b"".join(rows["data"].slice(1).to_pylist()), np.uint8)
+    found = stands_for(steps.astype(np.int64))
+    words, start, pairs = found[:kinds][place], found[kinds], found[kinds + 1 :][pair]
 
     def shifted(values: np.ndarray, first: float) -> np.ndarray:
         context = np.empty_like(values)
@@ -422,9 +489,9 @@ def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
     row = np.repeat(np.arange(len(counts)), counts)
     # Without the row's own occurrences; whatever stands before a token stands there as often
     # as it is in the row.
-    other_words = np.maximum(words - _times_in_row(row, tokens), 0)
-    other_pairs = np.maximum(pairs - _times_in_row(row, pair_keys(before, tokens)), 0)
-    exact, frequent = model.head(tokens)
+    other_words = np.maximum(words - _times_in_row(row, place, kinds), 0)
+    other_pairs = np.maximum(pairs - _times_in_row(row, pair, len(distinct)), 0)
+    exact, frequent = (known[place] for known in model.head(chunk.kinds))
     rare = np.flatnonzero(~frequent)
     rare_counts = np.bincount(row[rare], minlength=len(counts))
     return pa.Table.from_arrays(
@@ -434,10 +501,10 @@ def _scored(chunk: pa.Table, model: LanguageModel) -> pa.Table:
             pa.array(counts, pa.int64()),
             pa.array(np.bincount(row, frequent, minlength=len(counts)).astype(np.int64)),
             pa.array(np.bincount(row, np.log10(exact + 1.0), minlength=len(counts))),
-            model.sums(row, len(counts), words, pairs, shifted(words, start)),
-            model.sums(row, len(counts), other_words, other_pairs, shifted(other_words, max(start - 1, 0))),
+            model.sums(counts, words, pairs, shifted(words, start)),
+            model.sums(counts, other_words, other_pairs, shifted(other_words, max(start - 1, 0))),
             pa.ListArray.from_arrays(
-                pa.array(row_starts(rare_counts), pa.int32()), pa.array(tokens[rare].view(np.int64))
+                pa.array(row_starts(rare_counts), pa.int32()), pa.array(chunk.kinds[place[rare]].view(np.int64))
             ),
         ],
         ["doc_id", "held_out", "n_tokens", "n_head", "head_sum", "scores", "left_out", "rare"],
@@ -459,8 +526,8 @@ def lm_scores(
         held_out.alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    learned = rows.where(~F.col("held_out")).select("text")
-    model, words = train(learned, size, head)
+    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", by="round")
+    model, words = train(chunks, size, head)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     segments = model.segments
 
@@ -470,18 +537,25 @@ def lm_scores(
     def score(chunk: pa.Table) -> pa.Table:
         return _scored(chunk, sent.value)
 
-    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks")
-    asked = chunks.select("chunk", "kinds", "place", "n_tokens").mapInArrow(ask, "segment bigint, chunk bigint, data binary")
     no_chunk = F.lit(-1).cast("bigint").alias("chunk")
     # Written before anything is asked, so that the shuffle it is counted by is gone by then.
-    filled = stored(filter_rows(learned, segments, bits), "filter", drop_shuffles=True)
+    filled = stored(filter_rows(chunks, segments, bits), "filter", drop_shuffles=True)
     filled = filled.select("segment", no_chunk, F.col("bits").alias("data"))
-    by_segment = filled.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
-    answers = by_segment.mapInArrow(_answered, "segment bigint, chunk bigint, data binary")
-    own = chunks.withColumn("segment", F.lit(-1).cast("bigint"))
-    together = own.unionByName(answers, allowMissingColumns=True)
-    scored = together.groupBy("chunk").applyInArrow(score, SUMMED)
-    summed = stored(scored.withColumn("row", F.monotonically_increasing_id()), "row-sums")
+
+    def summed_in(turn: int) -> DataFrame:
+        own = chunks.where(F.col("round") == turn).drop("round")
+        asked = own.select("chunk", "kinds", "place", "n_tokens").mapInArrow(
+            ask, "segment bigint, chunk bigint, data binary"
+        )
+        by_segment = filled.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "chunk")
+        answers = by_segment.mapInArrow(_answered, "segment bigint, chunk bigint, data binary")
+        own = own.withColumn("segment", F.lit(-1).cast("bigint"))
+        together = own.unionByName(answers, allowMissingColumns=True)
+        scored = together.groupBy("chunk").applyInArrow(score, SUMMED)
+        row = (F.monotonically_increasing_id() * ROUNDS + turn).alias("row")
+        return stored(scored.select("*", row), "row-sums", drop_shuffles=True)
+
+    summed = reduce(DataFrame.unionByName, map(summed_in, range(ROUNDS)))
     gains = summed.where(~F.col("held_out")).agg(*[F.sum(F.col("left_out")[k]) for k in range(len(WEIGHTS))]).head()
     best = int(np.argmax([gain or 0.0 for gain in gains]))
     rare = summed.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))

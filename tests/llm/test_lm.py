@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from farebox.llm import lm, queries
-from farebox.llm.common import in_fold, mixed
+from farebox.llm.common import in_fold, mixed, stored
 from rows import no_documents, odd_documents
 
 SMALL = 1 << 20
@@ -139,3 +140,49 @@ def test_scores_are_those_of_all_words_and_pairs_whatever_the_segments(session,
     expected = exact_scores([(r.doc_id, r.text) for r in docs.collect()], in_seventh)
     found = {r.doc_id: r.score for r in lm.lm_scores(docs, in_fold("doc_id", 7, 2), size, bits=1 << 10).collect()}  # no chance hits
     assert found == pytest.approx(expected, abs=1e-6)
+
+
+def test_chunks_ask_in_rounds_and_leave_no_shuffle(session, sf_dir, monkeypatch):
+    rounds = []
+
+    def noted(df, purpose, drop_shuffles=False, **more):
+        table = stored(df, purpose, drop_shuffles, **more)
+        if purpose == "row-sums":
+            rounds.append((table.count(), drop_shuffles))
+        return table
+
+    monkeypatch.setattr(lm, "stored", noted)
+    docs = session.read.parquet(f"{sf_dir}/documents.parquet").repartition(8)
+    n = docs.count()
+    assert lm.lm_scores(docs, in_fold("doc_id", 7, 2), SMALL).count() == n == sum(rows for rows, _ in rounds)
+    assert max(rows for rows, _ in rounds) <= n / 2 and all(dropped for _, dropped in rounds)
+
+
+def test_what_a_batch_asks_of_a_segment_is_looked_up_at_once(monkeypatch):
+    keys = lm.unpacked(lm.packed(mixed(np.arange(400, dtype=np.uint64))))
+    bits, calls = lm.filled_segment(keys[:300], np.arange(1, 301)), []
+    look_up = lm.LogFrequencyFilter.steps
+    monkeypatch.setattr(lm.LogFrequencyFilter, "steps", lambda self, asked: calls.append(len(asked)) or look_up(self, asked))
+    rows = [(4, -1, bits), *((4, c, lm.packed(keys[c::5])) for c in range(5)), (6, 9, lm.packed(keys[:3]))]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*part, strict=True)], ["segment", "chunk", "data"])
+        for part in (rows[:4], rows[4:])
+    ]
+    answers = pa.Table.from_batches(lm._answered(iter(batches))).to_pylist()
+    assert [(a["segment"], a["chunk"]) for a in answers] == [(s, c) for s, c, _ in rows[1:]]
+    expected = look_up(lm.LogFrequencyFilter(np.frombuffer(bits, np.uint8), 1, segments=1), keys)
+    for c in range(5):
+        assert list(answers[c]["data"]) == expected[c::5].tolist()
+    assert answers[5]["data"] == bytes(3) and calls == [3 * 80, 2 * 80]
+
+
+def test_logarithms_of_products_are_sums():
+    rng = np.random.default_rng(3)
+    counts = np.array([1, 7, 8, 9, 1, 300])
+    words, pairs, context = (np.floor(1 / rng.random(counts.sum())) for _ in range(3))
+    model = lm.LanguageModel(lm.SEGMENTS, 10**15, 10**14, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    found = np.array(model.sums(counts, words * 0, pairs * 0, context + 1e15).to_pylist())
+    row = np.repeat(np.arange(len(counts)), counts)
+    for k, weight in enumerate(lm.WEIGHTS):
+        logs = np.log10(model.odds(words * 0, pairs * 0, context + 1e15, weight))
+        assert found[:, k] == pytest.approx(np.bincount(row, logs), rel=1e-12)
