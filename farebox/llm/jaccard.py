@@ -72,7 +72,9 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes.append(mixed(summed))
         rows.append(short)
     hashes, rows = np.concatenate(hashes), np.concatenate(rows)
-    order = np.lexsort((hashes, rows))
+    # By hash, then by row in the same order: of small numbers a radix sort.
+    order = np.argsort(hashes)
+    order = order[np.argsort(rows[order].astype(np.min_scalar_type(len(counts))), kind="stable")]
     hashes, rows = hashes[order], rows[order]
     first = np.ones(len(hashes), dtype=bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
@@ -87,14 +89,6 @@ def set_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return mixed((sums[bounds[1:]] - sums[bounds[:-1]]) ^ sizes.astype(np.uint64)).view(np.int64)
 
 
-def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
-    hashes, sizes = shingle_sets(batch.column(2))
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(set_keys(hashes, sizes))],
-        ["doc_id", "row", "n", "key"],
-    )
-
-
 def prefix_length(sizes: np.ndarray) -> np.ndarray:
     """How many first shingles hold enough that are also among any linked set's first.
 
@@ -105,25 +99,42 @@ def prefix_length(sizes: np.ndarray) -> np.ndarray:
     return np.minimum(sizes, sizes - -(-sizes * LINKED // 100) + 1 + sizes // SPARE)
 
 
-def _postings(batch: pa.RecordBatch, common: np.ndarray) -> pa.RecordBatch:
-    """(shingle, key) of the first shingles of each set in the batch."""
-    hashes, sizes = shingle_sets(batch.column(0))
-    keys = set_keys(hashes, sizes)
-    once = np.zeros(len(sizes), dtype=bool)
-    once[np.unique(keys, return_index=True)[1]] = True
-    once &= sizes > 0
+def first_shingles(hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of every set, and how many each has; ``common`` ones come last."""
     row = np.repeat(np.arange(len(sizes)), sizes)
     late = np.zeros(len(hashes), dtype=bool)
     if len(common):
         late = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
-    order = np.lexsort((hashes, late, row))
+    order = np.argsort(2 * row + late, kind="stable")
     place = np.arange(len(hashes)) - np.repeat(row_starts(sizes)[:-1], sizes)
-    taken = (place < prefix_length(sizes)[row]) & once[row]
+    lengths = prefix_length(sizes)
+    return hashes[order][place < lengths[row]], lengths
+
+
+def _measured(batch: pa.RecordBatch, common: np.ndarray) -> pa.RecordBatch:
+    """Size and key of each row's set, and the first shingles of one row of each set in the batch."""
+    hashes, sizes = shingle_sets(batch.column(2))
+    keys = set_keys(hashes, sizes)
+    once = np.zeros(len(sizes), dtype=bool)
+    once[np.unique(keys, return_index=True)[1]] = True
+    kept = np.where(once, sizes, 0)
+    found, lengths = first_shingles(hashes[np.repeat(once, sizes)], kept, common)
+    ends = pa.array(8 * row_starts(lengths), pa.int32())
+    first = pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends.buffers()[1], pa.py_buffer(found.tobytes())])
     return pa.RecordBatch.from_arrays(
-        [pa.array(hashes[order][taken].view(np.int64)), pa.array(keys[row[taken]])], ["shingle", "key"]
+        [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys), first],
+        ["doc_id", "row", "n", "key", "first"],
     )
 
 
+def _postings(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(shingle, key) of the first shingles of each row."""
+    held = batch.column(1).to_pylist()
+    shingles = np.frombuffer(b"".join(held), np.int64)
+    keys = np.repeat(batch.column(0).to_numpy(), [len(first) // 8 for first in held])
+    return pa.RecordBatch.from_arrays([pa.array(shingles), pa.array(keys)], ["shingle", "key"])
+
+
 def _bits(n: int) -> int:
     """Bits of a set's bitmap, a power of two that halves to that of smaller sets."""
     return max(LEAST_BITS, 1 << (2 * n - 1).bit_length())
@@ -295,14 +306,11 @@ def _rarest(shared: DataFrame, sized: DataFrame) -> DataFrame:
 def near_duplicate_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between keys of different sets, enough of them to join every component.
 
-    ``texts`` has the columns row and text, ``sets`` row, n and key.
+    ``texts`` has the columns row and text, ``sets`` row, n, key and first: first shingles, of one
+    row of each set at least.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(_common_shingles(texts.select("text")))
-
-    def post(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return _postings(batch, sent.value)
-
-    postings = texts.select("text").mapInArrow(over_batches(post), "shingle bigint, key bigint")
+    postings = sets.where("n > 0 AND length(first) > 0").select("key", "first")
+    postings = postings.mapInArrow(over_batches(_postings), "shingle bigint, key bigint")
     twice = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
     # Read back with a test, so that Spark makes a Bloom filter of it and only shuffles the
     # postings that pass.
@@ -338,11 +346,17 @@ def _grouped(docs: DataFrame) -> DataFrame:
     for setting, value in BLOOM_FILTERS.items():
         spark.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{setting}", value)
     texts = _texts(docs)
-    sets = texts.mapInArrow(over_batches(_measured), "doc_id bigint, row bigint, n bigint, key bigint")
+    sent = spark.sparkContext.broadcast(_common_shingles(texts.select("text")))
+
+    def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return _measured(batch, sent.value)
+
+    # With first shingles, so that texts are cut into shingles once for both uses of these.
+    sets = texts.mapInArrow(over_batches(measure), "doc_id bigint, row bigint, n bigint, key bigint, first binary")
     sets = stored(sets, "shingle-sets")
     links = near_duplicate_links(texts.select("row", "text"), sets)
     found = components(links).withColumnRenamed("node", "key")
-    return sets.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    return sets.drop("first").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:

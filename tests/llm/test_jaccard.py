@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from farebox.llm import components, jaccard, queries
+from farebox.llm.common import mixed, row_starts, stored
 from rows import documents, no_documents, odd_documents
 
 
@@ -134,6 +135,47 @@ def test_sets_of_a_batch():
     assert keys[2] == keys[3] != keys[4]
 
 
+@pytest.mark.parametrize("rows", [1, 300, 70_000])
+def test_shingles_are_in_order_within_each_row(rows):
+    rng = random.Random(rows)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(rows)]
+    hashes, sizes = jaccard.shingle_sets(pa.array(texts))
+    assert sizes.tolist() == [len(shingles(t)) for t in texts]
+    inside = np.ones(max(len(hashes) - 1, 0), dtype=bool)
+    inside[[b - 1 for b in row_starts(sizes)[1:-1] if 0 < b < len(hashes)]] = False
+    assert (hashes[1:] > hashes[:-1])[inside].all()
+
+
+def test_first_shingles_go_with_one_row_of_each_set():
+    texts = ["", *(" ".join(f"{n}x{k}" for k in range(n)) for n in (3, 5, 9, 60, 400))]
+    at = pa.array(range(2 * len(texts)))
+    common = np.sort(mixed(np.arange(50, dtype=np.uint64)))
+    hashes, sizes = jaccard.shingle_sets(pa.array(texts))
+    common = np.sort(np.concatenate([common, hashes[::3]]))
+    made = jaccard._measured(pa.RecordBatch.from_arrays([at, at, pa.array(texts * 2)], ["doc_id", "row", "text"]), common)
+    assert made["n"].to_pylist() == 2 * sizes.tolist() and made["first"].to_pylist()[len(texts) :] == [b""] * len(texts)
+    posted = jaccard._postings(made.select(["key", "first"]))
+    for key, own in zip(jaccard.set_keys(hashes, sizes), np.split(hashes, row_starts(sizes)[1:-1]), strict=True):
+        late = np.isin(own, common)
+        wanted = np.concatenate([own[~late], own[late]])[: jaccard.prefix_length(np.array([len(own)]))[0]]
+        found = posted["shingle"].to_numpy()[posted["key"].to_numpy() == key]
+        assert found.view(np.uint64).tolist() == wanted.tolist()
+
+
+def test_postings_are_made_without_the_texts(session, sf_dir, monkeypatch):
+    read = {}
+
+    def noted(df, purpose, **more):
+        read[purpose] = df.inputFiles()
+        return stored(df, purpose, **more)
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    jaccard.jaccard_groups(session.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert any("documents.parquet" in path for path in read["shingle-sets"])
+    for purpose in ("shingles-met-twice", "postings"):
+        assert read[purpose] and not any("documents.parquet" in path for path in read[purpose])
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(session, shape):
     rng = random.Random(4)
