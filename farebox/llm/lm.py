@@ -24,6 +24,7 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ KEY_BYTES = 5  # of a key that tell it apart within its segment
 HEAD_WORDS = 1 << 18  # most frequent words, whose exact counts are broadcast
 HELD_KEYS = 2_000_000  # n-grams a task holds before it counts and hands them on
 ROUNDS = 4  # in which chunks ask, one after another
+FILE_CHUNKS = 32  # in a file of chunks, at most; a round reads whole files
+TEXTS_READ = 256  # at a time
+CHUNKS_READ = 2  # at a time: a chunk has more than a megabyte
 STEPS = 2  # quantisation steps per doubling
 PROBES = 2  # bits per entry
 AT_ONCE = 8  # probabilities multiplied before their logarithm is taken
@@ -272,13 +276,13 @@ def _least_frequent(words: DataFrame, most: int) -> int:
 
 # A chunk of documents: its distinct words in order and, for each token, its place there.
 CHUNKS = (
-    "chunk bigint, round int, kinds binary, place binary, doc_id array<bigint>, held_out array<boolean>, "
+    "chunk bigint, kinds binary, place binary, doc_id array<bigint>, held_out array<boolean>, "
     "n_tokens array<bigint>"
 )
 LEARNED = ("kinds", "place", "held_out", "n_tokens")
 SUMMED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_head bigint, head_sum double, scores array<double>, "
-    "left_out array<double>, rare array<bigint>"
+    "left_out array<double>, rare map<bigint,bigint>"
 )
 
 
@@ -288,8 +292,7 @@ def _place_type(kinds: int) -> type:
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of (doc_id, held_out, text) as a chunk."""
-    task = TaskContext.get().partitionId()
-    chunk = task << 32
+    chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
         words, counts = tokens_of(batch.column(2))
         if not len(words):
@@ -297,11 +300,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, place = np.unique(words, return_inverse=True)
         # Common words make places compress to a fraction; keys are as good as random.
         places = zstandard.compress(place.astype(_place_type(len(kinds))).tobytes())
-        turn = pa.array([(task + chunk) % ROUNDS], pa.int32())
-        columns = [pa.array([chunk], pa.int64()), turn, pa.array([kinds.tobytes()]), pa.array([places])]
+        columns = [pa.array([chunk], pa.int64()), pa.array([kinds.tobytes()]), pa.array([places])]
         for values in (batch.column(0), batch.column(1), pa.array(counts, pa.int64())):
             columns.append(pa.array([values.to_pylist()], pa.list_(values.type)))
-        yield pa.RecordBatch.from_arrays(columns, ["chunk", "round", "kinds", "place", "doc_id", "held_out", "n_tokens"])
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "kinds", "place", "doc_id", "held_out", "n_tokens"])
         chunk += 1
 
 
@@ -376,9 +378,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(chunks: DataFrame) -> DataFrame:
-    """(key, n) of every word; tasks count what they hold before the shuffle."""
+    """(key, n) of every word; tasks count what they hold before the shuffle. They have no table
+    of all their words besides, as a grouping would make before its shuffle."""
     counted = chunks.select(*LEARNED).mapInArrow(_word_counts, "key bigint, n bigint")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+    return counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _parts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
@@ -414,7 +417,7 @@ def filter_rows(chunks: DataFrame, segments: int, bits: int = BITS) -> DataFrame
 
 def train(chunks: DataFrame, size: int = SEGMENT_TOKENS, head: int = HEAD_WORDS) -> tuple[LanguageModel, DataFrame]:
     """The model of the rows that are not held out, and the exact count of every word as (key, n)."""
-    words = stored(word_counts(chunks), "word-counts", drop_shuffles=True)
+    words = stored(word_counts(chunks), "word-counts", drop_shuffles=True, batch_rows=CHUNKS_READ)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     frequent = words.where(F.col("n") >= _least_frequent(words, head)).toArrow()
     keys = frequent["key"].to_numpy().view(np.uint64)
@@ -492,8 +495,8 @@ def _scored(rows: pa.Table, model: LanguageModel) -> pa.Table:
     other_words = np.maximum(words - _times_in_row(row, place, kinds), 0)
     other_pairs = np.maximum(pairs - _times_in_row(row, pair, len(distinct)), 0)
     exact, frequent = (known[place] for known in model.head(chunk.kinds))
-    rare = np.flatnonzero(~frequent)
-    rare_counts = np.bincount(row[rare], minlength=len(counts))
+    rare, times = np.unique((row * kinds + place)[~frequent], return_counts=True)
+    rare_counts = np.bincount(rare // kinds, minlength=len(counts))
     return pa.Table.from_arrays(
         [
             pa.array(own["doc_id"], pa.int64()),
@@ -503,8 +506,10 @@ def _scored(rows: pa.Table, model: LanguageModel) -> pa.Table:
             pa.array(np.bincount(row, np.log10(exact + 1.0), minlength=len(counts))),
             model.sums(counts, words, pairs, shifted(words, start)),
             model.sums(counts, other_words, other_pairs, shifted(other_words, max(start - 1, 0))),
-            pa.ListArray.from_arrays(
-                pa.array(row_starts(rare_counts), pa.int32()), pa.array(chunk.kinds[place[rare]].view(np.int64))
+            pa.MapArray.from_arrays(
+                pa.array(row_starts(rare_counts), pa.int32()),
+                pa.array(chunk.kinds[rare % kinds].view(np.int64)),
+                pa.array(times),
             ),
         ],
         ["doc_id", "held_out", "n_tokens", "n_head", "head_sum", "scores", "left_out", "rare"],
@@ -526,9 +531,10 @@ def lm_scores(
         held_out.alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", by="round")
+    spark = docs.sparkSession
+    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "chunks", file_rows=FILE_CHUNKS, batch_rows=TEXTS_READ)
     model, words = train(chunks, size, head)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(model)
     segments = model.segments
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -539,11 +545,15 @@ def lm_scores(
 
     no_chunk = F.lit(-1).cast("bigint").alias("chunk")
     # Written before anything is asked, so that the shuffle it is counted by is gone by then.
-    filled = stored(filter_rows(chunks, segments, bits), "filter", drop_shuffles=True)
+    entered = filter_rows(chunks, segments, bits)
+    filled = stored(entered, "filter", drop_shuffles=True, file_rows=FILE_CHUNKS, batch_rows=CHUNKS_READ)
     filled = filled.select("segment", no_chunk, F.col("bits").alias("data"))
 
+    files = sorted(map(unquote, chunks.inputFiles()))
+    rounds = min(ROUNDS, len(files))
+
     def summed_in(turn: int) -> DataFrame:
-        own = chunks.where(F.col("round") == turn).drop("round")
+        own = spark.read.schema(CHUNKS).parquet(*files[turn::rounds])
         asked = own.select("chunk", "kinds", "place", "n_tokens").mapInArrow(
             ask, "segment bigint, chunk bigint, data binary"
         )
@@ -552,14 +562,16 @@ def lm_scores(
         own = own.withColumn("segment", F.lit(-1).cast("bigint"))
         together = own.unionByName(answers, allowMissingColumns=True)
         scored = together.groupBy("chunk").applyInArrow(score, SUMMED)
-        row = (F.monotonically_increasing_id() * ROUNDS + turn).alias("row")
-        return stored(scored.select("*", row), "row-sums", drop_shuffles=True)
+        row = (F.monotonically_increasing_id() * rounds + turn).alias("row")
+        return stored(scored.select("*", row), "row-sums", drop_shuffles=True, batch_rows=CHUNKS_READ)
 
-    summed = reduce(DataFrame.unionByName, map(summed_in, range(ROUNDS)))
+    summed = reduce(DataFrame.unionByName, map(summed_in, range(rounds)))
     gains = summed.where(~F.col("held_out")).agg(*[F.sum(F.col("left_out")[k]) for k in range(len(WEIGHTS))]).head()
     best = int(np.argmax([gain or 0.0 for gain in gains]))
-    rare = summed.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-    found = rare.join(words, "key").groupBy("row").agg(
+    rare = summed.select("row", F.explode("rare").alias("key", "times"))
+    # Words are distinct, so none of a shuffle's tasks has many: tables of them take a fraction of
+    # what it takes to sort both sides, most of which are occurrences.
+    found = rare.join(words.hint("shuffle_hash"), "key").groupBy("row").agg(
         F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_sum")
     )
     per_token = math.log10(model.total + model.distinct + 1)

@@ -158,6 +158,47 @@ def test_chunks_ask_in_rounds_and_leave_no_shuffle(session, sf_dir, monkeypatch)
     assert max(rows for rows, _ in rounds) <= n / 2 and all(dropped for _, dropped in rounds)
 
 
+def test_a_task_writes_its_chunks_to_one_file_and_rounds_read_all_files(session, sf_dir, monkeypatch):
+    made = {}
+
+    def noted(df, purpose, *settings, **more):
+        table = stored(df, purpose, *settings, **more)
+        made.setdefault(purpose, []).append(table)
+        return table
+
+    monkeypatch.setattr(lm, "stored", noted)
+    docs = session.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).cache()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = session.conf.get(key)
+    expected = {r.doc_id: r.score for r in lm.lm_scores(docs, in_fold("doc_id", 7, 2), SMALL).collect()}
+    session.conf.set(key, "4")
+    try:
+        lm.lm_scores(docs, in_fold("doc_id", 7, 2), SMALL).count()
+        (_, chunks), files = made["chunks"], 3
+        assert chunks.count() > 4 * files and len(chunks.inputFiles()) == files
+        monkeypatch.setattr(lm, "FILE_CHUNKS", 2)
+        found = {r.doc_id: r.score for r in lm.lm_scores(docs, in_fold("doc_id", 7, 2), SMALL).collect()}
+        assert len(made["chunks"][2].inputFiles()) > 2 * files and len(made["row-sums"]) == 3 + 3 + lm.ROUNDS
+    finally:
+        session.conf.set(key, before)
+    assert found == pytest.approx(expected)
+
+
+def test_words_are_neither_grouped_before_their_shuffle_nor_sorted_to_be_joined(session, sf_dir, monkeypatch):
+    plans = {}
+
+    def noted(df, purpose, *settings, **more):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, purpose, *settings, **more)
+
+    monkeypatch.setattr(lm, "stored", noted)
+    docs = session.read.parquet(f"{sf_dir}/documents.parquet")
+    scores = lm.lm_scores(docs, in_fold("doc_id", 7, 2), SMALL)
+    shuffle = plans["word-counts"].index("Exchange hashpartitioning(key")
+    assert "HashAggregate" not in plans["word-counts"][shuffle:]
+    assert "ShuffledHashJoin [key" in scores._jdf.queryExecution().executedPlan().toString()
+
+
 def test_what_a_batch_asks_of_a_segment_is_looked_up_at_once(monkeypatch):
     keys = lm.unpacked(lm.packed(mixed(np.arange(400, dtype=np.uint64))))
     bits, calls = lm.filled_segment(keys[:300], np.arange(1, 301)), []
